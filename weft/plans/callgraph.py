@@ -35,8 +35,12 @@ def purchases(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY)
 def calls(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY) -> DataFrame:
     """Call rows (caller custkey, callee custkey, time, duration, returnflag)."""
     p = purchases(spark, sf_dir, min_qty)
-    nxt = next_in_key(p, "l_partkey", ["l_shipdate", "l_orderkey", "l_linenumber"],
-                      "o_custkey", "callee")
+    # The order is total on the columns used downstream: rows still tied
+    # after it are identical in (customer, flag, quantity).
+    nxt = next_in_key(
+        p, "l_partkey", ["l_shipdate", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"],
+        "o_custkey", "callee",
+    )
     return nxt.where(F.col("callee").isNotNull()).select(
         F.col("o_custkey").alias("caller"),
         F.col("callee"),
@@ -94,7 +98,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("r_name").alias("region"),
             F.col("last_priority").alias("priority"),
             F.col("c_acctbal").alias("monthly_charges"),
-            F.col("total_charges"),
+            F.round(F.col("total_charges"), 2).alias("total_charges"),
             F.datediff(F.lit(TENURE_END).cast("date"), F.col("first_order").cast("date"))
             .cast("long").alias("tenure"),
             F.when(F.col("last_order").isNull() | (F.col("last_order") < F.lit(CHURN_BEFORE).cast("timestamp")), "Yes")
@@ -111,3 +115,23 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_graph(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY) -> PropertyGraph:
     return PropertyGraph(vertices(spark, sf_dir), edges(spark, sf_dir, min_qty))
+
+
+def edges_from_call_log(
+    call_log: DataFrame, directory: DataFrame, drop_unmatched: bool = False
+) -> DataFrame:
+    """Directed (src, dst) customer pairs from a call log and a phone directory.
+
+    ``directory`` has (customer_id, mobile_number).  Calls are first reduced
+    to distinct number pairs (a call log repeats pairs many times, so this
+    partial aggregation shrinks the data before any join shuffles it), then
+    both numbers are mapped to customers.  With ``drop_unmatched=False`` an
+    unknown number gives a null endpoint, as in the original pipeline.
+    """
+    how = "inner" if drop_unmatched else "left"
+    pairs = call_log.select("caller_mobile_number", "callee_mobile_number").distinct()
+    a = directory.select(F.col("mobile_number").alias("_m1"), F.col("customer_id").alias("src"))
+    b = directory.select(F.col("mobile_number").alias("_m2"), F.col("customer_id").alias("dst"))
+    x = pairs.join(a, pairs.caller_mobile_number == a._m1, how)
+    y = x.join(b, x.callee_mobile_number == b._m2, how)
+    return y.select("dst", "src").dropDuplicates()
