@@ -32,6 +32,17 @@ def clustering_coefficient(t: Column | str, d: Column | str) -> Column:
     return F.when((t == 0) | (d == 0), F.lit(0.0)).otherwise(t / comb2(d)).cast("float")
 
 
+def cent_mean(c: Column | str) -> Column:
+    """Mean of a measure with at most two decimals (money, day counts).
+
+    Summed as exact integer cents, so the result does not depend on how rows
+    are split over partitions or combined (a plain float ``avg`` does), then
+    divided once.  Nulls are ignored like ``avg``.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(F.round(c * 100).cast("long")) / F.count(c) / F.lit(100.0)
+
+
 def yes_no(c: Column | str) -> Column:
     """'Yes' -> 1, 'No' -> 0, anything else -> null."""
     c = F.col(c) if isinstance(c, str) else c

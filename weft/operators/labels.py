@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import Rounds, pin, state_partitions
+from weft.operators.iterate import Rounds, cut, pin, state_partitions
 
 
 def label_scores(g, max_iter: int, checkpoint_every: int = 3) -> DataFrame:
@@ -43,7 +43,7 @@ def label_scores(g, max_iter: int, checkpoint_every: int = 3) -> DataFrame:
                 "id", F.coalesce(F.col("nl"), F.col("label")).alias("label")
             )
             labels = loop.step(labels, i)
-        return labels
+        return cut(labels)
     finally:
         links.unpersist()
 

@@ -44,7 +44,7 @@ def bfs_paths(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10
     try:
         seen = cut(v.where(_as_col(from_expr)).select("id", F.lit(0).alias("d")).repartition(n, "id"))
         if seen.isEmpty():
-            return g.spark.createDataFrame([], "v0 long").limit(0), -1
+            return None, -1
         levels = [seen]
         frontier = seen
         k = -1
@@ -82,6 +82,15 @@ def bfs_paths(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10
         e.unpersist()
 
 
+def bfs_path_strings(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10) -> DataFrame:
+    """(path, hops): each shortest path as 'id>id>...' (flat, comparable form)."""
+    ids, k = bfs_paths(g, from_expr, to_expr, edge_filter, max_path_length)
+    if k < 0:
+        return g.spark.createDataFrame([], "path string, hops int")
+    cols = [F.col(f"v{i}").cast("string") for i in range(k + 1)]
+    return ids.select(F.concat_ws(">", *cols).alias("path"), F.lit(k).cast("int").alias("hops"))
+
+
 def bfs(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10) -> DataFrame:
     """Paths as struct columns ``from, e0, v1, e1, ..., to`` (library layout).
 

@@ -91,6 +91,66 @@ def _scaled(rounds: int, personalized: bool) -> str:
     )
 
 
+def _pr_tol() -> list[str]:
+    return [
+        "ewt AS MATERIALIZED (SELECT src, dst, 1.0::DOUBLE / count(*) OVER (PARTITION BY src) AS w FROM vedges)",
+        """fr AS MATERIALIZED (WITH RECURSIVE fr(id, delta, it) AS (
+      SELECT id, 0.15::DOUBLE, 0 FROM verts
+      UNION ALL
+      SELECT ewt.dst, 0.85 * sum(fr.delta * ewt.w), fr.it + 1 FROM fr JOIN ewt ON ewt.src = fr.id
+      WHERE fr.delta > 0.01 GROUP BY ewt.dst, fr.it + 1) SELECT * FROM fr)""",
+        "prt AS MATERIALIZED (SELECT id, sum(delta) AS rank FROM fr GROUP BY id)",
+        """prs AS (SELECT id, round(rank * (SELECT count(*) FROM verts) / (SELECT sum(rank) FROM prt), 6)
+                AS pagerank FROM prt)""",
+    ]
+
+
+BFS_FROM = "name = 'Customer#000000001'"
+BFS_TO = "segment = 'AUTOMOBILE' AND monthly_charges > 9000"
+
+
+def _bfs(edge_filter: str = "TRUE", max_len: int = 10) -> str:
+    return w(
+        f"be AS (SELECT e.src, e.dst FROM edges e JOIN vedges v ON e.src = v.src AND e.dst = v.dst WHERE {edge_filter})",
+        f"bsrc AS (SELECT id FROM verts WHERE {BFS_FROM})",
+        f"btgt AS (SELECT id FROM verts WHERE {BFS_TO})",
+        f"""dist AS MATERIALIZED (SELECT id, min(k) AS k FROM (WITH RECURSIVE d(id, k) AS (
+        SELECT id, 0 FROM bsrc UNION SELECT be.dst, d.k + 1 FROM d JOIN be ON be.src = d.id WHERE d.k < {max_len})
+        SELECT * FROM d) GROUP BY id)""",
+        "kk AS (SELECT min(dist.k) AS k FROM dist JOIN btgt ON dist.id = btgt.id)",
+        """pth AS (WITH RECURSIVE pth(last, path, k) AS (
+        SELECT id, CAST(id AS VARCHAR), 0 FROM bsrc
+        UNION ALL
+        SELECT be.dst, pth.path || '>' || CAST(be.dst AS VARCHAR), pth.k + 1
+        FROM pth JOIN be ON be.src = pth.last JOIN dist ON dist.id = be.dst AND dist.k = pth.k + 1
+        WHERE pth.k < (SELECT k FROM kk)) SELECT * FROM pth)""",
+    ) + "SELECT path, CAST(k AS INT) AS hops FROM pth WHERE k = (SELECT k FROM kk) AND last IN (SELECT id FROM btgt)"
+
+
+COMM = """cstats AS (SELECT label, (sum(CAST(round(monthly_charges * 100) AS BIGINT)) / count(monthly_charges) / 100.0) AS comm_avg_monthly_charges,
+        (sum(CAST(round(total_charges * 100) AS BIGINT)) / count(total_charges) / 100.0) AS comm_avg_total_charges, (sum(CAST(round(tenure * 100) AS BIGINT)) / count(tenure) / 100.0) AS comm_avg_tenure, count(v.id) AS comm_size
+      FROM verts v JOIN lab25 l ON v.id = l.id GROUP BY label)"""
+COMM_DEV = """cdev AS (SELECT v.id, l.label, s.comm_avg_monthly_charges, s.comm_avg_total_charges, s.comm_avg_tenure,
+        s.comm_size, s.comm_avg_monthly_charges - v.monthly_charges AS comm_dev_avg_monthly_charges,
+        s.comm_avg_total_charges - v.total_charges AS comm_dev_avg_total_charges,
+        s.comm_avg_tenure - v.tenure AS comm_dev_avg_tenure
+      FROM verts v JOIN lab25 l ON v.id = l.id LEFT JOIN cstats s ON l.label = s.label)"""
+
+
+def _nghb(direction: str) -> str:
+    und = {
+        "out": "SELECT src AS id, dst AS nbr FROM edges",
+        "both": "SELECT src AS id, dst AS nbr FROM edges UNION ALL SELECT dst, src FROM edges",
+    }[direction]
+    return f"""nghb AS (SELECT u.id, (sum(CAST(round(v.monthly_charges * 100) AS BIGINT)) / count(v.monthly_charges) / 100.0) AS nghb_avg_monthly_charges,
+        (sum(CAST(round(v.total_charges * 100) AS BIGINT)) / count(v.total_charges) / 100.0) AS nghb_avg_total_charges, (sum(CAST(round(v.tenure * 100) AS BIGINT)) / count(v.tenure) / 100.0) AS nghb_avg_tenure
+      FROM ({und}) u LEFT JOIN verts v ON u.nbr = v.id GROUP BY u.id)"""
+
+
+def _r6(cols: list[str]) -> str:
+    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
+
+
 def sql() -> dict[str, str]:
     o: dict[str, str] = {}
     o["call_edges"] = w(
@@ -155,9 +215,9 @@ WHERE id IN (SELECT src FROM se) OR id IN (SELECT dst FROM se)"""
     ) + "SELECT v.id, least(v.id, coalesce(lab.comp, v.id)) AS component FROM verts v LEFT JOIN lab ON v.id = lab.id"
     o["label_propagation_5"] = w(*_lpa(5)) + "SELECT id, label FROM lab5"
     o["community_stats"] = w(*_lpa(25)) + """SELECT label,
-  round(avg(monthly_charges), 6) AS comm_avg_monthly_charges,
-  round(avg(total_charges), 6) AS comm_avg_total_charges,
-  round(avg(tenure), 6) AS comm_avg_tenure, count(v.id) AS comm_size
+  round((sum(CAST(round(monthly_charges * 100) AS BIGINT)) / count(monthly_charges) / 100.0), 6) AS comm_avg_monthly_charges,
+  round((sum(CAST(round(total_charges * 100) AS BIGINT)) / count(total_charges) / 100.0), 6) AS comm_avg_total_charges,
+  round((sum(CAST(round(tenure * 100) AS BIGINT)) / count(tenure) / 100.0), 6) AS comm_avg_tenure, count(v.id) AS comm_size
 FROM verts v JOIN lab25 l ON v.id = l.id GROUP BY label"""
     o["pagerank_10"] = w(*_pagerank(10)) + _scaled(10, False)
     o["pagerank_personalized"] = w(*_pagerank(10, source=1)) + _scaled(10, True)
@@ -189,4 +249,50 @@ FROM tc JOIN dg ON tc.id = dg.id""",
     ).replace("SELECT v.id, coalesce", "SELECT v.id, coalesce", 1)
     # the replace above turns the final SELECT into a CTE chain; fix the leading comma join
     o["clustering_coefficient"] = o["clustering_coefficient"].replace("\n, tc AS", ",\ntc AS")
+    o["bfs_paths"] = _bfs()
+    o["bfs_filtered"] = _bfs("e.relationship <> 'friend'", 3)
+    o["shortest_paths"] = w(
+        "lm AS (SELECT dst AS id FROM edges GROUP BY dst ORDER BY count(*) DESC, dst LIMIT 3)",
+        """sp AS (WITH RECURSIVE s(id, landmark, k) AS (SELECT id, id, 0 FROM lm
+        UNION SELECT e.src, s.landmark, s.k + 1 FROM s JOIN vedges e ON e.dst = s.id WHERE s.k < 100)
+        SELECT * FROM s)""",
+    ) + "SELECT id, landmark, CAST(min(k) AS INT) AS distance FROM sp GROUP BY 1, 2"
+    o["pagerank_tol"] = w(*_pr_tol()) + "SELECT id, pagerank FROM prs"
+    cd_cols = ["comm_avg_monthly_charges", "comm_avg_total_charges", "comm_avg_tenure",
+               "comm_dev_avg_monthly_charges", "comm_dev_avg_total_charges", "comm_dev_avg_tenure"]
+    o["community_deviation"] = w(*_lpa(25), COMM, COMM_DEV) + (
+        f"SELECT id, label, comm_size, {_r6(cd_cols)} FROM cdev"
+    )
+    nb_cols = ["nghb_avg_monthly_charges", "nghb_avg_total_charges", "nghb_avg_tenure"]
+    o["neighbor_avg_out"] = w(_nghb("out")) + f"SELECT id, {_r6(nb_cols)} FROM nghb"
+    o["neighbor_avg_both"] = w(_nghb("both")) + f"SELECT id, {_r6(nb_cols)} FROM nghb"
+    o["graph_features"] = w(
+        *_lpa(25), COMM, COMM_DEV, _nghb("out"), *_pr_tol(),
+        """dg AS (SELECT id, count(*) AS degree, sum(i) AS in_degree, sum(o) AS out_degree FROM (
+      SELECT src AS id, 0 AS i, 1 AS o FROM edges UNION ALL SELECT dst, 1, 0 FROM edges) GROUP BY 1)""",
+        "und AS (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM vedges WHERE src <> dst)",
+        """tri AS (SELECT x.a AS p, x.b AS q, y.b AS r FROM und x JOIN und y ON x.a = y.a AND x.b < y.b
+              JOIN und z ON z.a = x.b AND z.b = y.b)""",
+        "tc AS (SELECT id, count(*) AS n FROM (SELECT p AS id FROM tri UNION ALL SELECT q FROM tri UNION ALL SELECT r FROM tri) GROUP BY 1)",
+        """base AS (SELECT v.id AS customer_id, coalesce(dg.degree, 0) AS degree,
+        CAST(coalesce(dg.in_degree, 0) AS BIGINT) AS in_degree, CAST(coalesce(dg.out_degree, 0) AS BIGINT) AS out_degree,
+        coalesce(tc.n, 0) AS trian_count, coalesce(prs.pagerank, 0.0) AS pagerank
+      FROM verts v LEFT JOIN dg ON v.id = dg.id LEFT JOIN tc ON v.id = tc.id LEFT JOIN prs ON v.id = prs.id)""",
+    ) + f"""SELECT b.customer_id, b.degree, b.in_degree, b.out_degree,
+  CAST(CASE WHEN b.degree = 0 THEN 0.0 ELSE b.in_degree / b.degree END AS FLOAT) AS in_degree_ratio,
+  CAST(CASE WHEN b.degree = 0 THEN 0.0 ELSE b.out_degree / b.degree END AS FLOAT) AS out_degree_ratio,
+  b.pagerank, b.trian_count,
+  CAST(CASE WHEN b.trian_count = 0 OR b.degree = 0 THEN 0.0
+            ELSE b.trian_count / (b.degree * (b.degree - 1) / 2.0) END AS FLOAT) AS cc,
+  round(coalesce(c.comm_avg_monthly_charges, 0), 6) AS comm_avg_monthly_charges,
+  round(coalesce(c.comm_avg_total_charges, 0), 6) AS comm_avg_total_charges,
+  round(coalesce(c.comm_avg_tenure, 0), 6) AS comm_avg_tenure,
+  coalesce(c.comm_size, 0) AS comm_size,
+  round(coalesce(c.comm_dev_avg_monthly_charges, 0), 6) AS comm_dev_avg_monthly_charges,
+  round(coalesce(c.comm_dev_avg_total_charges, 0), 6) AS comm_dev_avg_total_charges,
+  round(coalesce(c.comm_dev_avg_tenure, 0), 6) AS comm_dev_avg_tenure,
+  round(coalesce(n.nghb_avg_monthly_charges, 0), 6) AS nghb_avg_monthly_charges,
+  round(coalesce(n.nghb_avg_total_charges, 0), 6) AS nghb_avg_total_charges,
+  round(coalesce(n.nghb_avg_tenure, 0), 6) AS nghb_avg_tenure
+FROM base b LEFT JOIN cdev c ON b.customer_id = c.id LEFT JOIN nghb n ON b.customer_id = n.id"""
     return o

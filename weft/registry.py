@@ -228,3 +228,79 @@ def clustering_coefficient(spark, sf_dir):
     from weft.operators.triangles import clustering
 
     return clustering(graph(spark, sf_dir))
+
+
+# -- paths -------------------------------------------------------------------
+@q("bfs_paths")
+def bfs_paths(spark, sf_dir):
+    from weft.operators.paths import bfs_path_strings
+
+    return bfs_path_strings(graph(spark, sf_dir), BFS_FROM, BFS_TO)
+
+
+@q("bfs_filtered")
+def bfs_filtered(spark, sf_dir):
+    from weft.operators.paths import bfs_path_strings
+
+    return bfs_path_strings(
+        graph(spark, sf_dir), BFS_FROM, BFS_TO, edge_filter="relationship != 'friend'", max_path_length=3
+    )
+
+
+def _hubs(g, k: int = 3) -> DataFrame:
+    """The k vertices with most in-edges (ties: smaller id) — a DataFrame."""
+    return g.inDegrees.orderBy(F.desc("inDegree"), "id").limit(k).select("id")
+
+
+@q("shortest_paths")
+def shortest_paths(spark, sf_dir):
+    from weft.operators.paths import shortest_path_rows
+
+    g = graph(spark, sf_dir)
+    return shortest_path_rows(g, _hubs(g))
+
+
+@q("pagerank_tol")
+def pagerank_tol(spark, sf_dir):
+    from weft.operators.rank import page_rank_scores
+
+    s = page_rank_scores(graph(spark, sf_dir), 0.15, tol=0.01)
+    return s.select("id", F.round("pagerank", 6).alias("pagerank"))
+
+
+# -- feature parts -------------------------------------------------------------
+_R6 = ("comm_avg_monthly_charges", "comm_avg_total_charges", "comm_avg_tenure",
+       "comm_dev_avg_monthly_charges", "comm_dev_avg_total_charges", "comm_dev_avg_tenure",
+       "nghb_avg_monthly_charges", "nghb_avg_total_charges", "nghb_avg_tenure", "pagerank")
+
+
+def _round6(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if c in _R6 else F.col(c) for c in df.columns])
+
+
+@q("community_deviation")
+def community_deviation(spark, sf_dir):
+    from weft.plans.graph_features import community_deviation as cd
+
+    return _round6(cd(graph(spark, sf_dir), 25))
+
+
+@q("neighbor_avg_out")
+def neighbor_avg_out(spark, sf_dir):
+    from weft.plans.graph_features import neighbor_averages
+
+    return _round6(neighbor_averages(graph(spark, sf_dir), "out"))
+
+
+@q("neighbor_avg_both")
+def neighbor_avg_both(spark, sf_dir):
+    from weft.plans.graph_features import neighbor_averages
+
+    return _round6(neighbor_averages(graph(spark, sf_dir), "both"))
+
+
+@q("graph_features")
+def graph_features(spark, sf_dir):
+    from weft.plans.graph_features import graph_features as gf
+
+    return _round6(gf(graph(spark, sf_dir)))
