@@ -151,6 +151,45 @@ def _r6(cols: list[str]) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
 
 
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _dummy(col: str, value: str) -> str:
+    name = (col + "_" + value).lower().replace(" ", "_").replace("-", "_")
+    return f"CAST(CASE WHEN {col} = '{value}' THEN 1 ELSE 0 END AS BIGINT) AS {name}"
+
+
+USERS = """ru AS (SELECT c_custkey AS id, lower(split_part(c_name, '#', 1)) AS firstname,
+        'n' || split_part(c_name, '#', 2) AS lastname,
+        lower(replace(c_name, '#', '.')) || '@mail.example' AS email, c_mktsegment AS canal, n_name AS country,
+        strftime(first_o, '%m-%d-%Y %-H:%M:%S') AS creation_date,
+        strftime(last_o, '%m-%d-%Y %H:%M:%S') AS last_activity_date,
+        CASE WHEN c_acctbal >= 4500 THEN 1.0 ELSE 0.0 END::DOUBLE AS gender,
+        (floor((c_acctbal + 1000) / 1100) + 1)::DOUBLE AS age_group
+      FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS first_o, max(o_orderdate) AS last_o
+                               FROM orders GROUP BY 1) s ON c_custkey = s.o_custkey
+      LEFT JOIN nation ON c_nationkey = n_nationkey),
+su AS (SELECT id AS user_id, upper(firstname[1:1]) || lower(firstname[2:]) AS firstname_i, firstname, lastname, sha1(email) AS email,
+        canal, country, strptime(creation_date, '%m-%d-%Y %H:%M:%S') AS creation_date,
+        strptime(last_activity_date, '%m-%d-%Y %H:%M:%S') AS last_activity_date,
+        CAST(trunc(gender) AS INT) AS gender, CAST(trunc(age_group) AS INT) AS age_group FROM ru)"""
+ORDERS = """ro AS (SELECT o_custkey AS user_id, o_orderkey AS id, strftime(o_orderdate, '%m-%d-%Y %-H:%M:%S') AS transaction_date,
+        coalesce(n, 0)::DOUBLE AS item_count, o_totalprice AS amount
+      FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) li ON o_orderkey = l_orderkey),
+so AS (SELECT user_id, id AS order_id, transaction_date, CAST(trunc(item_count) AS INT) AS item_count,
+        CAST(trunc(amount) AS INT) AS amount, strptime(transaction_date, '%m-%d-%Y %H:%M:%S') AS creation_date FROM ro)"""
+EVENTS = """re AS (SELECT user_id, event_id, event_type AS platform, strftime(ts, '%m-%d-%Y %H:%M:%S') AS date,
+        event_type AS action, json_extract_string(props, '$.k') AS session_id,
+        'https://shop.example/' || event_type AS url FROM events)"""
+OSTATS = """ost AS (SELECT user_id, count(*) AS order_count, sum(amount) AS total_amount, sum(item_count) AS total_item,
+        max(creation_date) AS last_transaction FROM so GROUP BY 1)"""
+ESTATS = """est AS (SELECT user_id, arg_min(platform, (strptime(date, '%m-%d-%Y %H:%M:%S'), event_id)) AS platform,
+        count(*) AS event_count, count(DISTINCT session_id) AS session_count,
+        max(strptime(date, '%m-%d-%Y %H:%M:%S')) AS last_event FROM re GROUP BY 1)"""
+
+
 def sql() -> dict[str, str]:
     o: dict[str, str] = {}
     o["call_edges"] = w(
@@ -295,4 +334,63 @@ FROM tc JOIN dg ON tc.id = dg.id""",
   round(coalesce(n.nghb_avg_total_charges, 0), 6) AS nghb_avg_total_charges,
   round(coalesce(n.nghb_avg_tenure, 0), 6) AS nghb_avg_tenure
 FROM base b LEFT JOIN cdev c ON b.customer_id = c.id LEFT JOIN nghb n ON b.customer_id = n.id"""
+    dummies = ", ".join(
+        [_dummy("segment", v) for v in SEGMENTS] + [_dummy("region", v) for v in REGIONS]
+        + [_dummy("priority", v) for v in PRIORITIES]
+    )
+    o["customer_features"] = w() + f"""SELECT customer_id, monthly_charges, total_charges, tenure,
+  CAST(CASE churn WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS INT) AS churn, {dummies}
+FROM customers
+WHERE customer_id IS NOT NULL AND monthly_charges IS NOT NULL AND total_charges IS NOT NULL
+  AND tenure IS NOT NULL AND churn IS NOT NULL"""
+    o["column_cleanup"] = w() + """SELECT customer_id, segment, region, monthly_charges,
+  TRY_CAST(CASE WHEN monthly_charges < 0 THEN ' ' ELSE CAST(total_charges AS VARCHAR) END AS DOUBLE) AS total_charges,
+  tenure, churn FROM customers"""
+    o["try_cast_clean"] = w() + """SELECT segment, count(*) AS n,
+  sum(CASE WHEN monthly_charges < 0 OR total_charges IS NULL THEN 1 ELSE 0 END) AS blank_totals,
+  round(sum(CASE WHEN monthly_charges < 0 THEN NULL ELSE CAST(round(total_charges * 100) AS BIGINT) END) / 100.0, 2) AS sum_totals
+FROM customers GROUP BY 1"""
+    o["category_counts"] = w() + "SELECT segment, churn, count(*) AS n FROM customers GROUP BY 1, 2"
+    o["contract_share"] = w() + """SELECT priority, n, round(n / sum(n) OVER (), 6) AS share
+FROM (SELECT priority, count(*) AS n FROM customers GROUP BY 1)"""
+    o["histogram"] = w() + "SELECT CAST(floor(tenure / 100.0) AS BIGINT) AS bin, churn, count(*) AS n FROM customers GROUP BY 1, 2"
+    prof = []
+    for c in ["monthly_charges", "total_charges", "tenure"]:
+        prof.append(f"""SELECT '{c}' AS "column", count({c}) AS n, count(*) - count({c}) AS nulls,
+  count(DISTINCT {c}) AS distinct_count, min({c})::DOUBLE AS min, max({c})::DOUBLE AS max,
+  round(avg({c}::DOUBLE), 4) AS mean, round(stddev_samp({c}::DOUBLE), 4) AS std FROM customers""")
+    o["profile"] = w() + "\nUNION ALL\n".join(prof)
+    tv = []
+    for c in ["segment", "region", "priority", "churn"]:
+        tv.append(f"""SELECT '{c}' AS "column", value, n FROM (SELECT CAST({c} AS VARCHAR) AS value, count(*) AS n,
+  row_number() OVER (ORDER BY count(*) DESC, CAST({c} AS VARCHAR)) AS rn FROM customers WHERE {c} IS NOT NULL GROUP BY 1)
+  WHERE rn = 1""")
+    o["top_values"] = w() + "\nUNION ALL\n".join(tv)
+    o["order_stats"] = w(ORDERS, OSTATS) + "SELECT * FROM ost"
+    o["event_stats"] = w(EVENTS, ESTATS) + "SELECT * FROM est"
+    o["activity_features"] = w(USERS, ORDERS, EVENTS, OSTATS, ESTATS) + """SELECT su.user_id,
+  su.firstname_i AS firstname, upper(su.lastname[1:1]) || lower(su.lastname[2:]) AS lastname, su.email, su.canal, su.country,
+  su.creation_date, su.last_activity_date, su.gender, su.age_group,
+  ost.order_count, ost.total_amount, ost.total_item, ost.last_transaction,
+  est.platform, est.event_count, est.session_count, est.last_event,
+  CAST(datediff('day', CAST(su.creation_date AS DATE), DATE '2024-02-01') AS INT) AS days_since_creation,
+  CAST(datediff('day', CAST(su.last_activity_date AS DATE), DATE '2024-02-01') AS INT) AS days_since_last_activity,
+  CAST(datediff('day', CAST(est.last_event AS DATE), DATE '2024-02-01') AS INT) AS days_last_event
+FROM su JOIN ost ON su.user_id = ost.user_id JOIN est ON su.user_id = est.user_id"""
+    o["churn_rule"] = w(USERS, ORDERS, EVENTS) + """, act AS (SELECT user_id,
+    arg_min(platform, (strptime(date, '%m-%d-%Y %H:%M:%S'), event_id)) AS first_platform,
+    count(*) AS action_count FROM re GROUP BY 1),
+  od AS (SELECT user_id, sum(item_count) AS sum_item_count, count(*) AS order_count FROM ro GROUP BY 1)
+SELECT od.user_id, od.order_count, od.sum_item_count, act.action_count, act.first_platform,
+  5 + CASE WHEN (od.order_count >= 5 AND first_platform = 'purchase')
+    OR (od.order_count = 3 AND gender = 0)
+    OR (od.order_count = 2 AND gender = 1 AND age_group <= 3)
+    OR (sum_item_count <= 1 AND first_platform = 'view')
+    OR (sum_item_count >= 10 AND first_platform = 'purchase')
+    OR action_count >= 4
+    OR country = 'NATION_24'
+    OR datediff('day', CAST(strptime(creation_date, '%m-%d-%Y %H:%M:%S') AS DATE), DATE '2024-02-01') >= 90
+    OR (age_group >= 7 AND gender = 0)
+    OR (age_group <= 2 AND gender = 1) THEN 80 ELSE 20 END AS churn_proba
+FROM od JOIN act ON od.user_id = act.user_id JOIN ru ON od.user_id = ru.id"""
     return o

@@ -304,3 +304,112 @@ def graph_features(spark, sf_dir):
     from weft.plans.graph_features import graph_features as gf
 
     return _round6(gf(graph(spark, sf_dir)))
+
+
+# -- customer features, cleanup, charts, profile ----------------------------------
+@q("customer_features")
+def customer_features(spark, sf_dir):
+    from weft.plans.customer_features import customer_features as cf
+
+    return cf(cg.customers(spark, sf_dir))
+
+
+@q("column_cleanup")
+def column_cleanup(spark, sf_dir):
+    from weft.plans.customer_features import bronze_customers, silver_customers
+
+    return silver_customers(bronze_customers(cg.customers(spark, sf_dir)))
+
+
+@q("try_cast_clean")
+def try_cast_clean(spark, sf_dir):
+    silver = column_cleanup(spark, sf_dir)
+    return silver.groupBy("segment").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("total_charges").isNull().cast("long")).alias("blank_totals"),
+        F.round(F.sum(F.round(F.col("total_charges") * 100).cast("long")) / 100.0, 2).alias("sum_totals"),
+    )
+
+
+@q("category_counts")
+def category_counts(spark, sf_dir):
+    from weft.plans.profile import grouped_counts
+
+    return grouped_counts(cg.customers(spark, sf_dir), "segment", "churn")
+
+
+@q("contract_share")
+def contract_share(spark, sf_dir):
+    from weft.plans.profile import share
+
+    s = share(cg.customers(spark, sf_dir), "priority")
+    return s.select("priority", "n", F.round("share", 6).alias("share"))
+
+
+@q("histogram")
+def histogram(spark, sf_dir):
+    from weft.plans.profile import histogram as hist
+
+    return hist(cg.customers(spark, sf_dir), "tenure", 100.0, "churn")
+
+
+@q("profile")
+def profile(spark, sf_dir):
+    from weft.plans.profile import profile_numeric
+
+    p = profile_numeric(cg.customers(spark, sf_dir), ["monthly_charges", "total_charges", "tenure"])
+    return p.select("column", "n", "nulls", "distinct_count", "min", "max",
+                    F.round("mean", 4).alias("mean"), F.round("std", 4).alias("std"))
+
+
+@q("top_values")
+def top_values(spark, sf_dir):
+    from weft.plans.profile import top_values as tv
+
+    return tv(cg.customers(spark, sf_dir), ["segment", "region", "priority", "churn"])
+
+
+# -- activity / churn features -------------------------------------------------------
+COUNTRY = "NATION_24"
+
+
+def _silver(spark, sf_dir):
+    from weft.plans import activity as act
+
+    return (
+        act.users_silver(act.raw_users(spark, sf_dir)),
+        act.orders_silver(act.raw_orders(spark, sf_dir)),
+        act.raw_events(spark, sf_dir),
+    )
+
+
+@q("order_stats")
+def order_stats(spark, sf_dir):
+    from weft.plans.activity import order_stats as os_
+
+    return os_(_silver(spark, sf_dir)[1])
+
+
+@q("event_stats")
+def event_stats(spark, sf_dir):
+    from weft.plans.activity import event_stats as es
+
+    return es(_silver(spark, sf_dir)[2])
+
+
+@q("activity_features")
+def activity_features(spark, sf_dir):
+    from weft.plans.activity import churn_features
+
+    users, orders, events = _silver(spark, sf_dir)
+    return churn_features(users, orders, events)
+
+
+@q("churn_rule")
+def churn_rule(spark, sf_dir):
+    from weft.plans import activity as act
+
+    return act.churn_probability(
+        act.raw_orders(spark, sf_dir), act.raw_events(spark, sf_dir), act.raw_users(spark, sf_dir),
+        platform_a="purchase", platform_b="view", country=COUNTRY,
+    )
