@@ -393,4 +393,6 @@ SELECT od.user_id, od.order_count, od.sum_item_count, act.action_count, act.firs
     OR (age_group >= 7 AND gender = 0)
     OR (age_group <= 2 AND gender = 1) THEN 80 ELSE 20 END AS churn_proba
 FROM od JOIN act ON od.user_id = act.user_id JOIN ru ON od.user_id = ru.id"""
+    o["stream_activity_features"] = o["activity_features"]
+    o["stream_ingest_orders"] = w(ORDERS) + "SELECT * FROM so"
     return o

@@ -413,3 +413,19 @@ def churn_rule(spark, sf_dir):
         act.raw_orders(spark, sf_dir), act.raw_events(spark, sf_dir), act.raw_users(spark, sf_dir),
         platform_a="purchase", platform_b="view", country=COUNTRY,
     )
+
+
+# -- streams -----------------------------------------------------------------------
+@q("stream_activity_features")
+def stream_activity_features(spark, sf_dir):
+    from weft.plans import activity_stream as st
+
+    return st.features(spark, st.run(spark, sf_dir))
+
+
+@q("stream_ingest_orders")
+def stream_ingest_orders(spark, sf_dir):
+    from weft.plans import activity_stream as st
+
+    tables = st.run(spark, sf_dir)
+    return spark.read.parquet(tables["orders"])
