@@ -395,4 +395,23 @@ SELECT od.user_id, od.order_count, od.sum_item_count, act.action_count, act.firs
 FROM od JOIN act ON od.user_id = act.user_id JOIN ru ON od.user_id = ru.id"""
     o["stream_activity_features"] = o["activity_features"]
     o["stream_ingest_orders"] = w(ORDERS) + "SELECT * FROM so"
+    split = """CAST(('0x' || substr(md5(CAST(customer_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 AS BIGINT)"""
+    o["split_counts"] = w() + f"""SELECT CASE WHEN b < 60 THEN 'train' WHEN b < 80 THEN 'val' ELSE 'test' END AS split,
+  churn, count(*) AS n FROM (SELECT churn, {split} AS b FROM customers) GROUP BY 1, 2"""
+    sc = """sc AS (SELECT customer_id, CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label,
+        (monthly_charges + 1000.0) / 11000.0 AS score FROM customers)"""
+    o["confusion_matrix"] = w(sc) + """SELECT label, CAST(score >= 0.5 AS INT) AS prediction, count(*) AS n FROM sc GROUP BY 1, 2"""
+    bk = """bk AS (SELECT CAST(floor(score * 100) AS BIGINT) AS bucket, sum(label)::DOUBLE AS pos,
+        sum(1 - label)::DOUBLE AS neg FROM sc GROUP BY 1),
+cum AS (SELECT bucket / 100.0 AS threshold,
+        sum(pos) OVER (ORDER BY bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+        sum(neg) OVER (ORDER BY bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+        sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM bk)"""
+    o["roc_points"] = w(sc, bk) + "SELECT round(threshold, 6) AS threshold, round(fp / N, 9) AS fpr, round(tp / P, 9) AS tpr FROM cum"
+    o["pr_points"] = w(sc, bk) + """SELECT round(threshold, 6) AS threshold, round(tp / P, 9) AS recall,
+  round(tp / (tp + fp), 9) AS precision FROM cum"""
+    o["roc_auc"] = w(sc, bk) + """, pts AS (SELECT threshold, fp / N AS fpr, tp / P AS tpr FROM cum),
+lg AS (SELECT fpr, tpr, coalesce(lag(fpr) OVER (ORDER BY threshold DESC), 0.0) AS f0,
+        coalesce(lag(tpr) OVER (ORDER BY threshold DESC), 0.0) AS t0 FROM pts)
+SELECT round(sum((fpr - f0) * (tpr + t0) / 2), 9) AS auc FROM lg"""
     return o

@@ -429,3 +429,115 @@ def stream_ingest_orders(spark, sf_dir):
 
     tables = st.run(spark, sf_dir)
     return spark.read.parquet(tables["orders"])
+
+
+# -- model stage -----------------------------------------------------------------------
+def _score_frame(spark, sf_dir):
+    """Customers with a 0/1 label and a fixed [0, 1] score from the balance."""
+    c = cg.customers(spark, sf_dir)
+    return c.select(
+        "customer_id",
+        F.when(F.col("churn") == "Yes", 1).otherwise(0).alias("label"),
+        ((F.col("monthly_charges") + 1000.0) / 11000.0).alias("score"),
+    )
+
+
+@q("split_counts")
+def split_counts(spark, sf_dir):
+    from weft.plans.model import with_split
+
+    c = cg.customers(spark, sf_dir)
+    return with_split(c, "customer_id").groupBy("split", "churn").agg(F.count(F.lit(1)).alias("n"))
+
+
+@q("confusion_matrix")
+def confusion_matrix(spark, sf_dir):
+    from weft.plans.model import confusion_matrix as cm
+
+    s = _score_frame(spark, sf_dir).withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+    return cm(s, "label")
+
+
+@q("roc_points")
+def roc_points(spark, sf_dir):
+    from weft.plans.model import roc_points as rp
+
+    p = rp(_score_frame(spark, sf_dir), "label", "score", bins=100)
+    return p.select(F.round("threshold", 6).alias("threshold"), F.round("fpr", 9).alias("fpr"),
+                    F.round("tpr", 9).alias("tpr"))
+
+
+@q("pr_points")
+def pr_points(spark, sf_dir):
+    from weft.plans.model import pr_points as pp
+
+    p = pp(_score_frame(spark, sf_dir), "label", "score", bins=100)
+    return p.select(F.round("threshold", 6).alias("threshold"), F.round("recall", 9).alias("recall"),
+                    F.round("precision", 9).alias("precision"))
+
+
+@q("roc_auc")
+def roc_auc(spark, sf_dir):
+    from weft.plans.model import auc_from_points, roc_points as rp
+
+    a = auc_from_points(rp(_score_frame(spark, sf_dir), "label", "score", bins=100))
+    return a.select(F.round("auc", 9).alias("auc"))
+
+
+_MODELS: dict = {}
+
+
+def _trained(spark, sf_dir):
+    """Train once per session and input folder (the model queries share it)."""
+    from weft.plans import model as m
+    from weft.plans.customer_features import customer_features as cf
+    from weft.plans.graph_features import graph_features as gf
+
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        from weft.operators.iterate import cut
+
+        ts = m.training_set(cf(cg.customers(spark, sf_dir)), gf(graph(spark, sf_dir)))
+        ts = cut(m.with_split(ts, "customer_id"))
+        model, cols = m.train(ts, "customer_id", "churn")
+        _MODELS[key] = (model, cols, ts)
+    return _MODELS[key]
+
+
+@q("model_metrics")
+def model_metrics(spark, sf_dir):
+    from weft.plans import model as m
+
+    model, cols, ts = _trained(spark, sf_dir)
+    return m.metrics(m.score(model, ts, cols, "churn"), "churn")
+
+
+@q("feature_importance")
+def feature_importance(spark, sf_dir):
+    from weft.plans import model as m
+
+    model, cols, _ = _trained(spark, sf_dir)
+    return m.feature_importances(spark, model, cols)
+
+
+@q("permutation_importance")
+def permutation_importance(spark, sf_dir):
+    from weft.plans import model as m
+
+    model, cols, ts = _trained(spark, sf_dir)
+    return m.permutation_importance(model, ts, cols, "customer_id", "churn")
+
+
+@q("batch_score")
+def batch_score(spark, sf_dir):
+    from pyspark.ml import PipelineModel
+
+    from weft.operators.iterate import shared_path
+    from weft.plans import model as m
+
+    model, cols, ts = _trained(spark, sf_dir)
+    path = shared_path(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    out = m.score(loaded, ts.where(F.col("split") == "test"), cols, "churn")
+    return out.select("customer_id", "score", "prediction")
