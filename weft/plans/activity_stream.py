@@ -27,10 +27,12 @@ def write_raw_folders(spark: SparkSession, sf_dir: str, root: str) -> None:
     act.raw_events(spark, sf_dir).write.mode("overwrite").option("header", True).csv(f"{root}/events")
 
 
-def run(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, str]:
-    """Run every stream once; returns the table folders."""
+def run(spark: SparkSession, sf_dir: str, root: str | None = None, land_raw: bool = True) -> dict[str, str]:
+    """Run every stream once; returns the table folders.  Re-running on the
+    same root only picks up files not yet committed in the checkpoints."""
     root = root or shared_path(spark, "activity")
-    write_raw_folders(spark, sf_dir, f"{root}/raw")
+    if land_raw:
+        write_raw_folders(spark, sf_dir, f"{root}/raw")
     t = {k: f"{root}/tables/{k}" for k in ("users_bronze", "orders_bronze", "events", "users", "orders")}
     ck = f"{root}/checkpoints"
     await_all(
