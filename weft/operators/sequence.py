@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.operators.iterate import pin
+
 
 def next_in_key(
     df: DataFrame,
@@ -32,7 +34,11 @@ def next_in_key(
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [key, *order]
-    ranged = df.repartitionByRange(n, *sort_cols).withColumn("_pid", F.spark_partition_id())
+    # Both branches below (chunk window and partition heads) must see the same
+    # range bounds; bounds are sampled per exchange, so the ranged rows are
+    # pinned once and read by both.  A lost block is recomputed from the same
+    # shuffle dependency, hence the same bounds.
+    ranged = pin(df.repartitionByRange(n, *sort_cols).withColumn("_pid", F.spark_partition_id()))
 
     w = Window.partitionBy("_pid", key).orderBy(*sort_cols)
     chunked = ranged.withColumn(out, F.lead(value).over(w))

@@ -38,7 +38,7 @@ def queries() -> dict[str, Query]:
 
 
 def graph(spark: SparkSession, sf_dir: str) -> PropertyGraph:
-    return cg.customer_graph(spark, sf_dir)
+    return cg.silver_graph(spark, sf_dir)
 
 
 # -- edges and degrees -------------------------------------------------------
