@@ -94,3 +94,19 @@ def test_rescued_rows(spark):
     rows = spark.read.parquet(f"{root}/out").collect()
     assert len(rows) == 3
     assert sum(1 for r in rows if r["_rescued_data"] is not None) == 2
+
+
+def test_keyed_edges_spreads_a_hub(spark):
+    from weft.operators.iterate import KeyedEdges
+
+    # vertex 0 sends a third of all edges
+    rows = [(0, i) for i in range(1, 1001)] + [(i, (i * 7) % 2000 + 1) for i in range(1, 2001)]
+    e = spark.createDataFrame(rows, "src long, dst long")
+    ke = KeyedEdges(e, "src", partitions=8)
+    assert ke.hubs.where("_hk = 0").count() == 1
+    sizes = ke.df.rdd.glom().map(len).collect()
+    assert max(sizes) < 0.25 * len(rows)  # the hub does not sit in one task
+    state = spark.createDataFrame([(i, float(i)) for i in range(0, 2001)], "id long, v double")
+    got = ke.join(state).groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
+    want = e.join(state, e.src == state.id).groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

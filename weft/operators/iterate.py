@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -82,3 +84,87 @@ class Rounds:
 
     def step(self, df: DataFrame, i: int) -> DataFrame:
         return cut(df) if (i + 1) % self.every == 0 else df
+
+
+@contextmanager
+def fixed_layout(spark: SparkSession):
+    """Plan with adaptive execution off, so a frame pinned inside keeps a
+    partitioning the planner can see; later adaptive joins then reuse it
+    instead of shuffling the frame again.  Restores the setting after."""
+    key = "spark.sql.adaptive.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def broadcast_state_rows(spark: SparkSession) -> int:
+    """Row limit under which per-round vertex state is broadcast
+    (``weft.broadcastStateRows``, default 2,000,000 rows)."""
+    return int(spark.conf.get("weft.broadcastStateRows", "2000000"))
+
+
+class KeyedEdges:
+    """The static edge side of a per-round join, laid out once.
+
+    Edges are hash-partitioned on ``(key, _salt)`` and pinned.  ``_salt`` is 0
+    except for hub keys — keys with more than ``|E| / (n * hub_factor)`` edges
+    (at most ``n * hub_factor`` of them) — whose edges are spread over
+    ``ceil(4 * degree / (|E| / n))`` salts (capped at ``n``), so a hot key is
+    cut into pieces of about a quarter of a balanced partition and no task
+    holds much more than ``|E| / n`` edges.  The (hub, salt) table has at most
+    about ``n * (4 + hub_factor)`` rows: a proven bound, so it is broadcast.
+
+    Each round only the vertex state moves: hub rows are replicated once per
+    salt through that small table and the state is shuffled to the edges'
+    layout; the edges never shuffle again.
+    """
+
+    def __init__(self, edges: DataFrame, key: str, partitions: int | None = None, hub_factor: int = 4):
+        spark = edges.sparkSession
+        self.n = n = partitions or state_partitions(spark)
+        self.key = key
+        total = edges.count()
+        piece = max(1, total // (4 * n))  # a quarter of a balanced partition
+        threshold = max(1, total // (n * hub_factor))
+        deg = edges.groupBy(F.col(key).alias("_hk")).agg(F.count(F.lit(1)).alias("_d"))
+        hubs = deg.where(F.col("_d") > threshold).select(
+            "_hk", F.least(F.lit(n), F.ceil(F.col("_d") / F.lit(piece))).cast("int").alias("_ns")
+        )
+        self.salts = cut(hubs.select("_hk", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1)).alias("_hs")))
+        self.hubs = self.salts.groupBy("_hk").agg(F.count(F.lit(1)).cast("int").alias("_ns"))
+        others = [c for c in edges.columns if c != key]
+        spread = F.xxhash64(*[F.col(c) for c in others]) if others else F.lit(0)
+        salted = edges.join(F.broadcast(self.hubs), edges[key] == F.col("_hk"), "left").select(
+            *edges.columns,
+            F.when(F.col("_hk").isNotNull(), F.pmod(spread, F.col("_ns").cast("long"))).otherwise(F.lit(0))
+            .cast("int").alias("_salt"),
+        )
+        with fixed_layout(spark):
+            self.df = pin(salted.repartition(n, key, "_salt").sortWithinPartitions(key, "_salt"))
+
+    def spread_state(self, state: DataFrame, state_key: str = "id") -> DataFrame:
+        """State rows with ``_ssalt``: one row per salt for hubs, else salt 0."""
+        s = state.join(F.broadcast(self.salts), state[state_key] == F.col("_hk"), "left")
+        return s.select(*state.columns, F.coalesce(F.col("_hs"), F.lit(0)).alias("_ssalt"))
+
+    def join(self, state: DataFrame, state_key: str = "id", how: str = "inner",
+             state_rows: int | None = None) -> DataFrame:
+        """Edges joined with the per-key state (edges keep their layout).
+
+        When the caller knows the state's exact row count and it is within
+        ``broadcast_state_rows(spark)``, the state is broadcast (a proven size
+        bound) and the edges are streamed in place; otherwise the state is
+        spread over the salts and shuffled to the edges' layout.
+        """
+        if state_rows is not None and state_rows <= broadcast_state_rows(state.sparkSession):
+            cond = self.df[self.key] == state[state_key]
+            return self.df.join(F.broadcast(state), cond, how).drop("_salt")
+        s = self.spread_state(state, state_key)
+        cond = (self.df[self.key] == s[state_key]) & (self.df["_salt"] == s["_ssalt"])
+        return self.df.join(s, cond, how).drop("_salt", "_ssalt")
+
+    def unpersist(self) -> None:
+        self.df.unpersist()

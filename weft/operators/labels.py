@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import Rounds, cut, pin, state_partitions
+from weft.operators.iterate import KeyedEdges, Rounds, cut, state_partitions
 
 
 def label_scores(g, max_iter: int, checkpoint_every: int = 3) -> DataFrame:
@@ -24,17 +24,18 @@ def label_scores(g, max_iter: int, checkpoint_every: int = 3) -> DataFrame:
     n = state_partitions(g.spark)
     e = g.valid_edges()
     # One message row per (edge, direction): the receiver and the sender.
-    links = pin(
+    links = KeyedEdges(
         e.select(F.col("dst").alias("tgt"), F.col("src").alias("frm"))
-        .unionByName(e.select(F.col("src").alias("tgt"), F.col("dst").alias("frm")))
-        .repartition(n, "frm")
+        .unionByName(e.select(F.col("src").alias("tgt"), F.col("dst").alias("frm"))),
+        "frm", n,
     )
     ids = g.vertices.select("id").repartition(n, "id")
+    n_vertices = g.vertices.count()
     labels = ids.select("id", F.col("id").alias("label"))
     loop = Rounds(checkpoint_every)
     try:
         for i in range(max_iter):
-            msgs = links.join(labels, links.frm == labels.id).select("tgt", "label")
+            msgs = links.join(labels, state_rows=n_vertices).select("tgt", "label")
             counts = msgs.groupBy("tgt", "label").agg(F.count(F.lit(1)).alias("cnt"))
             best = counts.groupBy("tgt").agg(
                 F.min_by("label", F.struct((-F.col("cnt")).alias("k"), F.col("label").alias("l"))).alias("nl")

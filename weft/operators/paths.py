@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import cut, pin, state_partitions
+from weft.operators.iterate import KeyedEdges, cut, state_partitions
 
 
 def _as_col(expr) -> Column:
@@ -39,7 +39,8 @@ def bfs_paths(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10
     e = e.join(v.select(F.col("id").alias("src")), "src", "left_semi").join(
         v.select(F.col("id").alias("dst")), "dst", "left_semi"
     )
-    e = pin(e.repartition(n, "src"))
+    ke = KeyedEdges(e, "src", n)
+    n_vertices = v.count()
     targets = v.where(_as_col(to_expr)).select("id")
     try:
         seen = cut(v.where(_as_col(from_expr)).select("id", F.lit(0).alias("d")).repartition(n, "id"))
@@ -54,7 +55,7 @@ def bfs_paths(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10
         while k < 0 and depth < max_path_length:
             depth += 1
             nxt = (
-                e.join(frontier.select(F.col("id").alias("src")), "src")
+                ke.join(frontier.select("id"), state_rows=n_vertices)
                 .select(F.col("dst").alias("id"))
                 .distinct()
                 .join(seen.select("id"), "id", "left_anti")
@@ -79,7 +80,7 @@ def bfs_paths(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10
         cols = [f"v{i}" for i in range(k + 1)]
         return cut(paths.select(*cols)), k
     finally:
-        e.unpersist()
+        ke.unpersist()
 
 
 def bfs_path_strings(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10) -> DataFrame:
@@ -135,7 +136,8 @@ def shortest_path_rows(g, landmarks) -> DataFrame:
         lm = spark.createDataFrame([(x,) for x in landmarks], g.vertices.select("id").schema)
     lm = lm.join(g.vertices.select("id"), "id", "left_semi").distinct()
     # reversed edges: walk from a landmark back to everything that reaches it
-    rev = pin(g.valid_edges().select(F.col("dst").alias("at"), F.col("src").alias("to")).distinct().repartition(n, "at"))
+    n_rows = g.vertices.count() * max(1, lm.count())
+    rev = KeyedEdges(g.valid_edges().select(F.col("dst").alias("at"), F.col("src").alias("to")).distinct(), "at", n)
     try:
         seen = cut(lm.select("id", F.col("id").alias("landmark"), F.lit(0).alias("distance")).repartition(n, "id"))
         frontier = seen
@@ -143,7 +145,7 @@ def shortest_path_rows(g, landmarks) -> DataFrame:
         while True:
             depth += 1
             nxt = (
-                rev.join(frontier.select(F.col("id").alias("at"), "landmark"), "at")
+                rev.join(frontier.select("id", "landmark"), state_rows=n_rows)
                 .select(F.col("to").alias("id"), "landmark")
                 .distinct()
                 .join(seen.select("id", "landmark"), ["id", "landmark"], "left_anti")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import Rounds, pin, state_partitions
+from weft.operators.iterate import KeyedEdges, Rounds, state_partitions
 
 _MSG = "_pregel_msg"
 
@@ -88,15 +88,15 @@ class Pregel:
         e = g.edges
         state = v.select("*", *[init.alias(name) for name, init, _ in self._cols])
         state = state.repartition(n, "id")
-        edges = pin(e.select(F.col("src").alias("_s"), F.col("dst").alias("_d"),
-                             F.struct(*e.columns).alias("edge")).repartition(n, "_s"))
+        edges = KeyedEdges(e.select(F.col("src").alias("_s"), F.col("dst").alias("_d"),
+                                    F.struct(*e.columns).alias("edge")), "_s", n)
+        n_vertices = v.count()
         loop = Rounds(self._every)
         try:
             for i in range(self._max_iter):
                 vs = state.select(F.col("id").alias("_k"), F.struct(*state.columns).alias("_v"))
-                trip = (
-                    edges.join(vs.withColumnRenamed("_k", "_s").withColumnRenamed("_v", "src"), "_s")
-                    .join(vs.withColumnRenamed("_k", "_d").withColumnRenamed("_v", "dst"), "_d")
+                trip = edges.join(vs.withColumnRenamed("_v", "src"), "_k", state_rows=n_vertices).drop("_k").join(
+                    vs.withColumnRenamed("_k", "_d").withColumnRenamed("_v", "dst"), "_d"
                 )
                 parts = [trip.select(F.col("_d").alias("_t"), m.alias(_MSG)) for m in self._to_dst]
                 parts += [trip.select(F.col("_s").alias("_t"), m.alias(_MSG)) for m in self._to_src]

@@ -22,14 +22,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import Rounds, cut, pin, state_partitions
+from weft.operators.iterate import KeyedEdges, Rounds, cut, fixed_layout, pin, state_partitions
 
 
-def _weighted_edges(g, n: int) -> DataFrame:
+def _weighted_edges(g, n: int) -> KeyedEdges:
     e = g.valid_edges()
     outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("_od"))
     ew = e.join(outdeg, "src").select("src", "dst", (1.0 / F.col("_od")).alias("w"))
-    return pin(ew.repartition(n, "src").sortWithinPartitions("src"))
+    return KeyedEdges(ew, "src", n)
 
 
 def _scale(ranks: DataFrame, personalized: bool, n_vertices: int) -> DataFrame:
@@ -53,17 +53,18 @@ def page_rank_scores(
         raise ValueError("give exactly one of max_iter and tol")
     spark = g.spark
     n = state_partitions(spark)
-    ids = pin(g.vertices.select("id").repartition(n, "id"))
+    with fixed_layout(spark):
+        ids = pin(g.vertices.select("id").repartition(n, "id"))
     n_vertices = ids.count()
     ew = _weighted_edges(g, n)
     personalized = source_id is not None
     try:
         if max_iter is not None:
-            ranks = _static(ids, ew, reset_prob, source_id, max_iter, checkpoint_every)
+            ranks = _static(ids, ew, reset_prob, source_id, max_iter, checkpoint_every, n_vertices)
         else:
             if personalized:
                 raise NotImplementedError("personalised PageRank takes max_iter")
-            ranks = _until_converged(ids, ew, reset_prob, tol)
+            ranks = _until_converged(ids, ew, reset_prob, tol, n_vertices)
         ranks = cut(ranks)
         return _scale(ranks, personalized, n_vertices)
     finally:
@@ -71,7 +72,7 @@ def page_rank_scores(
         ids.unpersist()
 
 
-def _static(ids, ew, alpha, source_id, max_iter, every) -> DataFrame:
+def _static(ids, ew, alpha, source_id, max_iter, every, n_vertices) -> DataFrame:
     personalized = source_id is not None
     if personalized:
         is_src = F.col("id") == F.lit(source_id)
@@ -82,9 +83,7 @@ def _static(ids, ew, alpha, source_id, max_iter, every) -> DataFrame:
         reset = F.lit(alpha)
     loop = Rounds(every)
     for i in range(max_iter):
-        contrib = ew.join(ranks, ew.src == ranks.id).select(
-            "dst", (F.col("rank") * F.col("w")).alias("c")
-        )
+        contrib = ew.join(ranks, state_rows=n_vertices).select("dst", (F.col("rank") * F.col("w")).alias("c"))
         sums = contrib.groupBy("dst").agg(F.sum("c").alias("s"))
         ranks = ids.join(sums, ids.id == sums.dst, "left").select(
             "id", (reset + F.lit(1.0 - alpha) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank")
@@ -93,15 +92,13 @@ def _static(ids, ew, alpha, source_id, max_iter, every) -> DataFrame:
     return ranks
 
 
-def _until_converged(ids, ew, alpha, tol) -> DataFrame:
+def _until_converged(ids, ew, alpha, tol, n_vertices) -> DataFrame:
     # Round 0: every vertex takes the initial message and holds rank = delta = alpha.
     frontier = ids.select("id", F.lit(alpha).alias("delta"))
     deltas = []
     while True:
         active = frontier.where(F.col("delta") > tol)
-        msgs = ew.join(active, ew.src == active.id).select(
-            "dst", (F.col("delta") * F.col("w")).alias("m")
-        )
+        msgs = ew.join(active, state_rows=n_vertices).select("dst", (F.col("delta") * F.col("w")).alias("m"))
         recv = msgs.groupBy("dst").agg(F.sum("m").alias("s")).select(
             F.col("dst").alias("id"), (F.lit(1.0 - alpha) * F.col("s")).alias("delta")
         )

@@ -414,4 +414,6 @@ cum AS (SELECT bucket / 100.0 AS threshold,
 lg AS (SELECT fpr, tpr, coalesce(lag(fpr) OVER (ORDER BY threshold DESC), 0.0) AS f0,
         coalesce(lag(tpr) OVER (ORDER BY threshold DESC), 0.0) AS t0 FROM pts)
 SELECT round(sum((fpr - f0) * (tpr + t0) / 2), 9) AS auc FROM lg"""
+    o["sample_preview"] = w() + """SELECT customer_id, segment, monthly_charges, churn FROM customers
+ORDER BY md5(CAST(customer_id AS VARCHAR) || ':123'), customer_id LIMIT 100"""
     return o

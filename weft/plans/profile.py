@@ -64,3 +64,21 @@ def top_values(df: DataFrame, cols) -> DataFrame:
         F.min_by(F.struct("value", "n"), F.struct((-F.col("n")).alias("k"), F.col("value").alias("v"))).alias("b")
     )
     return best.select("column", "b.value", "b.n")
+
+
+def sample_rows(df: DataFrame, n: int, total: int | None = None, seed: int = 123,
+                with_replacement: bool = True) -> DataFrame:
+    """About ``n`` rows drawn per row by Bernoulli / Poisson sampling (the size
+    is approximate, no row is gathered anywhere)."""
+    total = total if total is not None else df.count()
+    if total == 0:
+        return df.limit(0)
+    return df.sample(with_replacement, min(1.0, n / total) if not with_replacement else n / total, seed)
+
+
+def hash_sample(df: DataFrame, key: str, n: int = 100, seed: int = 123) -> DataFrame:
+    """Exactly min(n, rows) rows chosen by a seeded hash of the key: a top-n
+    (each task keeps its best n, the driver merges n per task), repeatable
+    whatever the partitioning."""
+    h = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")

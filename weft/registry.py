@@ -541,3 +541,11 @@ def batch_score(spark, sf_dir):
     loaded = PipelineModel.load(path)
     out = m.score(loaded, ts.where(F.col("split") == "test"), cols, "churn")
     return out.select("customer_id", "score", "prediction")
+
+
+@q("sample_preview")
+def sample_preview(spark, sf_dir):
+    from weft.plans.profile import hash_sample
+
+    c = cg.customers(spark, sf_dir).select("customer_id", "segment", "monthly_charges", "churn")
+    return hash_sample(c, "customer_id", 100, seed=123)
