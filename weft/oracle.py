@@ -394,6 +394,7 @@ SELECT od.user_id, od.order_count, od.sum_item_count, act.action_count, act.firs
     OR (age_group <= 2 AND gender = 1) THEN 80 ELSE 20 END AS churn_proba
 FROM od JOIN act ON od.user_id = act.user_id JOIN ru ON od.user_id = ru.id"""
     o["stream_activity_features"] = o["activity_features"]
+    o["activity_features_sql"] = o["activity_features"]
     o["stream_ingest_orders"] = w(ORDERS) + "SELECT * FROM so"
     split = """CAST(('0x' || substr(md5(CAST(customer_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 AS BIGINT)"""
     o["split_counts"] = w() + f"""SELECT CASE WHEN b < 60 THEN 'train' WHEN b < 80 THEN 'val' ELSE 'test' END AS split,

@@ -180,3 +180,32 @@ def feature_importances(spark, model: PipelineModel, cols) -> DataFrame:
     """The trees' split-gain importances (a quick view; one row per feature)."""
     imp = model.stages[-1].featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(cols, [float(x) for x in imp])), "feature string, importance double")
+
+
+def search(df: DataFrame, key: str, label: str, grid: dict | None = None, seed: int = 42,
+           parallelism: int = 2, **gbt):
+    """Model search over a fixed grid, scored by ROC AUC on the validation
+    rows (a ``TrainValidationSplit``).  Candidate models train in parallel
+    Spark jobs; returns (best PipelineModel, feature columns, table of
+    (params, auc) rows)."""
+    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+
+    cols = feature_columns(df, key, label)
+    data = coerce_numeric(df, cols).withColumn(label, F.col(label).cast("double"))
+    data = data.where(F.col("split") != "test").withColumn("is_val", F.lit(False))
+    pipe = build_pipeline(cols, label, seed, **gbt)
+    est = pipe.getStages()[-1]
+    grid = grid or {"maxDepth": [3, 5], "stepSize": [0.0321, 0.1]}
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(est.getParam(name), values)
+    maps = builder.build()
+    tvs = TrainValidationSplit(
+        estimator=pipe, estimatorParamMaps=maps,
+        evaluator=BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction"),
+        trainRatio=0.75, parallelism=parallelism, seed=seed,
+    )
+    fitted = tvs.fit(data)
+    rows = [(str({p.name: v for p, v in m.items()}), float(a)) for m, a in zip(maps, fitted.validationMetrics)]
+    table = df.sparkSession.createDataFrame(rows, "params string, auc double")
+    return fitted.bestModel, cols, table

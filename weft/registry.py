@@ -549,3 +549,11 @@ def sample_preview(spark, sf_dir):
 
     c = cg.customers(spark, sf_dir).select("customer_id", "segment", "monthly_charges", "churn")
     return hash_sample(c, "customer_id", 100, seed=123)
+
+
+@q("activity_features_sql")
+def activity_features_sql(spark, sf_dir):
+    from weft.plans.activity import churn_features_sql
+
+    users, orders, events = _silver(spark, sf_dir)
+    return churn_features_sql(users, orders, events)
