@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import cut, pin, state_partitions
+from weft.operators.iterate import KeyedEdges, cut, state_partitions
 
 
 # --------------------------------------------------------------------------
@@ -59,8 +59,9 @@ def _is_star_forest(c: DataFrame) -> bool:
 
 def component_labels(g, max_rounds: int = 100) -> DataFrame:
     """(id, component) for every vertex; isolated vertices label themselves."""
-    n = state_partitions(g.spark)
-    c = cut(_canonical(g.valid_edges()).repartition(n, "b"))
+    c = cut(_canonical(g.valid_edges()))
+    n = state_partitions(g.spark, c.count())
+    c = cut(c.repartition(n, "b"))
     for _ in range(max_rounds):
         c = cut(_small_star(_large_star(c)))
         if _is_star_forest(c):
@@ -93,52 +94,53 @@ def connected_components(g) -> DataFrame:
 # --------------------------------------------------------------------------
 
 
-def _propagate_min(e: DataFrame, lab: DataFrame, n: int) -> DataFrame:
+def _propagate_min(ke: KeyedEdges, lab: DataFrame, n: int, rows: int) -> DataFrame:
     """Fixpoint of lab(v) = min(lab(v), lab(u)) over edges u -> v."""
     while True:
-        cand = e.join(lab, e.src == lab.id).select(F.col("dst").alias("id"), F.col("lab").alias("c"))
+        cand = ke.join(lab, state_rows=rows).select(F.col("dst").alias("id"), F.col("lab").alias("c"))
         best = cand.groupBy("id").agg(F.min("c").alias("c"))
         new = lab.join(best, "id", "left").select(
             "id",
             F.least(F.col("lab"), F.coalesce(F.col("c"), F.col("lab"))).alias("lab"),
             (F.col("c") < F.col("lab")).alias("chg"),
         )
-        new = cut(new.repartition(n, "id"))
+        new = cut(new)
         if new.where(F.col("chg")).isEmpty():
             return new.select("id", "lab")
         lab = new.select("id", "lab")
 
 
-def _reach_back(e: DataFrame, colour: DataFrame, n: int) -> DataFrame:
+def _reach_back(e: DataFrame, colour: DataFrame, n: int, rows: int) -> DataFrame:
     """Vertices (id, lab) that reach the root of their colour inside it."""
-    # Edges inside one colour only.
+    # Edges inside one colour only, laid out once on dst for the backward walk.
     ec = (
         e.join(colour.withColumnRenamed("id", "src").withColumnRenamed("lab", "ls"), "src")
         .join(colour.withColumnRenamed("id", "dst").withColumnRenamed("lab", "ld"), "dst")
         .where(F.col("ls") == F.col("ld"))
-        .select("src", "dst", F.col("ls").alias("lab"))
+        .select("dst", "src")
     )
-    ec = pin(ec.repartition(n, "dst"))
-    found = cut(colour.where(F.col("id") == F.col("lab")).repartition(n, "id"))
+    ke = KeyedEdges(ec, "dst")
+    found = cut(colour.where(F.col("id") == F.col("lab")))
     frontier = found
     try:
         while True:
-            step = ec.join(frontier.select(F.col("id").alias("dst"), "lab"), ["dst", "lab"]).select(
-                F.col("src").alias("id"), "lab"
-            ).distinct()
-            new = cut(step.join(found.select("id"), "id", "left_anti").repartition(n, "id"))
+            # an edge inside a colour links vertices of that colour, so the
+            # frontier's label is the label of every vertex it reaches
+            step = ke.join(frontier, state_rows=rows).select(F.col("src").alias("id"), "lab").distinct()
+            new = cut(step.join(found.select("id"), "id", "left_anti"))
             if new.isEmpty():
                 return found
             found = cut(found.unionByName(new))
             frontier = new
     finally:
-        ec.unpersist()
+        ke.unpersist()
 
 
 def scc_labels(g, max_iter: int = 10) -> DataFrame:
-    n = state_partitions(g.spark)
     v_all = g.vertices.select("id")
-    e = cut(g.valid_edges().where(F.col("src") != F.col("dst")).distinct().repartition(n, "src"))
+    e = cut(g.valid_edges().where(F.col("src") != F.col("dst")).distinct())
+    n = state_partitions(g.spark, e.count())
+    e = cut(e.repartition(n, "src"))
     remaining = cut(v_all.repartition(n, "id"))
     done = []
     for _ in range(max_iter):
@@ -160,9 +162,14 @@ def scc_labels(g, max_iter: int = 10) -> DataFrame:
             remaining = core
             break
         # (2) colour by smallest reaching id
-        colour = _propagate_min(e, core.select("id", F.col("id").alias("lab")), n)
+        rows = core.count()
+        ke = KeyedEdges(e, "src")
+        try:
+            colour = _propagate_min(ke, core.select("id", F.col("id").alias("lab")), n, rows)
+        finally:
+            ke.unpersist()
         # (3) backward reach from roots inside each colour
-        comp = _reach_back(e, colour, n)
+        comp = _reach_back(e, colour, n, rows)
         done.append(comp.select("id", F.col("lab").alias("component")))
         remaining = cut(core.join(comp.select("id"), "id", "left_anti").repartition(n, "id"))
         e = cut(

@@ -67,13 +67,21 @@ def pin(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def state_partitions(spark: SparkSession) -> int:
-    """Partition count used for per-round vertex state and pinned edges.
+def state_partitions(spark: SparkSession, rows: int | None = None) -> int:
+    """Partition count for pinned edge layouts and per-round vertex state.
 
+    Sized from the data when its row count is known: about
+    ``weft.rowsPerPartition`` rows (default 50,000) per partition, at least
+    one partition per core, at most ``spark.sql.shuffle.partitions``.
     Keeping edges and state on the same count lets the per-round join reuse
     the edges' partitioning instead of shuffling them again.
     """
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    conf_n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if rows is None:
+        return conf_n
+    per = int(spark.conf.get("weft.rowsPerPartition", "50000"))
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(conf_n, max(cores, -(-rows // per))))
 
 
 class Rounds:
@@ -124,9 +132,10 @@ class KeyedEdges:
 
     def __init__(self, edges: DataFrame, key: str, partitions: int | None = None, hub_factor: int = 4):
         spark = edges.sparkSession
-        self.n = n = partitions or state_partitions(spark)
         self.key = key
         total = edges.count()
+        self.rows = total
+        self.n = n = partitions or state_partitions(spark, total)
         piece = max(1, total // (4 * n))  # a quarter of a balanced partition
         threshold = max(1, total // (n * hub_factor))
         deg = edges.groupBy(F.col(key).alias("_hk")).agg(F.count(F.lit(1)).alias("_d"))

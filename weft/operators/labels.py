@@ -21,14 +21,14 @@ from weft.operators.iterate import KeyedEdges, Rounds, cut, state_partitions
 
 def label_scores(g, max_iter: int, checkpoint_every: int = 3) -> DataFrame:
     """(id, label) for every vertex."""
-    n = state_partitions(g.spark)
     e = g.valid_edges()
     # One message row per (edge, direction): the receiver and the sender.
     links = KeyedEdges(
         e.select(F.col("dst").alias("tgt"), F.col("src").alias("frm"))
         .unionByName(e.select(F.col("src").alias("tgt"), F.col("dst").alias("frm"))),
-        "frm", n,
+        "frm",
     )
+    n = links.n
     ids = g.vertices.select("id").repartition(n, "id")
     n_vertices = g.vertices.count()
     labels = ids.select("id", F.col("id").alias("label"))

@@ -32,14 +32,14 @@ def bfs_paths(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10
     Returns ``(paths, k)`` where ``paths`` has id columns ``v0 .. vk`` and
     ``k`` is -1 when no target is reachable within the bound.
     """
-    n = state_partitions(g.spark)
     v = g.vertices
     e = g.edges if edge_filter is None else g.edges.filter(edge_filter)
     e = e.select("src", "dst")
     e = e.join(v.select(F.col("id").alias("src")), "src", "left_semi").join(
         v.select(F.col("id").alias("dst")), "dst", "left_semi"
     )
-    ke = KeyedEdges(e, "src", n)
+    ke = KeyedEdges(e, "src")
+    n = ke.n
     n_vertices = v.count()
     targets = v.where(_as_col(to_expr)).select("id")
     try:
@@ -129,7 +129,6 @@ def shortest_path_rows(g, landmarks) -> DataFrame:
     Distances follow edge direction: hops from ``id`` to ``landmark``.
     """
     spark = g.spark
-    n = state_partitions(spark)
     if isinstance(landmarks, DataFrame):
         lm = landmarks.select(F.col(landmarks.columns[0]).alias("id"))
     else:
@@ -137,7 +136,8 @@ def shortest_path_rows(g, landmarks) -> DataFrame:
     lm = lm.join(g.vertices.select("id"), "id", "left_semi").distinct()
     # reversed edges: walk from a landmark back to everything that reaches it
     n_rows = g.vertices.count() * max(1, lm.count())
-    rev = KeyedEdges(g.valid_edges().select(F.col("dst").alias("at"), F.col("src").alias("to")).distinct(), "at", n)
+    rev = KeyedEdges(g.valid_edges().select(F.col("dst").alias("at"), F.col("src").alias("to")).distinct(), "at")
+    n = rev.n
     try:
         seen = cut(lm.select("id", F.col("id").alias("landmark"), F.lit(0).alias("distance")).repartition(n, "id"))
         frontier = seen

@@ -83,13 +83,13 @@ class Pregel:
         if self._agg is None or not (self._to_dst or self._to_src):
             raise ValueError("set a message and an aggregate first")
         g = self._g
-        n = state_partitions(g.spark)
         v = g.vertices
         e = g.edges
+        edges = KeyedEdges(e.select(F.col("src").alias("_s"), F.col("dst").alias("_d"),
+                                    F.struct(*e.columns).alias("edge")), "_s")
+        n = edges.n
         state = v.select("*", *[init.alias(name) for name, init, _ in self._cols])
         state = state.repartition(n, "id")
-        edges = KeyedEdges(e.select(F.col("src").alias("_s"), F.col("dst").alias("_d"),
-                                    F.struct(*e.columns).alias("edge")), "_s", n)
         n_vertices = v.count()
         loop = Rounds(self._every)
         try:

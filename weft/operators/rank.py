@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from weft.operators.iterate import KeyedEdges, Rounds, cut, fixed_layout, pin, state_partitions
 
 
-def _weighted_edges(g, n: int) -> KeyedEdges:
+def _weighted_edges(g, n: int | None) -> KeyedEdges:
     e = g.valid_edges()
     outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("_od"))
     ew = e.join(outdeg, "src").select("src", "dst", (1.0 / F.col("_od")).alias("w"))
@@ -52,11 +52,11 @@ def page_rank_scores(
     if (max_iter is None) == (tol is None):
         raise ValueError("give exactly one of max_iter and tol")
     spark = g.spark
-    n = state_partitions(spark)
+    ew = _weighted_edges(g, None)
+    n = ew.n
     with fixed_layout(spark):
         ids = pin(g.vertices.select("id").repartition(n, "id"))
     n_vertices = ids.count()
-    ew = _weighted_edges(g, n)
     personalized = source_id is not None
     try:
         if max_iter is not None:

@@ -104,7 +104,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.round(F.col("total_charges"), 2).alias("total_charges"),
             F.datediff(F.lit(TENURE_END).cast("date"), F.col("first_order").cast("date"))
             .cast("long").alias("tenure"),
-            F.when(F.col("last_order").isNull() | (F.col("last_order") < F.lit(CHURN_BEFORE).cast("timestamp")), "Yes")
+            F.when(F.col("last_order").isNull() | (F.col("last_order") < F.lit(CHURN_BEFORE).cast("timestamp_ntz")), "Yes")
             .otherwise("No").alias("churn"),
             F.concat(F.lit(PHONE_PREFIX), F.col("c_custkey").cast("string")).alias("mobile_number"),
         )
