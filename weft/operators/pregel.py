@@ -91,13 +91,17 @@ class Pregel:
         state = v.select("*", *[init.alias(name) for name, init, _ in self._cols])
         state = state.repartition(n, "id")
         n_vertices = v.count()
+        # The destination's state is joined only when a message reads it.  A
+        # message to a non-vertex is dropped by the final left join either way,
+        # so skipping the join does not change the result.
+        uses_dst = bool(self._to_src) or any("dst" in str(m) for m in self._to_dst)
         loop = Rounds(self._every)
         try:
             for i in range(self._max_iter):
                 vs = state.select(F.col("id").alias("_k"), F.struct(*state.columns).alias("_v"))
-                trip = edges.join(vs.withColumnRenamed("_v", "src"), "_k", state_rows=n_vertices).drop("_k").join(
-                    vs.withColumnRenamed("_k", "_d").withColumnRenamed("_v", "dst"), "_d"
-                )
+                trip = edges.join(vs.withColumnRenamed("_v", "src"), "_k", state_rows=n_vertices).drop("_k")
+                if uses_dst:
+                    trip = trip.join(vs.withColumnRenamed("_k", "_d").withColumnRenamed("_v", "dst"), "_d")
                 parts = [trip.select(F.col("_d").alias("_t"), m.alias(_MSG)) for m in self._to_dst]
                 parts += [trip.select(F.col("_s").alias("_t"), m.alias(_MSG)) for m in self._to_src]
                 msgs = parts[0]
