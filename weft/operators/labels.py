@@ -35,13 +35,14 @@ def label_scores(g, max_iter: int, checkpoint_every: int = 3) -> DataFrame:
     loop = Rounds(checkpoint_every)
     try:
         for i in range(max_iter):
-            msgs = links.join(labels, state_rows=n_vertices).select("tgt", "label")
-            counts = msgs.groupBy("tgt", "label").agg(F.count(F.lit(1)).alias("cnt"))
-            best = counts.groupBy("tgt").agg(
-                F.min_by("label", F.struct((-F.col("cnt")).alias("k"), F.col("label").alias("l"))).alias("nl")
-            )
-            labels = labels.join(best, labels.id == best.tgt, "left").select(
-                "id", F.coalesce(F.col("nl"), F.col("label")).alias("label")
+            msgs = links.join(labels, state_rows=n_vertices).select("tgt", "label", F.lit(1).alias("w"))
+            # every vertex also offers its own label with weight 0: it is not
+            # counted as a vote, but a vertex without messages keeps it, so no
+            # join back to the vertex table is needed
+            own = labels.select(F.col("id").alias("tgt"), "label", F.lit(0).alias("w"))
+            counts = msgs.unionByName(own).groupBy("tgt", "label").agg(F.sum("w").alias("cnt"))
+            labels = counts.groupBy(F.col("tgt").alias("id")).agg(
+                F.min_by("label", F.struct((-F.col("cnt")).alias("k"), F.col("label").alias("l"))).alias("label")
             )
             labels = loop.step(labels, i)
         return cut(labels)

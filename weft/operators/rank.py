@@ -82,12 +82,13 @@ def _static(ids, ew, alpha, source_id, max_iter, every, n_vertices) -> DataFrame
         ranks = ids.select("id", F.lit(1.0).alias("rank"))
         reset = F.lit(alpha)
     loop = Rounds(every)
+    # every vertex adds a zero contribution to itself, so the sum covers all
+    # vertices and no join back to the vertex table is needed
+    zero = ids.select(F.col("id").alias("dst"), F.lit(0.0).alias("c"))
     for i in range(max_iter):
         contrib = ew.join(ranks, state_rows=n_vertices).select("dst", (F.col("rank") * F.col("w")).alias("c"))
-        sums = contrib.groupBy("dst").agg(F.sum("c").alias("s"))
-        ranks = ids.join(sums, ids.id == sums.dst, "left").select(
-            "id", (reset + F.lit(1.0 - alpha) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank")
-        )
+        sums = contrib.unionByName(zero).groupBy(F.col("dst").alias("id")).agg(F.sum("c").alias("s"))
+        ranks = sums.select("id", (reset + F.lit(1.0 - alpha) * F.col("s")).alias("rank"))
         ranks = loop.step(ranks, i)
     return ranks
 
