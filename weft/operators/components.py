@@ -130,7 +130,7 @@ def _reach_back(e: DataFrame, colour: DataFrame, n: int, rows: int) -> DataFrame
             new = cut(step.join(found.select("id"), "id", "left_anti"))
             if new.isEmpty():
                 return found
-            found = cut(found.unionByName(new))
+            found = found.unionByName(new)  # union of checkpointed levels
             frontier = new
     finally:
         ke.unpersist()

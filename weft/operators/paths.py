@@ -65,7 +65,7 @@ def bfs_paths(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10
             if nxt.isEmpty():
                 break
             levels.append(nxt)
-            seen = cut(seen.unionByName(nxt))
+            seen = seen.unionByName(nxt)  # union of checkpointed levels
             frontier = nxt
             if not nxt.join(targets, "id", "left_semi").isEmpty():
                 k = depth
@@ -154,7 +154,7 @@ def shortest_path_rows(g, landmarks) -> DataFrame:
             nxt = cut(nxt.repartition(n, "id"))
             if nxt.isEmpty():
                 return seen
-            seen = cut(seen.unionByName(nxt))
+            seen = seen.unionByName(nxt)  # union of checkpointed levels
             frontier = nxt
     finally:
         rev.unpersist()
