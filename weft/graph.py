@@ -22,6 +22,7 @@ class PropertyGraph:
             raise ValueError(f"edge DataFrame needs columns {sorted(missing)}")
         self._v = vertices
         self._e = edges
+        self._valid: DataFrame | None = None
 
     # -- basic access -----------------------------------------------------
     @property
@@ -37,11 +38,20 @@ class PropertyGraph:
         return self._v.sparkSession
 
     def valid_edges(self) -> DataFrame:
-        """Edges (src, dst) whose endpoints are both vertices (semi joins)."""
-        ids = self._v.select("id")
-        e = self._e.select("src", "dst")
-        e = e.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
-        return e.join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "dst")
+        """Edges (src, dst) whose endpoints are both vertices (semi joins).
+
+        Computed once per graph and checkpointed, so the algorithms run on
+        the same graph (e.g. the feature table) do not repeat the two joins.
+        """
+        if self._valid is None:
+            from weft.operators.iterate import cut
+
+            ids = self._v.select("id")
+            e = self._e.select("src", "dst")
+            e = e.join(ids.withColumnRenamed("id", "src"), "src", "left_semi")
+            e = e.join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi").select("src", "dst")
+            self._valid = cut(e)
+        return self._valid
 
     def validate(self) -> DataFrame:
         """Edges that name an absent vertex (anti joins)."""
