@@ -415,6 +415,13 @@ cum AS (SELECT bucket / 100.0 AS threshold,
 lg AS (SELECT fpr, tpr, coalesce(lag(fpr) OVER (ORDER BY threshold DESC), 0.0) AS f0,
         coalesce(lag(tpr) OVER (ORDER BY threshold DESC), 0.0) AS t0 FROM pts)
 SELECT round(sum((fpr - f0) * (tpr + t0) / 2), 9) AS auc FROM lg"""
+    ue = """ue AS (SELECT DISTINCT c2.customer_id AS dst, c1.customer_id AS src
+  FROM (SELECT DISTINCT 'P' || CAST(caller AS VARCHAR) AS a, 'P' || CAST(callee AS VARCHAR) AS b FROM calls) pairs
+  LEFT JOIN (SELECT * FROM customers WHERE monthly_charges >= 0) c1 ON pairs.a = c1.mobile_number
+  LEFT JOIN (SELECT * FROM customers WHERE monthly_charges >= 0) c2 ON pairs.b = c2.mobile_number)"""
+    o["call_edges_unmatched"] = w(ue) + "SELECT dst, src FROM ue"
+    o["unmatched_degrees"] = w(ue) + (
+        "SELECT id, count(*) AS degree FROM (SELECT src AS id FROM ue UNION ALL SELECT dst FROM ue) GROUP BY 1")
     o["sample_preview"] = w() + """SELECT customer_id, segment, monthly_charges, churn FROM customers
 ORDER BY md5(CAST(customer_id AS VARCHAR) || ':123'), customer_id LIMIT 100"""
     return o

@@ -557,3 +557,24 @@ def activity_features_sql(spark, sf_dir):
 
     users, orders, events = _silver(spark, sf_dir)
     return churn_features_sql(users, orders, events)
+
+
+def _partial_directory_edges(spark, sf_dir):
+    """Call edges when the phone directory lists only customers with a
+    non-negative balance: unknown numbers become null endpoints (kept)."""
+    log = cg.call_log(spark, sf_dir)
+    directory = cg.customers(spark, sf_dir).where(F.col("monthly_charges") >= 0).select(
+        "customer_id", "mobile_number")
+    return cg.edges_from_call_log(log, directory, drop_unmatched=False)
+
+
+@q("call_edges_unmatched")
+def call_edges_unmatched(spark, sf_dir):
+    return _partial_directory_edges(spark, sf_dir)
+
+
+@q("unmatched_degrees")
+def unmatched_degrees(spark, sf_dir):
+    from weft.operators.degrees import degrees as dg
+
+    return dg(_partial_directory_edges(spark, sf_dir))
