@@ -72,3 +72,14 @@ def test_equal_count_labels_take_smallest(spark):
     g = graph(spark, [1, 2, 3], [(1, 3), (2, 3)])
     lab = {r[0]: r[1] for r in label_scores(g, 1).collect()}
     assert lab[3] == 1
+
+
+def test_bfs_parallel_edges(spark):
+    v = spark.createDataFrame([(1, "s"), (2, "m"), (3, "t")], "id long, name string")
+    e = spark.createDataFrame([(1, 2, "x"), (1, 2, "y"), (2, 3, "z")], "src long, dst long, kind string")
+    g = PropertyGraph(v, e)
+    p = g.bfs("name = 's'", "name = 't'")
+    # one row per edge combination: two parallel first hops
+    assert sorted(r[0] for r in p.select("e0.kind").collect()) == ["x", "y"]
+    from weft.operators.paths import bfs_path_strings
+    assert [tuple(r) for r in bfs_path_strings(g, "name = 's'", "name = 't'").collect()] == [("1>2>3", 2)]

@@ -71,11 +71,13 @@ def bfs_paths(g, from_expr, to_expr, edge_filter=None, max_path_length: int = 10
                 k = depth
         if k < 0:
             return None, -1
-        # Backward rebuild along DAG edges, from the targets of level k.
+        # Backward rebuild along DAG edges, from the targets of level k; vertex
+        # paths are distinct (parallel edges are attached later, in ``bfs``).
+        links = e.distinct()
         paths = levels[k].join(targets, "id", "left_semi").select(F.col("id").alias(f"v{k}"))
         for i in range(k, 0, -1):
             prev = levels[i - 1].select(F.col("id").alias(f"v{i-1}"))
-            step = e.select(F.col("src").alias(f"v{i-1}"), F.col("dst").alias(f"v{i}"))
+            step = links.select(F.col("src").alias(f"v{i-1}"), F.col("dst").alias(f"v{i}"))
             paths = paths.join(step, f"v{i}").join(prev, f"v{i-1}", "left_semi")
         cols = [f"v{i}" for i in range(k + 1)]
         return cut(paths.select(*cols)), k
