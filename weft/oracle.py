@@ -422,6 +422,10 @@ SELECT round(sum((fpr - f0) * (tpr + t0) / 2), 9) AS auc FROM lg"""
     o["call_edges_unmatched"] = w(ue) + "SELECT dst, src FROM ue"
     o["unmatched_degrees"] = w(ue) + (
         "SELECT id, count(*) AS degree FROM (SELECT src AS id FROM ue UNION ALL SELECT dst FROM ue) GROUP BY 1")
+    o["profile_quantiles"] = w() + "\nUNION ALL\n".join(
+        f"""SELECT '{c}' AS "column", quantile_disc({c}::DOUBLE, 0.25) AS p25,
+  quantile_disc({c}::DOUBLE, 0.5) AS p50, quantile_disc({c}::DOUBLE, 0.75) AS p75 FROM customers"""
+        for c in ["monthly_charges", "total_charges", "tenure"])
     o["sample_preview"] = w() + """SELECT customer_id, segment, monthly_charges, churn FROM customers
 ORDER BY md5(CAST(customer_id AS VARCHAR) || ':123'), customer_id LIMIT 100"""
     return o

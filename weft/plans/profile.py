@@ -82,3 +82,17 @@ def hash_sample(df: DataFrame, key: str, n: int = 100, seed: int = 123) -> DataF
     whatever the partitioning."""
     h = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
     return df.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
+
+
+def profile_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75), accuracy: int = 10000) -> DataFrame:
+    """(column, p25, p50, p75) from ``percentile_approx`` — a bounded-memory
+    sketch merged across tasks (an exact percentile would gather every value
+    of a column in one task).  It returns the smallest value whose rank
+    reaches the probability; exact while a column has fewer rows than
+    ``accuracy``."""
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    aggs = [F.percentile_approx(F.col(c).cast("double"), list(probs), accuracy).alias(c) for c in cols]
+    wide = df.agg(*aggs)
+    parts = ", ".join(f"'{c}', `{c}`" for c in cols)
+    long_ = wide.selectExpr(f"stack({len(cols)}, {parts}) AS (`column`, q)")
+    return long_.select("column", *[F.col("q").getItem(i).alias(nm) for i, nm in enumerate(names)])

@@ -578,3 +578,10 @@ def unmatched_degrees(spark, sf_dir):
     from weft.operators.degrees import degrees as dg
 
     return dg(_partial_directory_edges(spark, sf_dir))
+
+
+@q("profile_quantiles")
+def profile_quantiles(spark, sf_dir):
+    from weft.plans.profile import profile_quantiles as pq
+
+    return pq(cg.customers(spark, sf_dir), ["monthly_charges", "total_charges", "tenure"])
