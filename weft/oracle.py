@@ -426,6 +426,10 @@ SELECT round(sum((fpr - f0) * (tpr + t0) / 2), 9) AS auc FROM lg"""
         f"""SELECT '{c}' AS "column", quantile_disc({c}::DOUBLE, 0.25) AS p25,
   quantile_disc({c}::DOUBLE, 0.5) AS p50, quantile_disc({c}::DOUBLE, 0.75) AS p75 FROM customers"""
         for c in ["monthly_charges", "total_charges", "tenure"])
+    o["training_set"] = (
+        "SELECT * FROM (" + o["customer_features"] + ") cf LEFT JOIN (" + o["graph_features"]
+        + ") gf USING (customer_id)"
+    )
     o["sample_preview"] = w() + """SELECT customer_id, segment, monthly_charges, churn FROM customers
 ORDER BY md5(CAST(customer_id AS VARCHAR) || ':123'), customer_id LIMIT 100"""
     return o

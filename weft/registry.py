@@ -585,3 +585,21 @@ def profile_quantiles(spark, sf_dir):
     from weft.plans.profile import profile_quantiles as pq
 
     return pq(cg.customers(spark, sf_dir), ["monthly_charges", "total_charges", "tenure"])
+
+
+@q("training_set")
+def training_set(spark, sf_dir):
+    """Customer and graph feature tables written as keyed tables (key checked
+    non-null and unique), read back, and left-joined on the key."""
+    from weft.operators.iterate import shared_path
+    from weft.plans.customer_features import customer_features as cf
+    from weft.plans.graph_features import graph_features as gf
+    from weft.plans.model import training_set as ts
+    from weft.sources.sinks import read_table, write_feature_table
+
+    root = shared_path(spark, "feature-tables")
+    write_feature_table(cf(cg.customers(spark, sf_dir)), f"{root}/customer_features", "customer_id",
+                        "customer attributes: one-hot categoricals, label")
+    write_feature_table(_round6(gf(graph(spark, sf_dir))), f"{root}/graph_features", "customer_id",
+                        "features of the customer call network")
+    return ts(read_table(spark, f"{root}/customer_features"), read_table(spark, f"{root}/graph_features"))
