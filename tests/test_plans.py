@@ -110,3 +110,31 @@ def test_keyed_edges_spreads_a_hub(spark):
     got = ke.join(state).groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
     want = e.join(state, e.src == state.id).groupBy("src").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_clustering_degree_options(g):
+    from weft.operators.triangles import clustering
+
+    d = {r[0]: round(r[3], 6) for r in clustering(g, "directed").collect()}
+    u = {r[0]: round(r[3], 6) for r in clustering(g, "undirected").collect()}
+    assert d["b"] == 0.0 and d["d"] == 1.0
+    # a has 3 distinct neighbours (b, d, e) and one triangle: 1/3 either way
+    assert u["a"] == 0.333333 and u["e"] == 0.333333
+
+
+def test_model_pipeline_small(spark):
+    from pyspark.sql import functions as F
+
+    from weft.plans import model as m
+
+    rows = [(i, float(i % 7), "x" if i % 3 else "y", int(i % 7 > 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "customer_id long, f double, cat string, churn int")
+    df = m.with_split(df, "customer_id")
+    pipe = m.build_pipeline(["f", "cat"], "churn", onehot=("cat",), maxIter=5)
+    data = df.withColumn("churn", F.col("churn").cast("double")).where("split != 'test'").withColumn(
+        "is_val", F.col("split") == "val")
+    model = pipe.fit(data)
+    out = model.transform(df.withColumn("churn", F.col("churn").cast("double")).withColumn("is_val", F.lit(False)))
+    assert out.where("prediction = churn").count() / out.count() > 0.9
+    cm = m.confusion_matrix(out, "churn").collect()
+    assert sum(r["n"] for r in cm) == 300

@@ -62,16 +62,25 @@ def triangle_count(g) -> DataFrame:
     return g.vertices.join(triangle_counts(g), "id", "left")
 
 
-def clustering(g) -> DataFrame:
+def clustering(g, degree: str = "directed") -> DataFrame:
     """(id, count, degree, cc): triangles over C(degree, 2), float32.
 
-    ``degree`` is the directed in+out degree (as in the original feature),
-    inner-joined, so vertices on no edge are absent.
+    ``degree="directed"`` uses the in+out degree of the edge table, as the
+    original feature does (a reciprocal pair counts twice, which can push the
+    coefficient down); ``"undirected"`` uses the number of distinct
+    neighbours, the textbook local clustering coefficient.  Inner-joined:
+    vertices on no edge are absent.
     """
-    from weft.operators.degrees import degrees
+    from weft.operators.degrees import degrees, neighbor_pairs
 
     t = triangle_counts(g)
-    d = degrees(g.edges)
+    if degree == "directed":
+        d = degrees(g.edges)
+    elif degree == "undirected":
+        nb = neighbor_pairs(g.valid_edges()).where(F.col("id") != F.col("neighbor"))
+        d = nb.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
+    else:
+        raise ValueError("degree is 'directed' or 'undirected'")
     return t.join(d, "id").select(
         "id", "count", "degree", clustering_coefficient("count", "degree").alias("cc")
     )

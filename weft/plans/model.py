@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,16 +51,35 @@ def coerce_numeric(df: DataFrame, cols) -> DataFrame:
                        for c in df.columns])
 
 
-def build_pipeline(cols, label: str, seed: int = 42, **gbt) -> Pipeline:
+def build_pipeline(cols, label: str, seed: int = 42, onehot=(), **gbt) -> Pipeline:
+    """Imputer (mean) -> scaler (mean 0, unit sample std) for numeric
+    columns; columns in ``onehot`` are indexed (unknown values kept in an
+    extra slot) and one-hot encoded with the last slot dropped, so an unseen
+    value encodes as all zeros; then the blocks are assembled for the
+    boosted trees."""
     params = {**GBT_PARAMS, **gbt}
-    imputed = [f"{c}__imp" for c in cols]
-    return Pipeline(stages=[
-        Imputer(strategy="mean", inputCols=list(cols), outputCols=imputed),
-        VectorAssembler(inputCols=imputed, outputCol="features_raw", handleInvalid="keep"),
-        StandardScaler(withMean=True, withStd=True, inputCol="features_raw", outputCol="features"),
+    num = [c for c in cols if c not in set(onehot)]
+    imputed = [f"{c}__imp" for c in num]
+    stages = [
+        Imputer(strategy="mean", inputCols=num, outputCols=imputed),
+        VectorAssembler(inputCols=imputed, outputCol="num_raw", handleInvalid="keep"),
+        StandardScaler(withMean=True, withStd=True, inputCol="num_raw", outputCol="num_scaled"),
+    ]
+    blocks = ["num_scaled"]
+    if onehot:
+        idx = [f"{c}__idx" for c in onehot]
+        vec = [f"{c}__ohe" for c in onehot]
+        stages += [
+            StringIndexer(inputCols=list(onehot), outputCols=idx, handleInvalid="keep"),
+            OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True, handleInvalid="keep"),
+        ]
+        blocks += vec
+    stages += [
+        VectorAssembler(inputCols=blocks, outputCol="features"),
         GBTClassifier(featuresCol="features", labelCol=label, seed=seed,
                       validationIndicatorCol="is_val", **params),
-    ])
+    ]
+    return Pipeline(stages=stages)
 
 
 def train(df: DataFrame, key: str, label: str, seed: int = 42, **gbt) -> tuple[PipelineModel, list[str]]:
