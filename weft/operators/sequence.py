@@ -58,3 +58,14 @@ def next_in_key(
         F.coalesce(F.col(out), F.when(F.col("_nk") == F.col(key), F.col("_nv"))).alias(out),
     )
     return fixed
+
+
+def latest_per_key(df: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:
+    """The row with the greatest ``order`` tuple per ``key`` (top-1 per group).
+
+    A ``max_by`` aggregate rather than ``row_number()`` over a window: the
+    aggregate combines map-side, so each task ships one candidate per key and
+    a key holding a third of the rows is still reduced in parallel.
+    """
+    best = F.max_by(F.struct(*[F.col(c) for c in columns]), F.struct(*[F.col(c) for c in order]))
+    return df.groupBy(key).agg(best.alias("_top")).select(key, *[F.col(f"_top.{c}").alias(c) for c in columns])

@@ -396,6 +396,15 @@ FROM od JOIN act ON od.user_id = act.user_id JOIN ru ON od.user_id = ru.id"""
     o["stream_activity_features"] = o["activity_features"]
     o["activity_features_sql"] = o["activity_features"]
     o["stream_ingest_orders"] = w(ORDERS) + "SELECT * FROM so"
+    o["stream_users"] = w(USERS) + """SELECT user_id, firstname_i AS firstname,
+  upper(lastname[1:1]) || lower(lastname[2:]) AS lastname, email, canal, country, creation_date,
+  last_activity_date, gender, age_group FROM su"""
+    o["stream_events"] = w(EVENTS) + "SELECT * FROM re"
+    o["latest_order"] = w() + """SELECT o_custkey AS customer_id,
+  arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey,
+  max(o_orderdate) AS o_orderdate,
+  arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS o_totalprice
+FROM orders GROUP BY o_custkey"""
     split = """CAST(('0x' || substr(md5(CAST(customer_id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 AS BIGINT)"""
     o["split_counts"] = w() + f"""SELECT CASE WHEN b < 60 THEN 'train' WHEN b < 80 THEN 'val' ELSE 'test' END AS split,
   churn, count(*) AS n FROM (SELECT churn, {split} AS b FROM customers) GROUP BY 1, 2"""

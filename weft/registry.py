@@ -431,6 +431,36 @@ def stream_ingest_orders(spark, sf_dir):
     return spark.read.parquet(tables["orders"])
 
 
+@q("stream_users")
+def stream_users(spark, sf_dir):
+    """Silver users (rename, hash, parse, initcap, cast) written by the stream."""
+    from weft.plans import activity_stream as st
+
+    tables = st.run(spark, sf_dir)
+    return spark.read.parquet(tables["users"])
+
+
+@q("stream_events")
+def stream_events(spark, sf_dir):
+    """Events landed as CSV and ingested by the stream (rescued column dropped)."""
+    from weft.plans import activity_stream as st
+
+    tables = st.run(spark, sf_dir)
+    return spark.read.parquet(tables["events"]).drop("_rescued_data")
+
+
+@q("latest_order")
+def latest_order(spark, sf_dir):
+    """Latest order per customer: date, then order key, descending (ORD-02)."""
+    from weft.operators.sequence import latest_per_key
+    from weft.sources.tables import table
+
+    od = table(spark, sf_dir, "orders")
+    return latest_per_key(
+        od, "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderkey", "o_orderdate", "o_totalprice"]
+    ).withColumnRenamed("o_custkey", "customer_id")
+
+
 # -- model stage -----------------------------------------------------------------------
 def _score_frame(spark, sf_dir):
     """Customers with a 0/1 label and a fixed [0, 1] score from the balance."""
