@@ -22,25 +22,27 @@ from weft.operators.iterate import KeyedEdges, Rounds, cut, state_partitions
 def label_scores(g, max_iter: int, checkpoint_every: int = 3) -> DataFrame:
     """(id, label) for every vertex."""
     e = g.valid_edges()
-    # One message row per (edge, direction): the receiver and the sender.
+    ids = g.vertices.select("id")
+    # The static link table: one row per (edge, direction) carrying a vote
+    # (w = 1) from ``frm`` to ``tgt``, plus one self row per vertex (w = 0).
+    # The self row is not counted as a vote, but it offers the vertex its own
+    # label, so a vertex without messages keeps it.  Each round then reads
+    # the previous labels exactly once (one join), so rounds between cuts
+    # cost linearly instead of re-running the earlier rounds per reference.
     links = KeyedEdges(
-        e.select(F.col("dst").alias("tgt"), F.col("src").alias("frm"))
-        .unionByName(e.select(F.col("src").alias("tgt"), F.col("dst").alias("frm"))),
+        e.select(F.col("dst").alias("tgt"), F.col("src").alias("frm"), F.lit(1).alias("w"))
+        .unionByName(e.select(F.col("src").alias("tgt"), F.col("dst").alias("frm"), F.lit(1).alias("w")))
+        .unionByName(ids.select(F.col("id").alias("tgt"), F.col("id").alias("frm"), F.lit(0).alias("w"))),
         "frm",
     )
     n = links.n
-    ids = g.vertices.select("id").repartition(n, "id")
     n_vertices = g.vertices.count()
-    labels = ids.select("id", F.col("id").alias("label"))
+    labels = ids.repartition(n, "id").select("id", F.col("id").alias("label"))
     loop = Rounds(checkpoint_every)
     try:
         for i in range(max_iter):
-            msgs = links.join(labels, state_rows=n_vertices).select("tgt", "label", F.lit(1).alias("w"))
-            # every vertex also offers its own label with weight 0: it is not
-            # counted as a vote, but a vertex without messages keeps it, so no
-            # join back to the vertex table is needed
-            own = labels.select(F.col("id").alias("tgt"), "label", F.lit(0).alias("w"))
-            counts = msgs.unionByName(own).groupBy("tgt", "label").agg(F.sum("w").alias("cnt"))
+            msgs = links.join(labels, state_rows=n_vertices).select("tgt", "label", "w")
+            counts = msgs.groupBy("tgt", "label").agg(F.sum("w").alias("cnt"))
             labels = counts.groupBy(F.col("tgt").alias("id")).agg(
                 F.min_by("label", F.struct((-F.col("cnt")).alias("k"), F.col("label").alias("l"))).alias("label")
             )

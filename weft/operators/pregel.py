@@ -34,7 +34,7 @@ class Pregel:
         self._to_dst: list[Column] = []
         self._to_src: list[Column] = []
         self._agg: Column | None = None
-        self._every = 3
+        self._every = 2
 
     # placeholders ---------------------------------------------------------
     @staticmethod
