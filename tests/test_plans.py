@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weft.functions.columns import clean_name_camel, clean_name_dummies, safe_ratio
-from weft.operators.sequence import next_in_key
+from weft.operators.sequence import latest_per_key, next_in_key
 from weft.plans.customer_features import one_hot_encode
 from weft.sources import sinks
 
@@ -25,6 +25,17 @@ def test_next_in_key_matches_window_with_hot_key(spark):
         map(tuple, want.select("k", "o", "v", "nxt").collect()))
 
 
+def test_latest_per_key_matches_row_number_with_hot_key_and_ties(spark):
+    # key 0 holds a third of the rows; many rows share a date within a key,
+    # so the second order column decides
+    rows = [((0 if i % 3 == 0 else i % 11), i % 5, i, f"r{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, d long, o long, s string").repartition(6)
+    got = latest_per_key(df, "k", ["d", "o"], ["o", "s"])
+    w = Window.partitionBy("k").orderBy(F.desc("d"), F.desc("o"))
+    want = df.withColumn("r", F.row_number().over(w)).where("r = 1").select("k", "o", "s")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_name_rules():
     assert clean_name_camel("customerID") == "customer_id"
     assert clean_name_camel("MonthlyCharges") == "monthly_charges"
