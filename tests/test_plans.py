@@ -123,6 +123,32 @@ def test_keyed_edges_spreads_a_hub(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_state_broadcast_checks_rows_and_bytes(spark):
+    from weft.operators.iterate import KeyedEdges, row_width, state_fits_broadcast
+
+    e = spark.createDataFrame([(i, i + 1) for i in range(200)], "src long, dst long")
+    state = spark.createDataFrame([(i, float(i), "x") for i in range(201)], "id long, v double, s string")
+    assert row_width(state.schema) == 8 + 8 + 20
+    ke = KeyedEdges(e, "src", partitions=4)
+    want = sorted(map(tuple, e.join(state, e.src == state.id).select("src", "dst", "v").collect()))
+    try:
+        assert state_fits_broadcast(state, 201)
+        plan = ke.join(state, state_rows=201)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        spark.conf.set("weft.broadcastStateBytes", str(201 * 36 - 1))  # one byte short
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert not state_fits_broadcast(state, 201)
+        j = ke.join(state, state_rows=201)
+        # only the bounded salt table is broadcast; edges and state join shuffled
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        assert sorted(map(tuple, j.select("src", "dst", "v").collect())) == want
+    finally:
+        spark.conf.unset("weft.broadcastStateBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        ke.unpersist()
+
+
 def test_clustering_degree_options(g):
     from weft.operators.triangles import clustering
 

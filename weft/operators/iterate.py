@@ -21,6 +21,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -114,6 +115,43 @@ def broadcast_state_rows(spark: SparkSession) -> int:
     return int(spark.conf.get("weft.broadcastStateRows", "2000000"))
 
 
+def broadcast_state_bytes(spark: SparkSession) -> int:
+    """Byte limit for a broadcast state (``weft.broadcastStateBytes``,
+    default 64 MiB), checked against rows x estimated row width."""
+    return int(spark.conf.get("weft.broadcastStateBytes", str(64 << 20)))
+
+
+def row_width(dt: T.DataType) -> int:
+    """Estimated bytes of one value of ``dt`` (strings and binaries 20,
+    arrays and maps as one element; an upper-end guess, like Spark's
+    default sizes)."""
+    if isinstance(dt, T.StructType):
+        return sum(row_width(f.dataType) for f in dt.fields) or 1
+    if isinstance(dt, T.ArrayType):
+        return row_width(dt.elementType)
+    if isinstance(dt, T.MapType):
+        return row_width(dt.keyType) + row_width(dt.valueType)
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return 20
+    if isinstance(dt, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    return 8
+
+
+def state_fits_broadcast(state: DataFrame, rows: int | None) -> bool:
+    """True when a state of exactly ``rows`` rows is within both limits."""
+    if rows is None:
+        return False
+    spark = state.sparkSession
+    return rows <= broadcast_state_rows(spark) and rows * row_width(state.schema) <= broadcast_state_bytes(spark)
+
+
 class KeyedEdges:
     """The static edge side of a per-round join, laid out once.
 
@@ -163,12 +201,13 @@ class KeyedEdges:
              state_rows: int | None = None) -> DataFrame:
         """Edges joined with the per-key state (edges keep their layout).
 
-        When the caller knows the state's exact row count and it is within
-        ``broadcast_state_rows(spark)``, the state is broadcast (a proven size
-        bound) and the edges are streamed in place; otherwise the state is
-        spread over the salts and shuffled to the edges' layout.
+        When the caller knows the state's exact row count and both the rows
+        and rows x row width are within the limits (``state_fits_broadcast``),
+        the state is broadcast (a proven size bound) and the edges are
+        streamed in place; otherwise the state is spread over the salts and
+        shuffled to the edges' layout.
         """
-        if state_rows is not None and state_rows <= broadcast_state_rows(state.sparkSession):
+        if state_fits_broadcast(state, state_rows):
             cond = self.df[self.key] == state[state_key]
             return self.df.join(F.broadcast(state), cond, how).drop("_salt")
         s = self.spread_state(state, state_key)
