@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import KeyedEdges, Rounds, cut, state_partitions
+from weft.operators.iterate import KeyedEdges, Rounds, cut
 
 
 def label_scores(g, max_iter: int, checkpoint_every: int = 3) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import KeyedEdges, cut, state_partitions
+from weft.operators.iterate import KeyedEdges, cut
 
 
 def _as_col(expr) -> Column:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import KeyedEdges, Rounds, state_partitions
+from weft.operators.iterate import KeyedEdges, Rounds
 
 _MSG = "_pregel_msg"
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import KeyedEdges, Rounds, cut, fixed_layout, pin, state_partitions
+from weft.operators.iterate import KeyedEdges, Rounds, cut, fixed_layout, pin
 
 
 def _weighted_edges(g, n: int | None) -> KeyedEdges:

@@ -6,7 +6,6 @@ full.  Column names match the SQL in :mod:`weft.oracle`.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
