@@ -158,11 +158,11 @@ def scc_labels(g, max_iter: int = 10) -> DataFrame:
                 core.withColumnRenamed("id", "dst"), "dst", "left_semi"
             )
         )
-        if core.isEmpty():
+        rows = core.count()
+        if rows == 0:
             remaining = core
             break
         # (2) colour by smallest reaching id
-        rows = core.count()
         ke = KeyedEdges(e, "src")
         try:
             colour = _propagate_min(ke, core.select("id", F.col("id").alias("lab")), n, rows)
@@ -172,6 +172,8 @@ def scc_labels(g, max_iter: int = 10) -> DataFrame:
         comp = _reach_back(e, colour, n, rows)
         done.append(comp.select("id", F.col("lab").alias("component")))
         remaining = cut(core.join(comp.select("id"), "id", "left_anti").repartition(n, "id"))
+        if remaining.isEmpty():
+            break
         e = cut(
             e.join(remaining.withColumnRenamed("id", "src"), "src", "left_semi").join(
                 remaining.withColumnRenamed("id", "dst"), "dst", "left_semi"
