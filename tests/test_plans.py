@@ -175,3 +175,16 @@ def test_model_pipeline_small(spark):
     assert out.where("prediction = churn").count() / out.count() > 0.9
     cm = m.confusion_matrix(out, "churn").collect()
     assert sum(r["n"] for r in cm) == 300
+
+
+def test_model_search_small(spark):
+    from weft.plans import model as m
+
+    rows = [(i, float(i % 7), float(i % 5), int(i % 7 > 3)) for i in range(300)]
+    df = m.with_split(spark.createDataFrame(rows, "customer_id long, f double, g double, churn int"), "customer_id")
+    best, cols, table = m.search(df, "customer_id", "churn", grid={"maxDepth": [2, 3]}, maxIter=5,
+                                 featureSubsetStrategy="all")
+    assert sorted(cols) == ["f", "g"]
+    got = table.collect()
+    assert len(got) == 2 and all(0.0 <= r["auc"] <= 1.0 for r in got)
+    assert max(r["auc"] for r in got) > 0.9

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"model_metrics", "permutation_importance", "batch_score", "feature_importance"}
+SLOW = {"model_metrics", "permutation_importance", "batch_score", "feature_importance", "model_search"}
 
 
 def norm(v):

@@ -211,7 +211,9 @@ def search(df: DataFrame, key: str, label: str, grid: dict | None = None, seed:
 
     cols = feature_columns(df, key, label)
     data = coerce_numeric(df, cols).withColumn(label, F.col(label).cast("double"))
-    data = data.where(F.col("split") != "test").withColumn("is_val", F.lit(False))
+    # the trees early-stop on the "val" rows, as in ``train``; candidates are
+    # compared on the share the TrainValidationSplit holds out
+    data = data.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
     pipe = build_pipeline(cols, label, seed, **gbt)
     est = pipe.getStages()[-1]
     grid = grid or {"maxDepth": [3, 5], "stepSize": [0.0321, 0.1]}

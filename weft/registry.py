@@ -541,6 +541,17 @@ def model_metrics(spark, sf_dir):
     return m.metrics(m.score(model, ts, cols, "churn"), "churn")
 
 
+@q("model_search")
+def model_search(spark, sf_dir):
+    """Grid search (TrainValidationSplit on the non-test rows) over the
+    training set: one (params, auc) row per candidate."""
+    from weft.plans import model as m
+
+    _, _, ts = _trained(spark, sf_dir)
+    _, _, table = m.search(ts, "customer_id", "churn")
+    return table
+
+
 @q("feature_importance")
 def feature_importance(spark, sf_dir):
     from weft.plans import model as m
