@@ -188,3 +188,37 @@ def test_model_search_small(spark):
     got = table.collect()
     assert len(got) == 2 and all(0.0 <= r["auc"] <= 1.0 for r in got)
     assert max(r["auc"] for r in got) > 0.9
+
+
+def test_batch_readers_writers_and_sampling(spark, tmp_path):
+    from weft.plans.profile import sample_rows
+    from weft.sources.sinks import append_table, overwrite_table, read_table
+    from weft.sources.tables import csv_dir, json_dir
+
+    root = str(tmp_path)
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text("id,amount\n1,2.5\n2,oops\n")
+    c = csv_dir(spark, f"{root}/csv", "id BIGINT, amount DOUBLE, _rescued_data STRING").collect()
+    by_id = {r["id"]: r for r in c}
+    assert by_id[1]["amount"] == 2.5 and by_id[1]["_rescued_data"] is None
+    assert by_id[2]["amount"] is None and by_id[2]["_rescued_data"] is not None
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json" / "a.json").write_text('{"id": 1, "v": "x"}\nnot json\n')
+    j = json_dir(spark, f"{root}/json", "id BIGINT, v STRING, _rescued_data STRING").collect()
+    assert sorted((r["id"], r["_rescued_data"] is None) for r in j if r["id"] is not None) == [(1, True)]
+    assert sum(1 for r in j if r["_rescued_data"] is not None) == 1
+
+    df = spark.range(0, 100).withColumn("p", F.col("id") % 3)
+    path = overwrite_table(df, f"{root}/t", partition_by=["p"])
+    overwrite_table(df, path, partition_by=["p"])  # replaces, does not add
+    assert read_table(spark, path).count() == 100
+    append_table(spark.range(100, 110).withColumn("p", F.lit(0)).withColumn("extra", F.lit("e")), path,
+                 partition_by=["p"])
+    t = read_table(spark, path)
+    assert t.count() == 110 and "extra" in t.columns  # schema merged on read
+
+    big = spark.range(0, 20000)
+    s1 = sample_rows(big, 1000, seed=123, with_replacement=False)
+    s2 = sample_rows(big, 1000, seed=123, with_replacement=False)
+    assert 700 < s1.count() < 1300  # Bernoulli sample: size is approximate
+    assert sorted(r[0] for r in s1.collect()) == sorted(r[0] for r in s2.collect())  # seeded

@@ -27,8 +27,14 @@ def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = N
     return path
 
 
-def append_table(df: DataFrame, path: str) -> str:
-    df.write.mode("append").parquet(path)
+def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    """Append; a partitioned table must be appended with the same
+    ``partition_by`` (files written outside the partition folders would
+    clash with the partition column and be lost on read)."""
+    w = df.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return path
 
 
