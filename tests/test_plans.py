@@ -222,3 +222,24 @@ def test_batch_readers_writers_and_sampling(spark, tmp_path):
     s2 = sample_rows(big, 1000, seed=123, with_replacement=False)
     assert 700 < s1.count() < 1300  # Bernoulli sample: size is approximate
     assert sorted(r[0] for r in s1.collect()) == sorted(r[0] for r in s2.collect())  # seeded
+
+
+def test_ingest_infers_schema_and_customer_graph(spark, tmp_path):
+    from weft.plans import callgraph as cg
+    from weft.streaming.ingest import await_all, infer_schema, ingest_folder
+
+    root = str(tmp_path)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("user_id,amount\n1,2.5\n2,3.0\n")
+    s = infer_schema(spark, f"{root}/in", "csv", sampling_ratio=1.0)
+    assert [(f.name, f.dataType.typeName()) for f in s.fields] == [
+        ("user_id", "integer"), ("amount", "double"), ("_rescued_data", "string")]
+    # no schema given: inferred from every row of the (tiny) folder
+    await_all(ingest_folder(spark, f"{root}/in", "csv", f"{root}/out", f"{root}/ck", sampling_ratio=1.0))
+    got = sorted((r["user_id"], r["amount"]) for r in spark.read.parquet(f"{root}/out").collect())
+    assert got == [(1, 2.5), (2, 3.0)]
+
+    sf = "/root/testdata/sf0.001"
+    lazy = cg.customer_graph(spark, sf)
+    silver = cg.silver_graph(spark, sf)
+    assert sorted(map(tuple, lazy.degrees.collect())) == sorted(map(tuple, silver.degrees.collect()))

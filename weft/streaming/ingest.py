@@ -73,9 +73,14 @@ def ingest_folder(
     table_path: str,
     checkpoint: str,
     schema: StructType | str | None = None,
+    sampling_ratio: float = 0.1,
 ) -> StreamingQuery:
-    """Start a run-once file-to-table stream; returns the running query."""
-    s = with_rescue(schema) if schema is not None else infer_schema(spark, path, fmt)
+    """Start a run-once file-to-table stream; returns the running query.
+
+    Without a schema, types are inferred from a ``sampling_ratio`` share of
+    the rows already in the folder (a sample of a tiny folder may be empty,
+    which leaves every column a string; use 1.0 there)."""
+    s = with_rescue(schema) if schema is not None else infer_schema(spark, path, fmt, sampling_ratio)
     return write_table_stream(read_folder_stream(spark, path, fmt, s), table_path, checkpoint)
 
 
