@@ -8,16 +8,58 @@ inside each (partition, key) chunk, and the last row of a chunk takes the
 first row of the next non-empty partition when that row has the same key.
 The fix-up table has one row per partition, so its size is bounded by the
 partition count, not by the data, and it is safe to broadcast.
+
+The in-chunk ``lead`` runs as ``mapInPandas`` over the range-partitioned,
+locally sorted rows.  A ``Window.partitionBy(partition id, key)`` would need
+its own hash exchange (Spark cannot see that the rows already sit in those
+partitions), i.e. a second full shuffle of the input; the pandas step is a
+vectorised shift per Arrow batch that moves no data.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from weft.operators.iterate import pin
 
 
+def _lead_in_partition(key: str, value: str, out: str):
+    """Per-partition step: rows arrive sorted by (key, order); ``out`` is the
+    next row's ``value`` when its key is the same (nulls compare equal, as
+    window partitions group them).  One batch is held back so its last row
+    can look at the first row of the following batch."""
+
+    def nullable(s):
+        import pandas as pd
+
+        return s.astype("Int64") if pd.api.types.is_integer_dtype(s.dtype) else s
+
+    def same(a, b):
+        return (a == b).fillna(False).astype(bool) | (a.isna() & b.isna())
+
+    def run(batches):
+        held = None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            k, v = nullable(pdf[key]), nullable(pdf[value])
+            pdf[out] = v.shift(-1).where(same(k.shift(-1), k))
+            if held is not None:
+                hk, fk = held[key].iloc[-1], pdf[key].iloc[0]
+                import pandas as pd
+
+                if (pd.isna(hk) and pd.isna(fk)) or (not pd.isna(hk) and not pd.isna(fk) and hk == fk):
+                    held.loc[held.index[-1], out] = v.iloc[0]
+                yield held
+            held = pdf
+        if held is not None:
+            yield held
+
+    return run
+
+
 def next_in_key(
     df: DataFrame,
     key: str,
@@ -40,8 +82,9 @@ def next_in_key(
     # shuffle dependency, hence the same bounds.
     ranged = pin(df.repartitionByRange(n, *sort_cols).withColumn("_pid", F.spark_partition_id()))
 
-    w = Window.partitionBy("_pid", key).orderBy(*sort_cols)
-    chunked = ranged.withColumn(out, F.lead(value).over(w))
+    vtype = df.schema[value].dataType
+    schema = StructType(ranged.schema.fields + [StructField(out, vtype, True)])
+    chunked = ranged.sortWithinPartitions(*sort_cols).mapInPandas(_lead_in_partition(key, value, out), schema)
 
     # First row of every non-empty partition (a global-order minimum).
     heads = ranged.groupBy("_pid").agg(
