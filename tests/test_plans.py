@@ -45,6 +45,25 @@ def test_next_in_key_across_arrow_batches_and_null_keys(spark):
     assert [r for r in got if r[0] is not None] == nonnull
 
 
+def test_next_in_key_with_adaptive_range_partitions(spark):
+    # no partition count: AQE merges adjacent range partitions (made small
+    # here so several uneven partitions remain); a hot key spans them
+    rows = [((0 if i % 3 == 0 else i % 17), i * 7 % 1000, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    confs = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        got = sorted(map(tuple, next_in_key(df, "k", ["o", "v"], "v", "nxt").select("k", "o", "v", "nxt").collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = df.withColumn("nxt", F.lead("v").over(Window.partitionBy("k").orderBy("o", "v")))
+    assert got == sorted(map(tuple, want.select("k", "o", "v", "nxt").collect()))
+
+
 def test_latest_per_key_matches_row_number_with_hot_key_and_ties(spark):
     # key 0 holds a third of the rows; many rows share a date within a key,
     # so the second order column decides

@@ -73,14 +73,16 @@ def next_in_key(
     Rows tied on ``(key, *order)`` must carry the same ``value`` for the
     result to be deterministic (true for the call-graph derivation).
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [key, *order]
     # Both branches below (chunk window and partition heads) must see the same
     # range bounds; bounds are sampled per exchange, so the ranged rows are
     # pinned once and read by both.  A lost block is recomputed from the same
     # shuffle dependency, hence the same bounds.
-    ranged = pin(df.repartitionByRange(n, *sort_cols).withColumn("_pid", F.spark_partition_id()))
+    # Without an explicit count, adaptive execution sizes the range partitions
+    # from the data (it only merges adjacent ranges, so partition ids stay in
+    # key order).
+    ranged_rows = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
+    ranged = pin(ranged_rows.withColumn("_pid", F.spark_partition_id()))
 
     vtype = df.schema[value].dataType
     schema = StructType(ranged.schema.fields + [StructField(out, vtype, True)])
