@@ -18,6 +18,7 @@ vectorised shift per Arrow batch that moves no data.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -32,8 +33,6 @@ def _lead_in_partition(key: str, value: str, out: str):
     can look at the first row of the following batch."""
 
     def nullable(s):
-        import pandas as pd
-
         return s.astype("Int64") if pd.api.types.is_integer_dtype(s.dtype) else s
 
     def same(a, b):
@@ -48,8 +47,6 @@ def _lead_in_partition(key: str, value: str, out: str):
             pdf[out] = v.shift(-1).where(same(k.shift(-1), k))
             if held is not None:
                 hk, fk = held[key].iloc[-1], pdf[key].iloc[0]
-                import pandas as pd
-
                 if (pd.isna(hk) and pd.isna(fk)) or (not pd.isna(hk) and not pd.isna(fk) and hk == fk):
                     held.loc[held.index[-1], out] = v.iloc[0]
                 yield held
