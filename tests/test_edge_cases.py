@@ -83,3 +83,25 @@ def test_bfs_parallel_edges(spark):
     assert sorted(r[0] for r in p.select("e0.kind").collect()) == ["x", "y"]
     from weft.operators.paths import bfs_path_strings
     assert [tuple(r) for r in bfs_path_strings(g, "name = 's'", "name = 't'").collect()] == [("1>2>3", 2)]
+
+
+def test_properties_on_derived_call_graph(spark):
+    from weft.plans import callgraph as cg
+
+    g = cg.silver_graph(spark, "/root/testdata/sf0.001")
+    n = g.vertices.count()
+    e = g.valid_edges()
+    pr = page_rank_scores(g, max_iter=10)
+    assert abs(pr.agg(F.sum("pagerank")).first()[0] - n) < 1e-6 * n  # rank sum = |V|
+    wcc = component_labels(g)
+    scc = scc_labels(g)
+    # component label is constant across every edge and is the smallest member id
+    ends = e.join(wcc.withColumnRenamed("id", "src").withColumnRenamed("component", "cs"), "src").join(
+        wcc.withColumnRenamed("id", "dst").withColumnRenamed("component", "cd"), "dst")
+    assert ends.where("cs != cd").count() == 0
+    assert wcc.groupBy("component").agg(F.min("id").alias("m")).where("m != component").count() == 0
+    assert scc.groupBy("component").agg(F.min("id").alias("m")).where("m != component").count() == 0
+    # SCC refines WCC: every strong component lies inside one weak component
+    both = scc.withColumnRenamed("component", "s").join(wcc.withColumnRenamed("component", "w"), "id")
+    assert both.groupBy("s").agg(F.countDistinct("w").alias("k")).where("k > 1").count() == 0
+    assert wcc.count() == scc.count() == n
