@@ -105,3 +105,15 @@ def test_properties_on_derived_call_graph(spark):
     both = scc.withColumnRenamed("component", "s").join(wcc.withColumnRenamed("component", "w"), "id")
     assert both.groupBy("s").agg(F.countDistinct("w").alias("k")).where("k > 1").count() == 0
     assert wcc.count() == scc.count() == n
+
+
+def test_blank_numeric_strings_become_null_under_ansi(spark):
+    from weft.plans.customer_features import silver_customers
+    from weft.plans.model import coerce_numeric
+
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"  # a plain cast would raise
+    bronze = spark.createDataFrame([("1", "12.5"), ("2", " "), ("3", ""), ("4", "n/a")], "CustomerID string, TotalCharges string")
+    got = {r["customer_id"]: r["total_charges"] for r in silver_customers(bronze).collect()}
+    assert got == {"1": 12.5, "2": None, "3": None, "4": None}
+    c = coerce_numeric(spark.createDataFrame([(" ", 1), ("2.5", 2)], "f string, k int"), ["f"]).collect()
+    assert [r["f"] for r in c] == [None, 2.5]
