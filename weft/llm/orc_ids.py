@@ -29,28 +29,25 @@ from pyspark.sql import functions as F
 
 from weft.llm.common import doc_texts, stored
 from weft.llm.encode import encoder
+from weft.llm.words import table_chunks
 from weft.operators.iterate import shared_path
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, keeps_blanks: bool = False,
               stripe_bytes: int = 16 << 20, row_stride: int = 1000, partitions: int | None = None) -> None:
     """ORC files of (doc_id, ids) in ascending doc_id order at ``path``."""
-    end = np.array([end_id], np.uint32).tobytes()
     kind = pa.schema([("doc_id", pa.int64()), ("place", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def encoded(batches):
         enc = encoder(tokenizer, keeps_blanks)
         place = 0
-        for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
-                ids = [x + end for x in enc.encode(part.column(1).to_pylist())]
-                offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), np.int32))
-                places = pa.array(np.arange(place, place + len(ids)))
-                place += len(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), places, pa.ListArray.from_arrays(pa.array(offsets), values)], schema=kind)
+        for t in table_chunks(batches):
+            offsets, ids = enc.encode_closed(t.column(1).combine_chunks(), end_id)
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))
+            places = pa.array(np.arange(place, place + len(lists)))
+            place += len(lists)
+            for batch in pa.Table.from_arrays([t.column(0), places, lists], schema=kind).to_batches(1000):
+                yield batch
 
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

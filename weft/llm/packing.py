@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.common import doc_texts, stored
 from weft.llm.encode import encoder
+from weft.llm.words import table_chunks
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -39,24 +40,22 @@ CLOSED = np.iinfo(np.int64).max  # no open sequence has this gap
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keeps_blanks: bool = True) -> DataFrame:
     """One row per piece; only documents over ``capacity`` are cut, with the
     shorter piece first."""
-    end = np.array([end_id], np.uint32).tobytes()
-
     def pieces(batches):
         enc = encoder(tokenizer, keeps_blanks)
-        for b in batches:
-            out = []
-            for doc, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist()), strict=True):
-                ids += end
-                n = len(ids) // 4
-                at, piece = 0, 0
-                while at < n:
-                    to = at + ((n - at) % capacity or capacity)
-                    out.append((doc, piece, at, to - at, zlib.crc32(ids[4 * at:4 * to])))
-                    at, piece = to, piece + 1
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            columns = zip(*out, strict=True) if out else [[]] * 5
+        for t in table_chunks(batches):
+            offsets, ids = enc.encode_closed(t.column(1).combine_chunks(), end_id)
+            n = np.diff(offsets)
+            count = -(-n // capacity)  # pieces of each document; at least its end id
+            row = np.repeat(np.arange(len(n)), count)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            first = ((n - 1) % capacity + 1)[row]
+            start = np.where(piece == 0, 0, first + (piece - 1) * capacity)
+            length = np.where(piece == 0, first, capacity)
+            at = offsets[row] + start
+            crc = [zlib.crc32(ids[x:y]) for x, y in zip(at.tolist(), (at + length).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                [t.column(0).combine_chunks().take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start),
+                 pa.array(length), pa.array(crc, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return doc_texts(docs).mapInArrow(pieces, PIECES)
