@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weft.llm.common import doc_texts, stored
-from weft.llm.encode import encoder
+from weft.llm.encode import STEP_BYTES, encoder
 from weft.llm.words import table_chunks
 from weft.operators.iterate import shared_path
 
@@ -41,7 +41,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, keeps_bla
     def encoded(batches):
         enc = encoder(tokenizer, keeps_blanks)
         place = 0
-        for t in table_chunks(batches):
+        for t in table_chunks(batches, chunk_bytes=STEP_BYTES):
             offsets, ids = enc.encode_closed(t.column(1).combine_chunks(), end_id)
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32)))
             places = pa.array(np.arange(place, place + len(lists)))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.common import doc_texts, stored
-from weft.llm.encode import encoder
+from weft.llm.encode import STEP_BYTES, encoder
 from weft.llm.words import table_chunks
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -42,7 +42,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ke
     shorter piece first."""
     def pieces(batches):
         enc = encoder(tokenizer, keeps_blanks)
-        for t in table_chunks(batches):
+        for t in table_chunks(batches, chunk_bytes=STEP_BYTES):
             offsets, ids = enc.encode_closed(t.column(1).combine_chunks(), end_id)
             n = np.diff(offsets)
             count = -(-n // capacity)  # pieces of each document; at least its end id

@@ -55,9 +55,10 @@ def split_words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return offsets - offsets[0], codes, vocab
 
 
-def table_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.Table]:
-    """The batches as tables of about CHUNK_BYTES of ``column`` and at most
-    CHUNK_DOCS rows each."""
+def table_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
+                 chunk_bytes: int = CHUNK_BYTES) -> Iterator[pa.Table]:
+    """The batches as tables of about ``chunk_bytes`` of ``column`` and at
+    most CHUNK_DOCS rows each."""
     held: list[pa.RecordBatch] = []
     size = rows = 0
     for batch in batches:
@@ -66,13 +67,13 @@ def table_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Ite
         ends = np.cumsum(lens)
         while at < batch.num_rows:
             before = ends[at - 1] if at else 0
-            to = int(np.searchsorted(ends, before + CHUNK_BYTES - size, side="left")) + 1
+            to = int(np.searchsorted(ends, before + chunk_bytes - size, side="left")) + 1
             to = max(at + 1, min(to, batch.num_rows, at + CHUNK_DOCS - rows))
             held.append(batch.slice(at, to - at))
             size += int(ends[to - 1] - before)
             rows += to - at
             at = to
-            if size >= CHUNK_BYTES or rows >= CHUNK_DOCS:
+            if size >= chunk_bytes or rows >= CHUNK_DOCS:
                 yield pa.Table.from_batches(held)
                 held, size, rows = [], 0, 0
     if held:
