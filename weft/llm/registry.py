@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weft.llm import orc_ids, packing
+from weft.llm import decontam, language, orc_ids, packing
+from weft.llm.common import fold
 from weft.sources.tables import table
 
 
@@ -17,6 +19,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_byte_conv_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 3) == 1
+    net = language.train(docs, ~held_out)
+    got = language.with_language(docs, net, ["doc_id"])
+    return got.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op6_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
@@ -27,8 +37,13 @@ def op8_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_ids.round_trip(docs, tokenizer_file("word_bpe_49k.json"), end_id=2)
 
 
+def op9_spaced_seed_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_sum_of_squares_packing, op8_orc_token_ids)}
+    return {f.__name__: f for f in (
+        op5_byte_conv_language, op6_sum_of_squares_packing, op8_orc_token_ids, op9_spaced_seed_overlaps)}
 
 
 def oracle_sql() -> dict[str, str]:
