@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, language, orc_ids, packing
+from weft.llm import decontam, jaccard, language, orc_ids, packing
 from weft.llm.common import fold
 from weft.sources.tables import table
 
@@ -41,9 +41,14 @@ def op9_spaced_seed_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op5_byte_conv_language, op6_sum_of_squares_packing, op8_orc_token_ids, op9_spaced_seed_overlaps)}
+        op5_byte_conv_language, op6_sum_of_squares_packing, op8_orc_token_ids, op9_spaced_seed_overlaps,
+        op10_prefix_tree_join)}
 
 
 def oracle_sql() -> dict[str, str]:
