@@ -15,20 +15,22 @@ document's set size and the smallest doc_id that links reach.
    so every pair shares a band).  Shingles outside the counted half come last
    in the order and are moved only where a prefix reaches them.
 2. Equal sets become one class, named by its smallest doc_id.
-3. Rounds: every class is tried against one leader (the smallest id among
-   those it shares prefix shingles with), which gives a forest of links.
-   Pairs inside a tree need no test.  At last every pair that shares a prefix
-   shingle and lies in different trees is tried, so no link between different
-   texts is lost, while a large group of near copies costs one test a copy.
-4. ``verify`` holds the sets tried against one leader as a prefix tree over
-   their ordered shingles and walks it depth first: sets with a common
-   beginning share its overlap, and a branch ends where the shingles left on
+3. Every class is tried against one leader, the one it shares most prefix
+   shingles with (of the smallest ids at each), which gives trees of links.
+   Pairs inside a tree need no test, so a large group of near copies costs
+   about one test a copy.
+4. Classes of one leader form blocks of bounded size.  Two blocks that share
+   a prefix shingle found in different trees meet in one task, which tries
+   their sets on each other; pairs are never rows.  So no link is lost.
+5. A ``PrefixTree`` holds a block's sets in one order of the shingles, rarest
+   first.  A walk with another set adds up the overlap node by node, once for
+   all sets below a node, and leaves a branch where the shingles left on
    either side cannot reach the overlap that is needed.
 
 Scale: a task holds one bucket of the counting shuffle, one chunk of
-documents, or one leader with ``FAN`` sets; counts, classes, leaders and
-trees are tables.  Hot shingles, classes and leaders are reduced map-side or
-dealt over several tasks.
+documents, or two blocks of sets; counts, classes, leaders and trees are
+tables.  Hot shingles, classes and leaders are reduced map-side or dealt over
+several tasks.
 
 Defined results: null or blank text has no shingles and links with nothing,
 also not with other such rows; with 1 to 4 words the whole sequence is the
@@ -53,10 +55,11 @@ from weft.operators.components import component_labels
 
 WORDS = 5
 SHORT = 256  # sets up to this size are counted in full
-FAN = 512  # sets in one prefix tree
+BLOCK = 1 << 17  # shingles in the sets of a block, or one larger set
 BUCKET_WORDS = 1 << 17  # aimed words in a bucket of the counting shuffle
 BROADCAST_IDS = 1_000_000
-STEP = 32  # shingles taken at once down a branch
+CHUNK = 8 << 20  # bytes of text in a chunk
+STEP = 32  # shingles in a node of a prefix tree
 
 PACKED = "bucket int, chunk long, shingles binary, docs binary, counts binary, sizes binary"
 INDEX = "doc_id long, n_shingles long, key1 long, key2 long, prefix array<long>"
@@ -145,7 +148,7 @@ def _emit(batches, bits: int):
     """Sorted shingles of each chunk by bucket, and a row that describes its
     documents (bucket -1 - chunk's place, so these rows spread)."""
     part = TaskContext.get().partitionId()
-    for k, chunk in enumerate(word_chunks(batches)):
+    for k, chunk in enumerate(word_chunks(batches, chunk_bytes=CHUNK)):
         name = (part << 20) + k
         h, d = shingles(chunk)
         n = np.bincount(d, minlength=chunk.rows.num_rows)
@@ -265,7 +268,7 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     hashes, high byte first."""
 
     def sets(batches):
-        for chunk in word_chunks(batches):
+        for chunk in word_chunks(batches, chunk_bytes=CHUNK):
             h, d = shingles(chunk)
             order = np.argsort(d, kind="stable")  # keeps the order by hash
             h, d = h[order].astype(">u8"), d[order]
@@ -279,75 +282,151 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return some.mapInArrow(sets, "doc_id long, shingles binary")
 
 
-def walk(leader: np.ndarray, sets: list[tuple[int, bytes]]) -> list[int]:
-    """Names of the ``sets`` (name, sorted shingles) that link with ``leader``.
-
-    The sets in lexicographic order are the leaves of their prefix tree in
-    depth-first order: ``path`` holds the overlap along the current branch,
-    and the next set goes on from where it leaves that branch."""
-    sets = sorted(sets, key=lambda x: x[1])
-    found = []
-    path = np.zeros(1, np.int64)  # overlap after k shingles of the branch
-    last = np.empty(0, np.uint64)
-    for name, data in sets:
-        x = np.frombuffer(data, ">u8").astype(np.uint64)
-        common = min(len(x), len(last), len(path) - 1)
-        differ = np.flatnonzero(x[:common] != last[:common])
-        common = int(differ[0]) if len(differ) else common
-        path, last = path[:common + 1], x
-        # 100 * o >= 75 * (|x| + |leader| - o)
-        need = -(-3 * (len(x) + len(leader)) // 7)
-        k, places = common, [path]
-        over = int(path[-1])
-        while k < len(x):
-            # shingles left on both sides bound the overlap
-            passed = int(np.searchsorted(leader, x[k - 1], "right")) if k else 0
-            if over + min(len(x) - k, len(leader) - passed) < need:
+class PrefixTree:
+    """Sorted sets of codes 0..vocabulary-1 in nodes of STEP codes.
+
+    The nodes of a level are the distinct ways down to it.  Each level keeps
+    its nodes' parent, codes (filled up with ``vocabulary``), last code, and
+    the largest and smallest size of the sets below, and which set ends where.
+    """
+
+    def __init__(self, sets: list[np.ndarray], vocabulary: int):
+        self.size = np.array([len(x) for x in sets], np.int64)
+        self.vocabulary = vocabulary
+        self.levels = []
+        alive = np.arange(len(sets))
+        parent = np.zeros(len(sets), np.int64)
+        for depth in range(0, int(self.size.max(initial=0)), STEP):
+            codes = np.full((len(alive), STEP), vocabulary, np.int32)
+            for row, i in zip(codes, alive.tolist(), strict=True):
+                part = sets[i][depth:depth + STEP]
+                row[:len(part)] = part
+            keys = np.concatenate([parent[:, None].astype(np.int32), codes], axis=1)
+            _, first, node = np.unique(keys, axis=0, return_index=True, return_inverse=True)
+            node = node.reshape(-1)
+            most, least = np.zeros(len(first), np.int64), np.full(len(first), 1 << 40)
+            np.maximum.at(most, node, self.size[alive])
+            np.minimum.at(least, node, self.size[alive])
+            ends = self.size[alive] <= depth + STEP
+            reach = np.where(codes[first] < vocabulary, codes[first], -1).max(axis=1)
+            self.levels.append((depth, parent[first], codes[first], reach, most, least,
+                                alive[ends], node[ends]))
+            alive, parent = alive[~ends], node[~ends]
+
+    def linked(self, other: np.ndarray) -> np.ndarray:
+        """Indexes of the sets that link with the sorted set ``other``."""
+        has = np.zeros(self.vocabulary + 1, bool)
+        has[other] = True
+        m, found = len(other), []
+        over_before = np.zeros(1, np.int64)
+        open_before = np.ones(1, bool)
+        for depth, parent, codes, reach, most, least, leaves, at in self.levels:
+            over = np.zeros(len(parent), np.int64)
+            go = np.flatnonzero(open_before[parent])
+            if not len(go):
                 break
-            part = x[k:k + STEP]
-            at = np.searchsorted(leader, part)
-            at[at == len(leader)] = 0
-            places.append(over + np.cumsum(leader[at] == part))
-            over = int(places[-1][-1])
-            k += len(part)
-        path = np.concatenate(places)
-        if k == len(x) and over >= need and len(x):
-            found.append(name)
-    return found
-
-
-def verify(edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """The rows of ``edges`` (leader, member) whose sets link.  The members
-    of a leader go to tasks in trees of about FAN sets."""
-    degree = edges.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / F.lit(FAN)).cast("int").alias("trees"))
-    dealt = edges.join(degree, "leader").select(
-        "leader", "member", F.pmod(F.xxhash64("member"), F.col("trees")).alias("tree"))
-    members = dealt.join(sets, dealt.member == sets.doc_id).select("leader", "tree", F.col("member").alias("name"),
-                                                                   "shingles")
-    trees = degree.select("leader", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"))
-    # the leader's own set has no name and comes first
-    leaders = trees.join(sets, trees.leader == sets.doc_id).select(
-        "leader", F.col("tree").cast("long").alias("tree"), F.lit(None).cast("long").alias("name"), "shingles")
-    rows = members.select("leader", F.col("tree").cast("long").alias("tree"), "name", "shingles").unionByName(leaders)
-
-    def linked(batches):
-        key, mine, held = None, [], []
+            over[go] = over_before[parent[go]] + has[codes[go]].sum(axis=1)
+            here = np.zeros(len(parent), bool)
+            # what is left on either side bounds the overlap; 7 * overlap >= 3 * (both sizes) links
+            left = np.maximum(most[go] - depth - STEP, 0)
+            passed = np.searchsorted(other, reach[go], "right")
+            here[go] = (7 * (over[go] + left) >= 3 * (most[go] + m)) & (7 * (over[go] + m - passed) >= 3 * (least[go] + m))
+            full = here[at] & (7 * over[at] >= 3 * (self.size[leaves] + m))
+            found.append(leaves[full])
+            over_before, open_before = over, here
+        return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
+def coded(data: list[bytes]) -> tuple[list[np.ndarray], int]:
+    """Sets of shingle bytes as sorted codes in one order, the shingle in
+    the fewest of these sets first; the number of codes."""
+    sizes = [len(x) // 8 for x in data]
+    every = np.frombuffer(b"".join(data), ">u8").astype(np.uint64)
+    known, code, count = np.unique(every, return_inverse=True, return_counts=True)
+    rank = np.empty(len(known), np.int32)
+    rank[np.lexsort((known, count))] = np.arange(len(known))
+    return [np.sort(x) for x in np.split(rank[code], np.cumsum(sizes)[:-1])], len(known)
+
+
+def _of_sides(rows: list[tuple]) -> list[tuple[int, int]]:
+    """(leader, member) links of the rows (side, id, root, shingles) of a
+    task: sets of side 1, or of side 0 where there is none, are tried on the
+    tree of side 0.  Sets of one root are not tried on each other."""
+    sets, vocabulary = coded([r[3] for r in rows])
+    base = [i for i, r in enumerate(rows) if r[0] == 0]
+    probes = [i for i, r in enumerate(rows) if r[0] == 1] or base
+    if not base:
+        return []
+    tree = PrefixTree([sets[i] for i in base], vocabulary)
+    out = set()
+    for i in probes:
+        for k in tree.linked(sets[i]).tolist():
+            x, y = rows[base[k]], rows[i]
+            if x[2] != y[2]:
+                out.add((min(x[1], y[1]), max(x[1], y[1])))
+    return sorted(out)
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Links of rows (task columns t1..t4, side, id, root, shingles)."""
+    task = ["t1", "t2", "t3", "t4"]
+
+    def links(batches):
+        key, held = None, []
         for b in batches:
             out = []
-            for leader, tree, name, data in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                if (leader, tree) != key:
-                    out += [(key[0], m) for x in mine for m in walk(x, held)] if key else []
-                    key, mine, held = (leader, tree), [], []
-                if name is None:
-                    mine.append(np.frombuffer(data, ">u8").astype(np.uint64))
-                else:
-                    held.append((name, data))
+            for row in zip(*(b.column(i).to_pylist() for i in range(8)), strict=True):
+                if row[:4] != key:
+                    out += _of_sides(held) if held else []
+                    key, held = row[:4], []
+                held.append(row[4:])
             yield _pairs(out)
-        if key:
-            yield _pairs([(key[0], m) for x in mine for m in walk(x, held)])
-
-    return (rows.repartition("leader", "tree").sortWithinPartitions("leader", "tree", F.col("name").asc_nulls_first())
-            .mapInArrow(linked, "leader long, member long").distinct())
+        if held:
+            yield _pairs(_of_sides(held))
+
+    return (rows.select(*task, "side", "id", "root", "shingles").repartition(*task).sortWithinPartitions(*task)
+            .mapInArrow(links, "leader long, member long").distinct())
+
+
+def verify(pairs: DataFrame, sets: DataFrame, node: DataFrame) -> DataFrame:
+    """The rows of ``pairs`` (leader, member) whose sets link.  The members
+    of a leader go to tasks in blocks; ``node`` (id, n) has the sizes."""
+    sized = pairs.join(node.withColumnRenamed("id", "member"), "member")
+    parts = sized.groupBy("leader").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
+    zero = F.lit(0).cast("long")
+    dealt = sized.join(parts, "leader").select(
+        F.col("leader").alias("t1"), F.pmod(F.xxhash64("member"), F.col("parts")).alias("t2"),
+        F.lit(1).alias("side"), F.col("member").alias("id"))
+    heads = parts.select(
+        F.col("leader").alias("t1"), F.explode(F.sequence(zero, F.col("parts") - 1)).alias("t2"),
+        F.lit(0).alias("side"), F.col("leader").alias("id"))
+    rows = dealt.unionByName(heads).join(sets, "id")
+    return _met(rows.select("t1", "t2", zero.alias("t3"), zero.alias("t4"), "side", "id",
+                            F.col("id").alias("root"), "shingles"))
+
+
+def verify_blocks(rows: DataFrame, pairs: DataFrame, sets: DataFrame, node: DataFrame) -> DataFrame:
+    """Links between different trees.  ``rows`` (shingle, id, root) are the
+    prefix shingles found in more than one tree, ``pairs`` (leader, member)
+    what was tried."""
+    led = node.join(pairs.withColumnRenamed("member", "id"), "id", "left").select(
+        "id", "n", F.coalesce("leader", "id").alias("leader"))
+    led = led.join(rows.select("id", "root").distinct(), "id")
+    parts = led.groupBy("leader").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
+    blocks = led.join(parts, "leader").select(
+        "id", "root", "leader", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
+    blocks = stored(blocks, "blocks")
+    at = rows.join(blocks.select("id", "leader", "part"), "id").select("shingle", "leader", "part").distinct()
+    one = at.select("shingle", F.col("leader").alias("t1"), F.col("part").alias("t2"))
+    two = at.select("shingle", F.col("leader").alias("t3"), F.col("part").alias("t4"))
+    tasks = one.join(two, "shingle").where("t1 < t3 or (t1 = t3 and t2 <= t4)").select(
+        "t1", "t2", "t3", "t4").distinct()
+    tasks = stored(tasks, "block-pairs")
+    full = stored(blocks.join(sets.withColumnRenamed("doc_id", "id"), "id"), "block-sets")
+    left = tasks.join(full.withColumnsRenamed({"leader": "t1", "part": "t2"}), ["t1", "t2"]).withColumn("side", F.lit(0))
+    right = tasks.where("t1 != t3 or t2 != t4").join(
+        full.withColumnsRenamed({"leader": "t3", "part": "t4"}), ["t3", "t4"]).withColumn("side", F.lit(1))
+    return _met(left.unionByName(right))
 
 
 def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -355,25 +434,8 @@ def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
                                       names=["leader", "member"])
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs (leader, member) of ``rows`` (shingle, id, n, root)
-    that share a shingle, lie in different trees and may link by size."""
-    trees = rows.select("shingle", "root").distinct()
-    pairs = trees.alias("a").join(trees.alias("b"), "shingle").where(F.col("a.root") < F.col("b.root")).select(
-        "shingle", F.col("a.root").alias("root"), F.col("b.root").alias("other"))
-    one = pairs.join(rows, ["shingle", "root"]).select("shingle", "other", F.col("id").alias("x"), F.col("n").alias("nx"))
-    two = rows.select("shingle", F.col("root").alias("other"), F.col("id").alias("y"), F.col("n").alias("ny"))
-    both = one.join(two, ["shingle", "other"]).where(_sizes_fit("nx", "ny"))
-    return both.select(F.least("x", "y").alias("leader"), F.greatest("x", "y").alias("member")).distinct()
-
-
-def _sizes_fit(a: str, b: str):
-    return (4 * F.least(a, b)) >= (3 * F.greatest(a, b))
-
-
-def components(docs: DataFrame, rounds: int = 2) -> DataFrame:
+def components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    spark = docs.sparkSession
     index = stored(shingle_index(docs), "shingle-index")
     some = index.where("n_shingles > 0 and doc_id is not null")
     class_key = ["n_shingles", "key1", "key2"]
@@ -387,36 +449,20 @@ def components(docs: DataFrame, rounds: int = 2) -> DataFrame:
     rows = stored(rows.join(met.select("shingle", "leader"), "shingle"), "shared-shingles")
     sets = stored(sets_of(docs, rows.select(F.col("id").alias("doc_id")).distinct()), "shingle-sets")
 
-    # Round by round, each tree's classes try the leader they share most with.
-    size = rows.select(F.col("id").alias("leader"), F.col("n").alias("_nl")).distinct()
-    node = rows.select("id").distinct()
-    forest = node.select("id", F.col("id").alias("root"))
-    tried = links = None
-    for _ in range(rounds):
-        at = rows.drop("leader") if links is None else rows.drop("leader").join(forest, "id")
-        if links is not None:
-            trees = at.groupBy("shingle").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b")
-            at = at.join(trees.select("shingle", F.col("_a").alias("_tree")), "shingle")
-            first = at.where("root = _tree").groupBy("shingle").agg(F.min("id").alias("leader"))
-            at = at.where("root != _tree").join(first, "shingle")
-        else:
-            at = rows.where("id != leader")
-        edges = at.groupBy("leader", "id", "n").agg(F.count(F.lit(1)).alias("_c")).join(size, "leader")
-        edges = edges.where(_sizes_fit("n", "_nl"))
-        if tried is not None:
-            edges = edges.join(tried.select("leader", F.col("member").alias("id")), ["leader", "id"], "left_anti")
-        best = edges.groupBy("id").agg(F.max_by(F.col("leader"), F.struct("_c", -F.col("leader"))).alias("leader"))
-        pairs = stored(best.select("leader", F.col("id").alias("member")), "pairs")
-        found = stored(verify(pairs, sets), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        forest = stored(_trees(node, links), "trees")
-    last = rows.drop("leader").join(forest, "id")
-    apart = last.groupBy("shingle").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b")
-    cross = _cross_pairs(last.join(apart.select("shingle"), "shingle", "left_semi"))
-    cross = stored(cross.join(tried, ["leader", "member"], "left_anti"), "cross-pairs")
-    links = links.unionByName(stored(verify(cross, sets), "cross-links"))
+    node = stored(rows.select("id", "n").distinct(), "nodes")
+    heads = node.select(F.col("id").alias("leader"), F.col("n").alias("_nl"))
+    edges = rows.where("id != leader").groupBy("leader", "id", "n").agg(F.count(F.lit(1)).alias("_c"))
+    edges = edges.join(heads, "leader").where(4 * F.least("n", "_nl") >= 3 * F.greatest("n", "_nl"))
+    pairs = edges.groupBy(F.col("id").alias("member")).agg(
+        F.max_by("leader", F.struct("_c", -F.col("leader"))).alias("leader"))
+    pairs = stored(pairs, "pairs")
+    links = stored(verify(pairs, sets.withColumnRenamed("doc_id", "id"), node), "links")
     forest = stored(_trees(node, links), "trees")
+    placed = rows.drop("leader").join(forest, "id")
+    apart = placed.groupBy("shingle").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b")
+    apart = stored(placed.join(apart.select("shingle"), "shingle", "left_semi"), "apart")
+    more = stored(verify_blocks(apart, pairs, sets, node), "more-links")
+    forest = stored(_trees(node, links.unionByName(more)), "trees")
 
     of_class = classes.join(forest, "id", "left").select(
         *class_key, F.coalesce("root", "id").alias("component_id"))
@@ -427,5 +473,5 @@ def components(docs: DataFrame, rounds: int = 2) -> DataFrame:
 
 def _trees(node: DataFrame, links: DataFrame) -> DataFrame:
     """(id, root): the smallest id that ``links`` reach."""
-    graph = PropertyGraph(node, links.select(F.col("leader").alias("src"), F.col("member").alias("dst")))
+    graph = PropertyGraph(node.select("id").distinct(), links.select(F.col("leader").alias("src"), F.col("member").alias("dst")))
     return component_labels(graph).withColumnRenamed("component", "root")

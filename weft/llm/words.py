@@ -80,8 +80,9 @@ def table_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
         yield pa.Table.from_batches(held)
 
 
-def word_chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[Chunk]:
-    for table in table_chunks(batches, column):
+def word_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
+                chunk_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
+    for table in table_chunks(batches, column, chunk_bytes):
         offsets, codes, vocab = split_words(table.column(column).combine_chunks())
         yield Chunk(table, offsets, codes, vocab)
 
