@@ -19,7 +19,7 @@ document's set size and the smallest doc_id that links reach.
    shingles with (of the smallest ids at each), which gives trees of links.
    Pairs inside a tree need no test, so a large group of near copies costs
    about one test a copy.
-4. Classes of one leader form blocks of bounded size.  Two blocks that share
+4. Classes joined by tried pairs, linked or not, form blocks of bounded size.  Two blocks that share
    a prefix shingle found in different trees meet in one task, which tries
    their sets on each other; pairs are never rows.  So no link is lost.
 5. A ``PrefixTree`` holds a block's sets in one order of the shingles, rarest
@@ -405,13 +405,11 @@ def verify(pairs: DataFrame, sets: DataFrame, node: DataFrame) -> DataFrame:
                             F.col("id").alias("root"), "shingles"))
 
 
-def verify_blocks(rows: DataFrame, pairs: DataFrame, sets: DataFrame, node: DataFrame) -> DataFrame:
+def verify_blocks(rows: DataFrame, clusters: DataFrame, sets: DataFrame, node: DataFrame) -> DataFrame:
     """Links between different trees.  ``rows`` (shingle, id, root) are the
-    prefix shingles found in more than one tree, ``pairs`` (leader, member)
-    what was tried."""
-    led = node.join(pairs.withColumnRenamed("member", "id"), "id", "left").select(
-        "id", "n", F.coalesce("leader", "id").alias("leader"))
-    led = led.join(rows.select("id", "root").distinct(), "id")
+    prefix shingles found in more than one tree, ``clusters`` (id, root) what
+    the tried pairs join, linked or not."""
+    led = node.join(clusters.withColumnRenamed("root", "leader"), "id").join(rows.select("id", "root").distinct(), "id")
     parts = led.groupBy("leader").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
     blocks = led.join(parts, "leader").select(
         "id", "root", "leader", F.pmod(F.xxhash64("id"), F.col("parts")).alias("part"))
@@ -461,7 +459,7 @@ def components(docs: DataFrame) -> DataFrame:
     placed = rows.drop("leader").join(forest, "id")
     apart = placed.groupBy("shingle").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b")
     apart = stored(placed.join(apart.select("shingle"), "shingle", "left_semi"), "apart")
-    more = stored(verify_blocks(apart, pairs, sets, node), "more-links")
+    more = stored(verify_blocks(apart, _trees(node, pairs), sets, node), "more-links")
     forest = stored(_trees(node, links.unionByName(more)), "trees")
 
     of_class = classes.join(forest, "id", "left").select(
