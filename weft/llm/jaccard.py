@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from weft.graph import PropertyGraph
 from weft.llm.common import doc_texts, stored
-from weft.llm.words import Chunk, mix, ngram_hashes, word_chunks
+from weft.llm.words import Chunk, mix, ngram_hashes, pack_sorted, unpack_sorted, word_chunks
 from weft.operators.components import component_labels
 
 WORDS = 5
@@ -93,21 +93,6 @@ def prefix_sizes(n: np.ndarray) -> np.ndarray:
     return n - (3 * n + 3) // 4 + 1
 
 
-def _pack(h: np.ndarray) -> bytes:
-    """Sorted hashes as two planes; the upper one is long runs, which the
-    shuffle's compression removes."""
-    b = h.view(np.uint8).reshape(-1, 8)
-    return b[:, 6:].tobytes() + b[:, :6].tobytes()
-
-
-def _unpack(data: bytes) -> np.ndarray:
-    n = len(data) // 8
-    b = np.empty((n, 8), np.uint8)
-    raw = np.frombuffer(data, np.uint8)
-    b[:, 6:], b[:, :6] = raw[:2 * n].reshape(n, 2), raw[2 * n:].reshape(n, 6)
-    return b.reshape(-1).view(np.uint64)
-
-
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
     columns = zip(*rows, strict=True) if rows else [[]] * 6
@@ -163,7 +148,7 @@ def _emit(batches, bits: int):
         cuts = np.searchsorted(h >> np.uint64(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64)) \
             if bits else np.array([0, len(h)])
         d = d.astype(np.uint16)
-        rows = [(b, name, _pack(h[x:y]), d[x:y].tobytes(), None, None)
+        rows = [(b, name, pack_sorted(h[x:y]), d[x:y].tobytes(), None, None)
                 for b, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if y > x]
         for i in range(0, len(rows), 256):
             yield _batch(rows[i:i + 256])
@@ -187,7 +172,7 @@ def _count(batches):
 
 
 def _shared(rows: list[tuple]) -> pa.RecordBatch:
-    hs = [_unpack(r[2]) for r in rows]
+    hs = [unpack_sorted(r[2]) for r in rows]
     h = np.concatenate(hs)
     d = np.concatenate([np.frombuffer(r[3], np.uint16) for r in rows])
     chunk = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in hs])
@@ -202,7 +187,7 @@ def _shared(rows: list[tuple]) -> pa.RecordBatch:
         c = back[at:at + len(x)]
         some = c > 1
         if some.any():
-            out.append((r[0], r[1], _pack(x[some]), d[at:at + len(x)][some].tobytes(),
+            out.append((r[0], r[1], pack_sorted(x[some]), d[at:at + len(x)][some].tobytes(),
                         np.minimum(c[some], 0xFFFFFFFF).astype(np.uint32).tobytes(), None))
         at += len(x)
     return _batch(out)
@@ -227,7 +212,7 @@ def _chunk_index(rows: list[tuple]):
     key1, key2 = np.frombuffer(about[4], np.int64).reshape(2, -1)
     n, *moved = np.frombuffer(about[5], np.int64).reshape(3, -1)
     rest = [r for r in rows if r[0] >= 0]
-    h = np.concatenate([np.empty(0, np.uint64), *[_unpack(r[2]) for r in rest]])
+    h = np.concatenate([np.empty(0, np.uint64), *[unpack_sorted(r[2]) for r in rest]])
     d = np.concatenate([np.empty(0, np.uint16), *[np.frombuffer(r[3], np.uint16) for r in rest]]).astype(np.int64)
     c = np.concatenate([np.empty(0, np.uint32), *[np.frombuffer(r[4], np.uint32) for r in rest]]).astype(np.int64)
     c[(h & np.uint64(1)) == 1] = 1 << 40  # uncounted: last in the order

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, jaccard, language, orc_ids, packing
+from weft.llm import decontam, jaccard, language, lm, orc_ids, packing
 from weft.llm.common import fold
 from weft.sources.tables import table
 
@@ -19,6 +19,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 7) == 2
+    got = lm.score(docs, F.coalesce(~held_out, F.lit(False)))
+    return got.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+
+
 def op5_byte_conv_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 3) == 1
@@ -47,8 +54,8 @@ def op10_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op5_byte_conv_language, op6_sum_of_squares_packing, op8_orc_token_ids, op9_spaced_seed_overlaps,
-        op10_prefix_tree_join)}
+        op1_deleted_interpolation, op5_byte_conv_language, op6_sum_of_squares_packing, op8_orc_token_ids,
+        op9_spaced_seed_overlaps, op10_prefix_tree_join)}
 
 
 def oracle_sql() -> dict[str, str]:

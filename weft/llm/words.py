@@ -105,3 +105,18 @@ def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
         out *= np.uint64(0x9E3779B97F4A7C15)
         out += hashes[k:k + size]
     return mix(out)
+
+
+def pack_sorted(h: np.ndarray) -> bytes:
+    """Sorted hashes as two planes; the upper one is long runs, which the
+    shuffle's compression removes."""
+    b = h.view(np.uint8).reshape(-1, 8)
+    return b[:, 6:].tobytes() + b[:, :6].tobytes()
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    n = len(data) // 8
+    b = np.empty((n, 8), np.uint8)
+    raw = np.frombuffer(data, np.uint8)
+    b[:, 6:], b[:, :6] = raw[:2 * n].reshape(n, 2), raw[2 * n:].reshape(n, 6)
+    return b.reshape(-1).view(np.uint64)
