@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, jaccard, language, lm, orc_ids, packing
+from weft.llm import decontam, jaccard, language, lm, orc_ids, packing, secret_scan, tool_calls
 from weft.llm.common import fold
 from weft.sources.tables import table
 
@@ -26,6 +26,12 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
 
 
+def op4_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "nth", "start", F.length("value").alias("n_chars"),
+                        F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
 def op5_byte_conv_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 3) == 1
@@ -39,6 +45,12 @@ def op6_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), end_id=0, capacity=2048)
 
 
+def op7_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.exchanges_of(table(spark, sf_dir, "conversations"))
+    out = tool_calls.in_order(tool_calls.link(calls, results, tool_calls.SCHEMAS))
+    return out.withColumn("errors", F.to_json("errors"))
+
+
 def op8_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return orc_ids.round_trip(docs, tokenizer_file("word_bpe_49k.json"), end_id=2)
@@ -54,9 +66,9 @@ def op10_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_deleted_interpolation, op5_byte_conv_language, op6_sum_of_squares_packing, op8_orc_token_ids,
-        op9_spaced_seed_overlaps, op10_prefix_tree_join)}
+        op1_deleted_interpolation, op4_forest_secret_scan, op5_byte_conv_language, op6_sum_of_squares_packing,
+        op7_tool_call_linking, op8_orc_token_ids, op9_spaced_seed_overlaps, op10_prefix_tree_join)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_tool_call_linking": tool_calls.ORACLE_SQL}
