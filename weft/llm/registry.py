@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, jaccard, language, lm, orc_ids, packing, secret_scan, tool_calls
+from weft.llm import decontam, iblt, jaccard, language, lm, orc_ids, packing, secret_scan, tool_calls
 from weft.llm.common import fold
 from weft.sources.tables import table
 
@@ -26,6 +26,10 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
 
 
+def op3_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_forest_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "nth", "start", F.length("value").alias("n_chars"),
@@ -66,8 +70,8 @@ def op10_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_deleted_interpolation, op4_forest_secret_scan, op5_byte_conv_language, op6_sum_of_squares_packing,
-        op7_tool_call_linking, op8_orc_token_ids, op9_spaced_seed_overlaps, op10_prefix_tree_join)}
+        op1_deleted_interpolation, op3_iblt_fingerprints, op4_forest_secret_scan, op5_byte_conv_language,
+        op6_sum_of_squares_packing, op7_tool_call_linking, op8_orc_token_ids, op9_spaced_seed_overlaps, op10_prefix_tree_join)}
 
 
 def oracle_sql() -> dict[str, str]:
