@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, iblt, jaccard, language, lm, orc_ids, packing, secret_scan, tool_calls
+from weft.llm import decontam, edit_counts, iblt, jaccard, language, lm, orc_ids, packing, secret_scan, tool_calls
 from weft.llm.common import fold
 from weft.sources.tables import table
 
@@ -26,6 +26,13 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
 
 
+def op2_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, tokenizer = table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json")
+    done = edit_counts.apply_edits(edit_counts.build_trees(docs, tokenizer, edit_counts.sample_edits()), tokenizer)
+    return done.select("doc_id", "n_tokens", "edited_tokens", F.length("text").alias("edited_chars"),
+                       F.size("leaf_chars").alias("leaves"), "encoded_chars")
+
+
 def op3_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -69,9 +76,11 @@ def op10_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (
-        op1_deleted_interpolation, op3_iblt_fingerprints, op4_forest_secret_scan, op5_byte_conv_language,
-        op6_sum_of_squares_packing, op7_tool_call_linking, op8_orc_token_ids, op9_spaced_seed_overlaps, op10_prefix_tree_join)}
+    import corpus_pipeline
+
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (
+        op1_deleted_interpolation, op2_edit_token_counts, op3_iblt_fingerprints, op4_forest_secret_scan,
+        op5_byte_conv_language, op6_sum_of_squares_packing, op7_tool_call_linking, op8_orc_token_ids, op9_spaced_seed_overlaps, op10_prefix_tree_join)}
 
 
 def oracle_sql() -> dict[str, str]:
