@@ -34,10 +34,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.common import doc_texts, stored
-from weft.llm.words import mix, pack_sorted, unpack_sorted, word_chunks
+from weft.llm.words import (mix, pack_counts, pack_sorted, squeeze, unpack_counts, unpack_sorted, unsqueeze,
+                            word_chunks)
 
 END = np.uint64(0x5DEECE66D1CE4E5B)  # the end's hash
-CHUNK = 16 << 20
+CHUNK = 10 << 20
 BUCKET_WORDS = 1 << 17
 START = (0.3, 0.6, 0.1)  # weights of bigram, word and uniform
 ROUNDS = 40
@@ -57,15 +58,6 @@ def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
                                       names=[n for n, _ in fields])
 
 
-def _planes(codes: np.ndarray) -> bytes:
-    """32-bit codes, low and high halves apart (the high ones compress)."""
-    return codes.astype("<u4").view("<u2").reshape(-1, 2).T.tobytes()
-
-
-def _codes(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u2").reshape(2, -1).T.copy().view("<u4").reshape(-1).astype(np.int64)
-
-
 def _with_ends(codes: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the texts with an end after each, and the new offsets."""
     offsets = offsets + np.arange(len(offsets))
@@ -99,22 +91,33 @@ def _emit(batches, bits: int):
         tokens, offsets = _with_ends(chunk.codes, chunk.offsets, len(hashes) - 1)
         every, word, pair, _ = _grams(hashes, tokens, offsets)
         kind = np.repeat(chunk.rows.column("kind").to_numpy(), np.diff(offsets))
-        counts = np.empty((2, len(every)), "<u4")
+        counts = np.empty((2, len(every)), np.int64)
         for i, at in enumerate((np.flatnonzero(kind > 0), np.flatnonzero(kind == 1))):  # learned from, not held back
-            counts[i] = np.bincount(np.concatenate([word[tokens[at]], pair[at]]), minlength=len(every))
+            counts[i] = (np.bincount(word[tokens[at]], minlength=len(every))
+                         + np.bincount(pair[at], minlength=len(every)))
         ids = chunk.rows.column("doc_id").combine_chunks()
         docs = np.stack([ids.fill_null(0).to_numpy(), np.asarray(ids.is_valid()).astype(np.int64),
                          chunk.rows.column("kind").to_numpy().astype(np.int64), np.diff(offsets)])
-        yield _rows([(-1 - name % (1 << bits), name, None, None, _planes(tokens), hashes.tobytes(), docs.tobytes())],
-                    SENT)
+        yield _rows([(-1 - name % (1 << bits), name, None, None, squeeze(tokens.astype("<u4")), hashes.tobytes(),
+                      docs.tobytes())], SENT)
         cuts = np.searchsorted(every >> np.uint64(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64)) \
             if bits else np.array([0, len(every)])
-        out = [(b, name, pack_sorted(every[x:y]), counts[:, x:y].tobytes(), None, None, None)
+        out = [(b, name, pack_sorted(every[x:y]), _pair(counts[:, x:y]), None, None, None)
                for b, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if y > x]
         for i in range(0, len(out), 256):
             yield _rows(out[i:i + 256], SENT)
 
 
+def _pair(counts: np.ndarray) -> bytes:
+    """(all, not held back): the second is sent as what it lacks, mostly 0."""
+    return pack_counts(np.concatenate([counts[0], counts[0] - counts[1]]))
+
+
+def _unpair(data: bytes) -> np.ndarray:
+    counts = unpack_counts(data).reshape(2, -1)
+    return np.stack([counts[0], counts[0] - counts[1]])
+
+
 def _add(batches):
     """Buckets, in order -> the total counts of each chunk's hashes, and a
     row without chunk with the bucket's words and distinct words."""
@@ -134,7 +137,7 @@ def _add(batches):
 
 def _totals(rows: list[tuple]) -> pa.RecordBatch:
     hashes = [unpack_sorted(r[2]) for r in rows]
-    counts = np.concatenate([np.frombuffer(r[3], "<u4").reshape(2, -1) for r in rows], axis=1).astype(np.int64)
+    counts = np.concatenate([_unpair(r[3]) for r in rows], axis=1)
     known, at = np.unique(np.concatenate(hashes), return_inverse=True)
     total = np.stack([np.bincount(at, c, len(known)).astype(np.int64) for c in counts])
     word = (known & np.uint64(1)) == 0
@@ -142,7 +145,7 @@ def _totals(rows: list[tuple]) -> pa.RecordBatch:
     out = [(rows[0][0], -1, None, sums.tobytes(), None, None, None)]
     x = 0
     for r, h in zip(rows, hashes, strict=True):
-        out.append((r[0], r[1], None, total[:, at[x:x + len(h)]].astype("<i8").tobytes(), None, None, None))
+        out.append((r[0], r[1], None, _pair(total[:, at[x:x + len(h)]]), None, None, None))
         x += len(h)
     return _rows(out, SENT)
 
@@ -161,20 +164,20 @@ def _join(batches):
             elif row[0] < 0:
                 about = row
             else:
-                parts.append(np.frombuffer(row[3], "<i8").reshape(2, -1))
+                parts.append(_unpair(row[3]))
     if about:
         yield _joined(about, parts)
 
 
 def _joined(about: tuple, parts: list[np.ndarray]) -> pa.RecordBatch:
-    hashes, tokens = np.frombuffer(about[5], np.uint64), _codes(about[4])
+    hashes, tokens = np.frombuffer(about[5], np.uint64), unsqueeze(about[4], "<u4").astype(np.int64)
     docs = np.frombuffer(about[6], np.int64).reshape(4, -1)
     offsets = np.concatenate([[0], np.cumsum(docs[3])])
     _, word, pair, before = _grams(hashes, tokens, offsets)
     counts = np.concatenate(parts, axis=1)
     cells = _histogram(counts[1], word, pair, tokens, before, np.repeat(docs[2] == 2, docs[3]))
-    c12 = np.minimum(counts[0][pair], 0xFFFFFFFF)
-    return _rows([(about[1], about[4], counts[0][word].tobytes(), _planes(c12), about[6], cells.tobytes())], JOINED)
+    return _rows([(about[1], about[4], pack_counts(counts[0][word]), pack_counts(counts[0][pair]), about[6],
+                   cells.tobytes())], JOINED)
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -236,7 +239,7 @@ def score(docs: DataFrame, learn: Column, hold: Column | None = None) -> DataFra
     def scores(batches):
         for b in batches:
             for codes, counts, pairs, docs in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                yield _scores(_codes(codes), np.frombuffer(counts, np.int64), _codes(pairs),
+                yield _scores(unsqueeze(codes, "<u4").astype(np.int64), unpack_counts(counts), unpack_counts(pairs),
                               np.frombuffer(docs, np.int64).reshape(4, -1), table, n, v)
 
     chunks = joined.where("chunk >= 0").select("codes", "counts", "pairs", "docs")

@@ -120,3 +120,23 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     raw = np.frombuffer(data, np.uint8)
     b[:, 6:], b[:, :6] = raw[:2 * n].reshape(n, 2), raw[2 * n:].reshape(n, 6)
     return b.reshape(-1).view(np.uint64)
+
+
+def squeeze(data: np.ndarray) -> bytes:
+    """An array's bytes compressed, the plain length first."""
+    raw = data.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd"), kind)
+
+
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts from 0 up, compressed by byte plane: the upper ones are nearly
+    all zeros."""
+    return squeeze(counts.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def unpack_counts(data: bytes) -> np.ndarray:
+    return unsqueeze(data, np.uint8).reshape(8, -1).T.copy().view("<i8").reshape(-1)
