@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from weft.graph import PropertyGraph
 from weft.llm.common import doc_texts, stored
-from weft.llm.words import Chunk, mix, ngram_hashes, pack_sorted, unpack_sorted, word_chunks
+from weft.llm.words import Chunk, mix, ngram_hashes, pack_sorted, release, unpack_sorted, word_chunks
 from weft.operators.components import component_labels
 
 WORDS = 5
@@ -152,6 +152,7 @@ def _emit(batches, bits: int):
                 for b, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if y > x]
         for i in range(0, len(rows), 256):
             yield _batch(rows[i:i + 256])
+        release()
 
 
 def _count(batches):

@@ -34,19 +34,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weft.llm.common import doc_texts, stored
-from weft.llm.words import (mix, pack_counts, pack_sorted, squeeze, unpack_counts, unpack_sorted, unsqueeze,
-                            word_chunks)
+from weft.llm.words import (mix, pack_counts, pack_sorted, release, squeeze, unpack_counts, unpack_sorted,
+                            unsqueeze, word_chunks)
 
 END = np.uint64(0x5DEECE66D1CE4E5B)  # the end's hash
-CHUNK = 10 << 20
+CHUNK = 8 << 20
 BUCKET_WORDS = 1 << 17
+ROOM = ~np.uint64(0xFF)  # n-gram hashes have 56 bits
 START = (0.3, 0.6, 0.1)  # weights of bigram, word and uniform
 ROUNDS = 40
 BINS = 8  # in a power of two
 NONE = -(1 << 20)  # bin of an estimate that is 0
 
 SENT = "bucket int, chunk long, hashes binary, counts binary, codes binary, vocab binary, docs binary"
-JOINED = "chunk long, codes binary, counts binary, pairs binary, docs binary, cells binary"
+JOINED = "chunk long, counts binary, pairs binary, docs binary, cells binary"
 SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -78,31 +79,42 @@ def _grams(hashes: np.ndarray, tokens: np.ndarray, offsets: np.ndarray):
     # distinct pairs first, by code, as these sort faster than hashes
     pairs, at = np.unique(before * len(hashes) + tokens, return_inverse=True)
     v, w = np.divmod(pairs, len(hashes))
-    two = mix(hashes[v] * np.uint64(0x9E3779B97F4A7C15) + hashes[w]) | np.uint64(1)
-    every, place = np.unique(np.concatenate([mix(hashes.copy()) & ~np.uint64(1), two]), return_inverse=True)
+    two = mix(hashes[v] * np.uint64(0x9E3779B97F4A7C15) + hashes[w]) & ROOM | np.uint64(1 << 8)
+    one = mix(hashes.copy()) & ROOM & ~np.uint64(1 << 8)
+    every, place = np.unique(np.concatenate([one, two]), return_inverse=True)
     return every, place[:len(hashes)], place[len(hashes):][at], before
 
 
-def _emit(batches, bits: int):
+def _chunks(batches):
+    """(name, hashes, tokens, offsets, rows) of each chunk."""
     part = TaskContext.get().partitionId()
     for k, chunk in enumerate(word_chunks(batches, chunk_bytes=CHUNK)):
-        name = (part << 20) + k
         hashes = np.concatenate([chunk.word_hashes(), [END]])
-        tokens, offsets = _with_ends(chunk.codes, chunk.offsets, len(hashes) - 1)
+        yield (part << 20) + k, hashes, *_with_ends(chunk.codes, chunk.offsets, len(hashes) - 1), chunk.rows
+        release()
+
+
+def _describe(batches):
+    """A row for each chunk with its tokens and documents."""
+    for name, hashes, tokens, offsets, rows in _chunks(batches):
+        ids, kind = rows.column("doc_id").combine_chunks(), rows.column("kind").to_numpy().astype(np.int64)
+        docs = np.stack([ids.fill_null(0).to_numpy(), np.asarray(ids.is_valid()).astype(np.int64), kind,
+                         np.diff(offsets)])
+        yield _rows([(-1, name, None, None, squeeze(tokens.astype("<u4")), hashes.tobytes(), docs.tobytes())], SENT)
+
+
+def _emit(batches, bits: int):
+    """The sorted n-grams of each chunk with their counts, by bucket."""
+    for name, hashes, tokens, offsets, rows in _chunks(batches):
         every, word, pair, _ = _grams(hashes, tokens, offsets)
-        kind = np.repeat(chunk.rows.column("kind").to_numpy(), np.diff(offsets))
+        kind = np.repeat(rows.column("kind").to_numpy(), np.diff(offsets))
         counts = np.empty((2, len(every)), np.int64)
         for i, at in enumerate((np.flatnonzero(kind > 0), np.flatnonzero(kind == 1))):  # learned from, not held back
             counts[i] = (np.bincount(word[tokens[at]], minlength=len(every))
                          + np.bincount(pair[at], minlength=len(every)))
-        ids = chunk.rows.column("doc_id").combine_chunks()
-        docs = np.stack([ids.fill_null(0).to_numpy(), np.asarray(ids.is_valid()).astype(np.int64),
-                         chunk.rows.column("kind").to_numpy().astype(np.int64), np.diff(offsets)])
-        yield _rows([(-1 - name % (1 << bits), name, None, None, squeeze(tokens.astype("<u4")), hashes.tobytes(),
-                      docs.tobytes())], SENT)
         cuts = np.searchsorted(every >> np.uint64(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64)) \
             if bits else np.array([0, len(every)])
-        out = [(b, name, pack_sorted(every[x:y]), _pair(counts[:, x:y]), None, None, None)
+        out = [(b, name, pack_sorted(every[x:y], 7), _pair(counts[:, x:y]), None, None, None)
                for b, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if y > x]
         for i in range(0, len(out), 256):
             yield _rows(out[i:i + 256], SENT)
@@ -124,9 +136,6 @@ def _add(batches):
     held: list[tuple] = []
     for b in batches:
         for row in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
-            if row[0] < 0:
-                yield _rows([row], SENT)
-                continue
             if held and held[0][0] != row[0]:
                 yield _totals(held)
                 held = []
@@ -136,11 +145,11 @@ def _add(batches):
 
 
 def _totals(rows: list[tuple]) -> pa.RecordBatch:
-    hashes = [unpack_sorted(r[2]) for r in rows]
+    hashes = [unpack_sorted(r[2], 7) for r in rows]
     counts = np.concatenate([_unpair(r[3]) for r in rows], axis=1)
     known, at = np.unique(np.concatenate(hashes), return_inverse=True)
     total = np.stack([np.bincount(at, c, len(known)).astype(np.int64) for c in counts])
-    word = (known & np.uint64(1)) == 0
+    word = (known & np.uint64(1 << 8)) == 0
     sums = np.array([total[0][word].sum(), (total[0][word] > 0).sum(), total[1][word].sum()], np.int64)
     out = [(rows[0][0], -1, None, sums.tobytes(), None, None, None)]
     x = 0
@@ -156,16 +165,17 @@ def _join(batches):
     for b in batches:
         for row in zip(*(b.column(i).to_pylist() for i in range(7)), strict=True):
             if row[1] != key:
-                if about:
+                if about or parts:
                     yield _joined(about, parts)
                 key, about, parts = row[1], None, []
             if row[1] < 0:
-                yield _rows([(-1, None, row[3], None, None, None)], JOINED)
+                yield _rows([(-1, row[3], None, None, None)], JOINED)
             elif row[0] < 0:
                 about = row
+                release()
             else:
                 parts.append(_unpair(row[3]))
-    if about:
+    if about or parts:
         yield _joined(about, parts)
 
 
@@ -173,10 +183,12 @@ def _joined(about: tuple, parts: list[np.ndarray]) -> pa.RecordBatch:
     hashes, tokens = np.frombuffer(about[5], np.uint64), unsqueeze(about[4], "<u4").astype(np.int64)
     docs = np.frombuffer(about[6], np.int64).reshape(4, -1)
     offsets = np.concatenate([[0], np.cumsum(docs[3])])
-    _, word, pair, before = _grams(hashes, tokens, offsets)
+    every, word, pair, before = _grams(hashes, tokens, offsets)
     counts = np.concatenate(parts, axis=1)
+    if counts.shape[1] != len(every):
+        raise RuntimeError("a chunk was cut differently when read again")
     cells = _histogram(counts[1], word, pair, tokens, before, np.repeat(docs[2] == 2, docs[3]))
-    return _rows([(about[1], about[4], pack_counts(counts[0][word]), pack_counts(counts[0][pair]), about[6],
+    return _rows([(about[1], pack_counts(counts[0][word[tokens]]), pack_counts(counts[0][pair]), about[6],
                    cells.tobytes())], JOINED)
 
 
@@ -224,8 +236,13 @@ def score(docs: DataFrame, learn: Column, hold: Column | None = None) -> DataFra
     kind = F.when(learn & hold, 2).when(learn, 1).otherwise(0).cast("int").alias("kind")
     words = docs.count() * 512
     bits = max(0, min(16, math.ceil(math.log2(max(1, words / BUCKET_WORDS)))))
-    sent = doc_texts(docs, kind).mapInArrow(lambda it: _emit(it, bits), SENT)
+    rows = doc_texts(docs, kind)
+    sent = rows.mapInArrow(lambda it: _emit(it, bits), SENT)
     added = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_add, SENT)
+    # The texts are read a second time rather than sent through both shuffles.
+    # Chunks are named by partition: this branch is the first of the union, so
+    # its partitions have the numbers that they have in the stage of ``sent``.
+    added = rows.mapInArrow(_describe, SENT).unionByName(added)
     # the totals have no chunk; they stay apart by bucket
     place = F.when(F.col("chunk") < 0, -F.col("bucket") - 2).otherwise(F.col("chunk")).alias("chunk")
     by_chunk = added.select("bucket", place, "hashes", "counts", "codes", "vocab", "docs").repartition("chunk")
@@ -238,11 +255,13 @@ def score(docs: DataFrame, learn: Column, hold: Column | None = None) -> DataFra
 
     def scores(batches):
         for b in batches:
-            for codes, counts, pairs, docs in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                yield _scores(unsqueeze(codes, "<u4").astype(np.int64), unpack_counts(counts), unpack_counts(pairs),
-                              np.frombuffer(docs, np.int64).reshape(4, -1), table, n, v)
+            for i in range(b.num_rows):
+                counts, pairs, docs = (b.column(k)[i].as_py() for k in range(3))
+                yield _scores(unpack_counts(counts), unpack_counts(pairs), np.frombuffer(docs, np.int64).reshape(4, -1),
+                              table, n, v)
+                release()
 
-    chunks = joined.where("chunk >= 0").select("codes", "counts", "pairs", "docs")
+    chunks = joined.where("chunk >= 0").select("counts", "pairs", "docs")
     return chunks.mapInArrow(scores, SCORES).withColumn("train_tokens", F.lit(n).cast("long"))
 
 
@@ -260,16 +279,18 @@ def _cells(joined: DataFrame) -> np.ndarray:
     return np.array([tuple(r) for r in rows], np.int64).reshape(-1, 4).T
 
 
-def _scores(tokens, counts, c12, docs, table, n: int, v: int) -> pa.RecordBatch:
+def _scores(c2, c12, docs, table, n: int, v: int) -> pa.RecordBatch:
+    """Scores of a chunk's documents by the counts of each token's word and
+    bigram.  Every document ends in the end, whose count is the context of
+    its first word."""
     offsets = np.concatenate([[0], np.cumsum(docs[3])])
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[offsets[:-1]] = len(counts) - 1
-    c1, c2 = counts[before], counts[tokens]
+    c1 = np.empty_like(c2)
+    c1[1:] = c2[:-1]
+    c1[offsets[:-1]] = c2[offsets[1:] - 1]
     w = table[bucket_of(c1)]
     p = w[:, 0] * (c12 / np.maximum(c1, 1)) + w[:, 1] * (c2 / max(n, 1)) + w[:, 2] / (v + 1)
     if n == 0:
-        p = np.ones(len(tokens))
+        p = np.ones(len(c2))
     base = np.log10((c2 + 1) / (n + v + 1))
     sums = [np.add.reduceat(x, offsets[:-1]) for x in ((c2 > 0).astype(np.int64), base, np.log10(p))]
     return pa.RecordBatch.from_arrays(

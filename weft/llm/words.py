@@ -7,6 +7,7 @@ task holds a few megabytes of text (or one document) at a time.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -107,18 +108,19 @@ def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def pack_sorted(h: np.ndarray) -> bytes:
-    """Sorted hashes as two planes; the upper one is long runs, which the
-    shuffle's compression removes."""
+def pack_sorted(h: np.ndarray, size: int = 8) -> bytes:
+    """Sorted hashes, of which the upper ``size`` bytes are used, as two
+    planes; the upper one is long runs, which the shuffle's compression
+    removes."""
     b = h.view(np.uint8).reshape(-1, 8)
-    return b[:, 6:].tobytes() + b[:, :6].tobytes()
+    return b[:, 6:].tobytes() + b[:, 8 - size:6].tobytes()
 
 
-def unpack_sorted(data: bytes) -> np.ndarray:
-    n = len(data) // 8
-    b = np.empty((n, 8), np.uint8)
+def unpack_sorted(data: bytes, size: int = 8) -> np.ndarray:
+    n = len(data) // size
+    b = np.zeros((n, 8), np.uint8)
     raw = np.frombuffer(data, np.uint8)
-    b[:, 6:], b[:, :6] = raw[:2 * n].reshape(n, 2), raw[2 * n:].reshape(n, 6)
+    b[:, 6:], b[:, 8 - size:6] = raw[:2 * n].reshape(n, 2), raw[2 * n:].reshape(n, size - 2)
     return b.reshape(-1).view(np.uint64)
 
 
@@ -140,3 +142,10 @@ def pack_counts(counts: np.ndarray) -> bytes:
 
 def unpack_counts(data: bytes) -> np.ndarray:
     return unsqueeze(data, np.uint8).reshape(8, -1).T.copy().view("<i8").reshape(-1)
+
+
+def release() -> None:
+    """Give the memory that a finished chunk has freed back to the system;
+    a Python worker lives on and would keep it for its next task."""
+    pa.default_memory_pool().release_unused()
+    ctypes.CDLL(None).malloc_trim(0)
