@@ -441,12 +441,12 @@ def components(docs: DataFrame) -> DataFrame:
         F.max_by("leader", F.struct("_c", -F.col("leader"))).alias("leader"))
     pairs = stored(pairs, "pairs")
     links = stored(verify(pairs, sets.withColumnRenamed("doc_id", "id"), node), "links")
-    forest = stored(_trees(node, links), "trees")
+    forest = _roots(node, links)
     placed = rows.drop("leader").join(forest, "id")
     apart = placed.groupBy("shingle").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b")
     apart = stored(placed.join(apart.select("shingle"), "shingle", "left_semi"), "apart")
-    more = stored(verify_blocks(apart, _trees(node, pairs), sets, node), "more-links")
-    forest = stored(_trees(node, links.unionByName(more)), "trees")
+    more = stored(verify_blocks(apart, _roots(node, pairs), sets, node), "more-links")
+    forest = stored(_joined_roots(forest, more), "trees")
 
     of_class = classes.join(forest, "id", "left").select(
         *class_key, F.coalesce("root", "id").alias("component_id"))
@@ -455,7 +455,28 @@ def components(docs: DataFrame) -> DataFrame:
         .alias("component_id"))
 
 
-def _trees(node: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, root): the smallest id that ``links`` reach."""
-    graph = PropertyGraph(node.select("id").distinct(), links.select(F.col("leader").alias("src"), F.col("member").alias("dst")))
-    return component_labels(graph).withColumnRenamed("component", "root")
+def _roots(node: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, root) of the forest ``pairs`` (leader, member), leader < member
+    and one leader a member, by pointer jumping."""
+    now = stored(node.select("id").join(pairs.select(F.col("member").alias("id"), "leader"), "id", "left").select(
+        "id", F.coalesce("leader", "id").alias("root")), "roots")
+    while True:
+        up = now.select(F.col("id").alias("root"), F.col("root").alias("_up"))
+        step = stored(now.join(up, "root").select("id", F.col("_up").alias("root"), (F.col("_up") != F.col("root"))
+                                                  .alias("_moved")), "roots")
+        now = step.select("id", "root")
+        if step.where("_moved").isEmpty():
+            return now
+
+
+def _joined_roots(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """(id, root) after the links ``more`` between trees."""
+    if more.isEmpty():
+        return roots
+    ends = more.join(roots.select(F.col("id").alias("leader"), F.col("root").alias("src")), "leader").join(
+        roots.select(F.col("id").alias("member"), F.col("root").alias("dst")), "member")
+    ends = stored(ends.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(),
+                  "root-links")
+    graph = PropertyGraph(ends.select(F.col("src").alias("id")).union(ends.select("dst")).distinct(), ends)
+    again = component_labels(graph).select(F.col("id").alias("root"), "component")
+    return roots.join(again, "root", "left").select("id", F.coalesce("component", "root").alias("root"))
