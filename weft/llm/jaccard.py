@@ -202,6 +202,7 @@ def _prefixes(batches):
             if held and held[0][1] != row[1]:
                 yield from _chunk_index(held)
                 held = []
+                release()
             held.append(row)
     if held:
         yield from _chunk_index(held)
@@ -369,6 +370,7 @@ def _met(rows: DataFrame) -> DataFrame:
             yield _pairs(out)
         if held:
             yield _pairs(_of_sides(held))
+        release()
 
     return (rows.select(*task, "side", "id", "root", "shingles").repartition(*task).sortWithinPartitions(*task)
             .mapInArrow(links, "leader long, member long").distinct())

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
 CHUNK_DOCS = 60_000
 
 
@@ -77,8 +77,10 @@ def table_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
             if size >= chunk_bytes or rows >= CHUNK_DOCS:
                 yield pa.Table.from_batches(held)
                 held, size, rows = [], 0, 0
+                release()
     if held:
         yield pa.Table.from_batches(held)
+    release()
 
 
 def word_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
