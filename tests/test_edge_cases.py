@@ -1,6 +1,7 @@
 """Edge cases: empty edges, self-loops, parallel edges, null and absent
 endpoints, isolated vertices, and graph-level invariants."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from weft.graph import PropertyGraph
@@ -117,3 +118,17 @@ def test_blank_numeric_strings_become_null_under_ansi(spark):
     assert got == {"1": 12.5, "2": None, "3": None, "4": None}
     c = coerce_numeric(spark.createDataFrame([(" ", 1), ("2.5", 2)], "f string, k int"), ["f"]).collect()
     assert [r["f"] for r in c] == [None, 2.5]
+
+
+def test_scc_long_paths_and_limit(spark):
+    # a path of 40 into a cycle, and two cycles joined by a path
+    edges = [(i, i + 1) for i in range(40)] + [(40, 41), (41, 42), (42, 40)]
+    edges += [(100, 101), (101, 100), (101, 102), (102, 103), (103, 104), (104, 103)]
+    ids = sorted({x for e in edges for x in e})
+    g = PropertyGraph(spark.createDataFrame([(i,) for i in ids], "id long"),
+                      spark.createDataFrame(edges, "src long, dst long"))
+    got = {r[0]: r[1] for r in scc_labels(g).collect()}
+    want = {i: i for i in ids} | {40: 40, 41: 40, 42: 40, 100: 100, 101: 100, 103: 103, 104: 103}
+    assert got == want
+    with pytest.raises(RuntimeError):
+        scc_labels(g, max_iter=0)

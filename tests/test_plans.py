@@ -39,10 +39,16 @@ def test_next_in_key_across_arrow_batches_and_null_keys(spark):
         spark.conf.set(key, old)
     want = df.withColumn("nxt", F.lead("v").over(Window.partitionBy("k").orderBy("o", "v")))
     want_rows = sorted(map(tuple, want.select("k", "o", "v", "nxt").collect()), key=repr)
-    # null keys: the chunk lead groups them like a window partition, but the
-    # cross-partition fix-up only joins equal non-null keys
-    nonnull = [r for r in want_rows if r[0] is not None]
-    assert [r for r in got if r[0] is not None] == nonnull
+    assert got == want_rows
+
+
+def test_next_in_key_null_values_and_wide_ids(spark):
+    big = 9007199254740993  # 2^53 + 1 is no double
+    rows = [(None if i % 5 == 0 else i % 3, i, None if i % 7 == 0 else big + i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, o long, v long")
+    got = sorted(map(tuple, next_in_key(df, "k", ["o"], "v", "nxt", partitions=6).collect()), key=repr)
+    want = df.withColumn("nxt", F.lead("v").over(Window.partitionBy("k").orderBy("o")))
+    assert got == sorted(map(tuple, want.collect()), key=repr)
 
 
 def test_next_in_key_with_adaptive_range_partitions(spark):

@@ -121,7 +121,7 @@ class PropertyGraph:
 
         return connected_components(self)
 
-    def stronglyConnectedComponents(self, maxIter: int = 10) -> DataFrame:
+    def stronglyConnectedComponents(self, maxIter: int | None = None) -> DataFrame:
         from weft.operators.components import strongly_connected_components
 
         return strongly_connected_components(self, maxIter)

@@ -83,14 +83,14 @@ def connected_components(g) -> DataFrame:
 # Strong components: forward-backward colouring.
 #
 # Outer round: (1) trim vertices with no in- or no out-edge among the
-# remaining ones (each is its own component); (2) colour every vertex with
+# remaining ones until there are none (each is its own component); (2) colour every vertex with
 # the smallest id that reaches it (min-label propagation along edges);
 # (3) vertices whose colour is their own id are roots; the component of a
 # root is the set of vertices of that colour that reach the root, found by
 # backward propagation inside the colour.  The root is the smallest id of
 # its component.  Assigned vertices leave the graph; repeat.
-# ``max_iter`` bounds the outer rounds like the library parameter; vertices
-# still unassigned after it keep their colour as a provisional label.
+# The rounds go on until every vertex is assigned; ``max_iter`` is a limit
+# that raises, never a partial result.
 # --------------------------------------------------------------------------
 
 
@@ -136,31 +136,33 @@ def _reach_back(e: DataFrame, colour: DataFrame, n: int, rows: int) -> DataFrame
         ke.unpersist()
 
 
-def scc_labels(g, max_iter: int = 10) -> DataFrame:
+def scc_labels(g, max_iter: int | None = None) -> DataFrame:
     v_all = g.vertices.select("id")
     e = cut(g.valid_edges().where(F.col("src") != F.col("dst")).distinct())
     n = state_partitions(g.spark, e.count())
     e = cut(e.repartition(n, "src"))
     remaining = cut(v_all.repartition(n, "id"))
     done = []
-    for _ in range(max_iter):
-        if remaining.isEmpty():
-            break
+    rounds = 0
+    while not remaining.isEmpty():
+        if rounds == max_iter:
+            raise RuntimeError(f"strong components not settled after {max_iter} rounds")
+        rounds += 1
         # (1) trim: vertices with no in-edge or no out-edge inside the rest
-        has_out = e.select(F.col("src").alias("id")).distinct()
-        has_in = e.select(F.col("dst").alias("id")).distinct()
-        core = remaining.join(has_out, "id", "left_semi").join(has_in, "id", "left_semi")
+        core, rows, before = remaining, remaining.count(), None
+        while rows and rows != before:
+            has_out = e.select(F.col("src").alias("id")).distinct()
+            has_in = e.select(F.col("dst").alias("id")).distinct()
+            core = cut(core.join(has_out, "id", "left_semi").join(has_in, "id", "left_semi").repartition(n, "id"))
+            e = cut(
+                e.join(core.withColumnRenamed("id", "src"), "src", "left_semi").join(
+                    core.withColumnRenamed("id", "dst"), "dst", "left_semi"
+                )
+            )
+            rows, before = core.count(), rows
         trivial = remaining.join(core, "id", "left_anti").select("id", F.col("id").alias("component"))
         done.append(cut(trivial))
-        core = cut(core.repartition(n, "id"))
-        e = cut(
-            e.join(core.withColumnRenamed("id", "src"), "src", "left_semi").join(
-                core.withColumnRenamed("id", "dst"), "dst", "left_semi"
-            )
-        )
-        rows = core.count()
         if rows == 0:
-            remaining = core
             break
         # (2) colour by smallest reaching id
         ke = KeyedEdges(e, "src")
@@ -179,9 +181,6 @@ def scc_labels(g, max_iter: int = 10) -> DataFrame:
                 remaining.withColumnRenamed("id", "dst"), "dst", "left_semi"
             )
         )
-    else:
-        # out of rounds: provisional label = own id for what is left
-        done.append(remaining.select("id", F.col("id").alias("component")))
     if not done:
         return v_all.select("id", F.col("id").alias("component"))
     out = done[0]
@@ -190,5 +189,5 @@ def scc_labels(g, max_iter: int = 10) -> DataFrame:
     return out
 
 
-def strongly_connected_components(g, max_iter: int = 10) -> DataFrame:
+def strongly_connected_components(g, max_iter: int | None = None) -> DataFrame:
     return g.vertices.join(scc_labels(g, max_iter), "id", "left")

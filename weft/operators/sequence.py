@@ -9,50 +9,54 @@ first row of the next non-empty partition when that row has the same key.
 The fix-up table has one row per partition, so its size is bounded by the
 partition count, not by the data, and it is safe to broadcast.
 
-The in-chunk ``lead`` runs as ``mapInPandas`` over the range-partitioned,
+The in-chunk ``lead`` runs as ``mapInArrow`` over the range-partitioned,
 locally sorted rows.  A ``Window.partitionBy(partition id, key)`` would need
 its own hash exchange (Spark cannot see that the rows already sit in those
-partitions), i.e. a second full shuffle of the input; the pandas step is a
-vectorised shift per Arrow batch that moves no data.
+partitions), i.e. a second full shuffle of the input; the Arrow step is a
+vectorised shift per batch that moves no data and keeps every type.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from weft.operators.iterate import pin
+from weft.operators.iterate import cut
 
 
 def _lead_in_partition(key: str, value: str, out: str):
     """Per-partition step: rows arrive sorted by (key, order); ``out`` is the
     next row's ``value`` when its key is the same (nulls compare equal, as
     window partitions group them).  One batch is held back so its last row
-    can look at the first row of the following batch."""
-
-    def nullable(s):
-        return s.astype("Int64") if pd.api.types.is_integer_dtype(s.dtype) else s
-
-    def same(a, b):
-        return (a == b).fillna(False).astype(bool) | (a.isna() & b.isna())
+    can look at the first row of the following batch; ``_last`` marks the
+    partition's last row, whose successor is not known here."""
+
+    def led(batch, after, last):
+        k, v = (pa.concat_arrays([batch.column(c), *([after.column(c).slice(0, 1)] if after else [])])
+                for c in (key, value))
+        n = batch.num_rows
+        here, there = k.slice(0, len(k) - 1), k.slice(1)
+        both_null = pc.and_(here.is_null(), there.is_null())
+        same = pc.or_(pc.fill_null(pc.equal(here, there), False), both_null)
+        nxt = pc.if_else(same, v.slice(1), pa.nulls(len(same), v.type))
+        if not after:  # the last row has no successor in this partition
+            nxt = pa.concat_arrays([nxt, pa.nulls(1, v.type)])
+        marks = pa.array([False] * (n - 1) + [last])
+        return pa.RecordBatch.from_arrays([*batch.columns, nxt, marks], names=[*batch.schema.names, out, "_last"])
 
     def run(batches):
         held = None
-        for pdf in batches:
-            if len(pdf) == 0:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            k, v = nullable(pdf[key]), nullable(pdf[value])
-            pdf[out] = v.shift(-1).where(same(k.shift(-1), k))
             if held is not None:
-                hk, fk = held[key].iloc[-1], pdf[key].iloc[0]
-                if (pd.isna(hk) and pd.isna(fk)) or (not pd.isna(hk) and not pd.isna(fk) and hk == fk):
-                    held.loc[held.index[-1], out] = v.iloc[0]
-                yield held
-            held = pdf
+                yield led(held, batch, False)
+            held = batch
         if held is not None:
-            yield held
+            yield led(held, None, True)
 
     return run
 
@@ -71,19 +75,17 @@ def next_in_key(
     result to be deterministic (true for the call-graph derivation).
     """
     sort_cols = [key, *order]
-    # Both branches below (chunk window and partition heads) must see the same
-    # range bounds; bounds are sampled per exchange, so the ranged rows are
-    # pinned once and read by both.  A lost block is recomputed from the same
-    # shuffle dependency, hence the same bounds.
-    # Without an explicit count, adaptive execution sizes the range partitions
-    # from the data (it only merges adjacent ranges, so partition ids stay in
-    # key order).
+    # Both branches below (the lead and the partition heads) must see the same
+    # ranges; bounds are sampled per exchange, so the ranged rows are cut once
+    # and read by both.  Without an explicit count, adaptive execution sizes
+    # the range partitions from the data (it only merges adjacent ranges, so
+    # partition ids stay in key order).
     ranged_rows = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
-    ranged = pin(ranged_rows.withColumn("_pid", F.spark_partition_id()))
+    ranged = cut(ranged_rows.sortWithinPartitions(*sort_cols).withColumn("_pid", F.spark_partition_id()))
 
     vtype = df.schema[value].dataType
-    schema = StructType(ranged.schema.fields + [StructField(out, vtype, True)])
-    chunked = ranged.sortWithinPartitions(*sort_cols).mapInPandas(_lead_in_partition(key, value, out), schema)
+    schema = StructType(ranged.schema.fields + [StructField(out, vtype, True), StructField("_last", BooleanType())])
+    chunked = ranged.mapInArrow(_lead_in_partition(key, value, out), schema)
 
     # First row of every non-empty partition (a global-order minimum).
     heads = ranged.groupBy("_pid").agg(
@@ -92,14 +94,13 @@ def next_in_key(
     wp = Window.orderBy("_pid")  # one row per partition: bounded, tiny
     nxt = heads.select(
         "_pid",
+        F.lead(F.lit(True)).over(wp).alias("_more"),
         F.lead(F.col("_h").getField(key)).over(wp).alias("_nk"),
         F.lead(F.col("_h").getField("_v")).over(wp).alias("_nv"),
     )
-    fixed = chunked.join(F.broadcast(nxt), "_pid", "left").select(
-        *[c for c in df.columns],
-        F.coalesce(F.col(out), F.when(F.col("_nk") == F.col(key), F.col("_nv"))).alias(out),
-    )
-    return fixed
+    goes_on = F.col("_last") & F.col("_more") & F.col("_nk").eqNullSafe(F.col(key))
+    return chunked.join(F.broadcast(nxt), "_pid", "left").select(
+        *df.columns, F.when(goes_on, F.col("_nv")).otherwise(F.col(out)).alias(out))
 
 
 def latest_per_key(df: DataFrame, key: str, order: list[str], columns: list[str]) -> DataFrame:

@@ -7,19 +7,17 @@ Spark jobs it checks.
 
 from __future__ import annotations
 
-Q = 40  # call-graph density: purchases of at least Q units
-
-BASE = f"""
-p AS (SELECT l_partkey, l_shipdate, l_orderkey, l_linenumber, l_quantity, l_returnflag, o_custkey
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity >= {Q}),
+BASE = """
+p AS (SELECT arg_min(l_partkey, (l_linenumber, l_partkey)) AS part, min(l_shipdate) AS shipped, l_orderkey,
+             CAST(sum(l_quantity) AS BIGINT) AS units, max(l_returnflag) AS returned, o_custkey
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey, o_custkey),
 cl AS (SELECT o_custkey AS caller,
-              lead(o_custkey) OVER (PARTITION BY l_partkey
-                 ORDER BY l_shipdate, l_orderkey, l_linenumber, l_returnflag, l_quantity) AS callee,
-              l_shipdate AS datatime, CAST(l_quantity AS BIGINT) AS duration, l_returnflag
+              lead(o_custkey) OVER (PARTITION BY part ORDER BY shipped, l_orderkey) AS callee,
+              shipped AS datatime, units AS duration, returned
        FROM p),
 calls AS (SELECT * FROM cl WHERE callee IS NOT NULL),
 edges AS (SELECT caller AS src, callee AS dst,
-                 min(CASE WHEN l_returnflag = 'R' THEN 'friend' ELSE 'follow' END) AS relationship
+                 CASE WHEN min(returned) = 'R' THEN 'friend' ELSE 'follow' END AS relationship
           FROM calls GROUP BY 1, 2),
 ostats AS (SELECT o_custkey, sum(o_totalprice) AS total_charges, min(o_orderdate) AS first_order,
                   max(o_orderdate) AS last_order,
@@ -202,6 +200,7 @@ FROM pairs LEFT JOIN customers c1 ON pairs.a = c1.mobile_number
     o["degrees"] = w() + (
         "SELECT id, count(*) AS degree FROM (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges) GROUP BY 1"
     )
+    o["degrees_ranked"] = o["degrees"]
     o["degrees_top"] = o["degrees"] + " ORDER BY degree DESC, id LIMIT 20"
     o["degree_ratios"] = w(
         """d AS (SELECT id, count(*) AS degree, sum(i) AS in_degree, sum(o) AS out_degree FROM (

@@ -1,8 +1,8 @@
 """The customer call network, derived from the driver tables.
 
-A "call" goes from the buyer of a part to the next buyer of the same part
-(order of ship date, order key, line number) among purchases of at least
-``min_qty`` units.  Customers are the vertices; their attributes stand in
+Every order is one purchase: of the part on its first line, with the units of
+all its lines, at its earliest ship date.  A "call" goes from the buyer to the
+next buyer of the same part (by date, then order key).  Customers are the vertices; their attributes stand in
 for the telecom customer table (monthly charges = account balance, total
 charges = sum of order totals, tenure = days since the first order).
 """
@@ -20,42 +20,39 @@ from weft.operators.sequence import next_in_key
 from weft.sources.tables import table
 
 # Fixed values of the derivation (shared with the SQL oracle).
-DEFAULT_MIN_QTY = 40
 TENURE_END = "2001-08-01"   # last order date in the data
 CHURN_BEFORE = "2001-01-01"  # last order before this date => churned
 PHONE_PREFIX = "P"
 
 
-def purchases(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= min_qty)
+def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order, from all of its lines; ``returned`` is the greatest
+    return flag (R if any line came back)."""
+    first = F.min(F.struct("l_linenumber", "l_partkey"))["l_partkey"]
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        first.alias("part"), F.sum("l_quantity").cast("long").alias("units"),
+        F.min("l_shipdate").alias("shipped"), F.max("l_returnflag").alias("returned"))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(od, li.l_orderkey == od.o_orderkey).select(
-        "l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "o_custkey",
-    )
+        "part", "shipped", "l_orderkey", "units", "returned", "o_custkey")
 
 
-def calls(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY) -> DataFrame:
-    """Call rows (caller custkey, callee custkey, time, duration, returnflag)."""
-    p = purchases(spark, sf_dir, min_qty)
-    # The order is total on the columns used downstream: rows still tied
-    # after it are identical in (customer, flag, quantity).
-    nxt = next_in_key(
-        p, "l_partkey", ["l_shipdate", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"],
-        "o_custkey", "callee",
-    )
+def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Call rows (caller custkey, callee custkey, time, duration, returned)."""
+    # (part, shipped, l_orderkey) is a total order: one row per order
+    nxt = next_in_key(purchases(spark, sf_dir), "part", ["shipped", "l_orderkey"], "o_custkey", "callee")
     return nxt.where(F.col("callee").isNotNull()).select(
         F.col("o_custkey").alias("caller"),
         F.col("callee"),
-        F.col("l_shipdate").alias("datatime"),
-        F.col("l_quantity").cast("long").alias("duration"),
-        F.col("l_returnflag"),
+        F.col("shipped").alias("datatime"),
+        F.col("units").alias("duration"),
+        F.col("returned"),
     )
 
 
-def call_log(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY) -> DataFrame:
+def call_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Call log with phone numbers, as the telecom input has it."""
-    return calls(spark, sf_dir, min_qty).select(
+    return calls(spark, sf_dir).select(
         F.col("datatime"),
         F.concat(F.lit(PHONE_PREFIX), F.col("caller").cast("string")).alias("caller_mobile_number"),
         F.concat(F.lit(PHONE_PREFIX), F.col("callee").cast("string")).alias("callee_mobile_number"),
@@ -63,17 +60,16 @@ def call_log(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY) -
     )
 
 
-def edges(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY) -> DataFrame:
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct directed edges (src, dst, relationship).
 
-    relationship = 'friend' when every call on the pair came from a returned
-    line (flag R), else 'follow' (the minimum of the per-call labels).
+    relationship = 'follow' when any call on the pair came from an order of
+    which nothing was returned, else 'friend' (the greatest label).
     """
-    c = calls(spark, sf_dir, min_qty)
-    rel = F.when(F.col("l_returnflag") == "R", "friend").otherwise("follow")
+    c = calls(spark, sf_dir)
     return c.groupBy(F.col("caller").alias("src"), F.col("callee").alias("dst")).agg(
-        F.min(rel).alias("relationship")
-    )
+        F.min(F.col("returned") == "R").alias("_all")
+    ).select("src", "dst", F.when(F.col("_all"), "friend").otherwise("follow").alias("relationship"))
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,9 +112,9 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers(spark, sf_dir).drop("mobile_number").withColumnRenamed("customer_id", "id")
 
 
-def customer_graph(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY) -> PropertyGraph:
+def customer_graph(spark: SparkSession, sf_dir: str) -> PropertyGraph:
     """The graph as a lazy derivation from the driver tables."""
-    return PropertyGraph(vertices(spark, sf_dir), edges(spark, sf_dir, min_qty))
+    return PropertyGraph(vertices(spark, sf_dir), edges(spark, sf_dir))
 
 
 _SILVER: dict = {}
@@ -136,7 +132,7 @@ def _stamp(sf_dir: str) -> tuple:
     return tuple(out)
 
 
-def silver_graph(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QTY) -> PropertyGraph:
+def silver_graph(spark: SparkSession, sf_dir: str) -> PropertyGraph:
     """Vertices and edges written once as parquet tables in the shared folder
     and read back — the silver layer every later graph job starts from.
 
@@ -144,12 +140,12 @@ def silver_graph(spark: SparkSession, sf_dir: str, min_qty: int = DEFAULT_MIN_QT
     once per session and input, not once per query; the tables live in the
     shared checkpoint area, so they outlive lost executors.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), min_qty, _stamp(sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _stamp(sf_dir))
     root = _SILVER.get(key)
     if root is None:
         root = shared_path(spark, "silver-graph")
         vertices(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/vertices")
-        edges(spark, sf_dir, min_qty).write.mode("overwrite").parquet(f"{root}/edges")
+        edges(spark, sf_dir).write.mode("overwrite").parquet(f"{root}/edges")
         _SILVER[key] = root
     return PropertyGraph(spark.read.parquet(f"{root}/vertices"), spark.read.parquet(f"{root}/edges"))
 

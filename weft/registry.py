@@ -68,6 +68,11 @@ def degrees_top(spark, sf_dir):
     return degrees(spark, sf_dir).orderBy(F.desc("degree"), "id").limit(20)
 
 
+@q("degrees_ranked")
+def degrees_ranked(spark, sf_dir):
+    return degrees(spark, sf_dir).orderBy(F.desc("degree"), "id")
+
+
 @q("degree_ratios")
 def degree_ratios(spark, sf_dir):
     g = graph(spark, sf_dir)
@@ -145,7 +150,7 @@ def connected_components(spark, sf_dir):
 def scc(spark, sf_dir):
     from weft.operators.components import scc_labels
 
-    return scc_labels(graph(spark, sf_dir), max_iter=10)
+    return scc_labels(graph(spark, sf_dir))
 
 
 @q("label_propagation_5")
@@ -587,8 +592,8 @@ def batch_score(spark, sf_dir):
     path = shared_path(spark, "model")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    out = m.score(loaded, ts.where(F.col("split") == "test"), cols, "churn")
-    return out.select("customer_id", "score", "prediction")
+    out = m.score(loaded, ts, cols, "churn")
+    return out.select("customer_id", "split", "score", "prediction")
 
 
 @q("sample_preview")
