@@ -127,7 +127,7 @@ def build_trees(docs: DataFrame, tokenizer: str, edits: Column) -> DataFrame:
     """TREES rows: the texts with their leaves' sizes, and ``edits``."""
 
     def build(batches):
-        enc = encoder(tokenizer, True)
+        enc = encoder(tokenizer, True, cache_pieces=150_000)
         for t in table_chunks(batches, chunk_bytes=STEP_BYTES):
             leaves = [leaves_of(x or "") for x in t.column("text").to_pylist()]
             offsets, _ = enc.encode(pa.array([x for one in leaves for x in one], pa.large_string()))
@@ -146,7 +146,7 @@ def apply_edits(trees: DataFrame, tokenizer: str) -> DataFrame:
     before and after, and how many characters were encoded for that."""
 
     def apply(batches):
-        enc = encoder(tokenizer, True)
+        enc = encoder(tokenizer, True, cache_pieces=150_000)
         for t in table_chunks(batches, chunk_bytes=STEP_BYTES):
             rows = [t.column(c).to_pylist() for c in ("text", "edits", "leaf_chars", "leaf_tokens")]
             held, edits = [], []

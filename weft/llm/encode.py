@@ -24,7 +24,7 @@ _WHOLE = ("[\x01\t\r\x0b\x0c\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028
           "|[ \n][ \n]")
 _BEFORE_POINT = "([A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,])"
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 400_000  # twice as many are held at most, of some 200 bytes
 STEP_BYTES = 8 << 20  # of text encoded at once
 PIECE_CHARS = 48
 GROUP = 50
@@ -36,13 +36,13 @@ class Encoder:
     """``keeps_blanks``: a blank belongs to the token behind it (byte-level
     BPE); else the tokenizer drops blanks."""
 
-    def __init__(self, path: str, keeps_blanks: bool):
+    def __init__(self, path: str, keeps_blanks: bool, cache_pieces: int = CACHE_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.keeps_blanks = keeps_blanks
+        self.keeps_blanks, self.cache_pieces = keeps_blanks, cache_pieces
         self.cache: dict[str, bytes] = {}  # pieces in use since the last change
         self.older: dict[str, bytes] = {}
 
@@ -86,7 +86,7 @@ class Encoder:
         for p in new:
             if len(p) > PIECE_CHARS:
                 del cache[p]
-        if len(cache) > CACHE_PIECES:
+        if len(cache) > self.cache_pieces:
             self.cache, self.older = {"": b""}, cache
         return got
 
@@ -127,8 +127,8 @@ class Encoder:
         return offsets, closed
 
 
-def encoder(path: str, keeps_blanks: bool) -> Encoder:
+def encoder(path: str, keeps_blanks: bool, cache_pieces: int = CACHE_PIECES) -> Encoder:
     """One encoder per Python worker and file."""
     if (path, keeps_blanks) not in _made:
-        _made[path, keeps_blanks] = Encoder(path, keeps_blanks)
+        _made[path, keeps_blanks] = Encoder(path, keeps_blanks, cache_pieces)
     return _made[path, keeps_blanks]

@@ -41,7 +41,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, ke
     """One row per piece; only documents over ``capacity`` are cut, with the
     shorter piece first."""
     def pieces(batches):
-        enc = encoder(tokenizer, keeps_blanks)
+        enc = encoder(tokenizer, keeps_blanks, cache_pieces=150_000)
         for t in table_chunks(batches, chunk_bytes=STEP_BYTES):
             offsets, ids = enc.encode_closed(t.column(1).combine_chunks(), end_id)
             n = np.diff(offsets)
