@@ -43,7 +43,8 @@ class Training:
     embed: int = 8
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 12  # of each width
-    epochs: int = 4
+    epochs: int = 4  # at least, and as many as make ``steps`` batches
+    steps: int = 400
     batch: int = 64
     rate: float = 0.01
     seed: int = 5
@@ -86,7 +87,7 @@ class ByteNet:
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
         step = 0
-        for _ in range(t.epochs):
+        for _ in range(max(t.epochs, -(-t.steps * t.batch // len(x)))):
             order = rng.permutation(len(x))
             for i in range(0, len(x), t.batch):
                 step += 1
