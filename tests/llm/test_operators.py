@@ -140,6 +140,20 @@ def test_secret_scan(spark, odd_docs, no_docs):
     assert secret_scan.scan(no_docs).collect() == [] and secret_scan.redact(no_docs).collect() == []
 
 
+def test_candidates_places_and_rows_without_id(spark):
+    many = " ".join(f"\u00e9\U0001f600{'x' * (i % 7)} {i:04d}abcdefghijklmnop{'q' * (i % 5)}" for i in range(700))
+    docs = spark.createDataFrame([(1, many), (1, many), (None, "no " + "k" * 20)], "doc_id long, text string")
+    got = secret_scan.candidates(docs).collect()
+    want = [(m.start(), m.group()) for m in re.finditer(secret_scan.CANDIDATE, many)]
+    assert sorted((r.start, r.value) for r in got if r.doc_id == 1) == sorted(want * 2) and len(want) == 700
+    assert [(r.start, r.value) for r in got if r.doc_id is None] == [(3, "k" * 20)]
+    key = "b7db7aa4a5fcc78305"
+    docs = spark.createDataFrame([(None, f"password={key}"), (None, f"commit {key} by"), (2, f"token: {key}")],
+                                 "doc_id long, text string")
+    assert {r.text for r in secret_scan.redact(docs).collect() if r.doc_id} == {"token: [SECRET]"}
+    assert "password=[SECRET]" in {r.text for r in secret_scan.redact(docs).collect()}
+
+
 def test_language(spark, odd_docs, no_docs):
     docs = table(spark, SF, "documents")
     held = fold("doc_id", 3) == 1
