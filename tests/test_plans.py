@@ -84,6 +84,8 @@ def test_latest_per_key_matches_row_number_with_hot_key_and_ties(spark):
 def test_name_rules():
     assert clean_name_camel("customerID") == "customer_id"
     assert clean_name_camel("MonthlyCharges") == "monthly_charges"
+    assert clean_name_camel("Total Charges") == "total__charges"
+    assert clean_name_camel("IPAddress") == "i_p_address"
     assert clean_name_camel("StreamingTV") == "streaming_tv"
     assert clean_name_dummies("payment_method_Bank transfer (automatic)") == "payment_method_bank_transfer__automatic_"
     assert clean_name_dummies("priority_4-NOT SPECIFIED") == "priority_4_not_specified"
@@ -288,3 +290,31 @@ def test_ingest_infers_schema_and_customer_graph(spark, tmp_path):
     lazy = cg.customer_graph(spark, sf)
     silver = cg.silver_graph(spark, sf)
     assert sorted(map(tuple, lazy.degrees.collect())) == sorted(map(tuple, silver.degrees.collect()))
+
+
+def test_permuted_column_keeps_every_value(spark):
+    from weft.plans.model import permute_column
+
+    df = spark.range(2000).selectExpr("id", "if(id % 80 = 0, null, id * 1.5) AS x")
+    got = permute_column(df, "x", "id", group_rows=100)
+    assert sorted(r.x or -1.0 for r in got.collect()) == sorted(r.x or -1.0 for r in df.collect())
+    assert got.where("x is null").count() == 25
+
+
+def test_inference_finds_a_field_of_one_row(spark, tmp_path):
+    from weft.streaming.ingest import infer_schema
+
+    (tmp_path / "a.json").write_text("\n".join(
+        f'{{"id": {i}, "extra": "x"}}' if i == 1500 else f'{{"id": {i}}}' for i in range(2000)))
+    assert infer_schema(spark, str(tmp_path), "json").fieldNames() == ["extra", "id", "_rescued_data"]
+
+
+def test_roc_area_counts_pairs(spark):
+    from weft.plans.model import roc_auc, roc_points
+
+    rows = [(i % 37 / 37.0, int(i * i % 11 < 4)) for i in range(500)]
+    df = spark.createDataFrame(rows, "score double, label int").repartition(7)
+    pos, neg = ([s for s, y in rows if y == k] for k in (1, 0))
+    pairs = sum((p > q) + (p == q) / 2 for p in pos for q in neg)
+    assert abs(roc_auc(df, "label", "score").first()[0] - pairs / len(pos) / len(neg)) < 1e-12
+    assert roc_points(df, "label", "score").count() == 37

@@ -5,7 +5,6 @@ from weft.functions.columns import (  # noqa: F401
     clean_name_camel,
     clean_name_dummies,
     comb2,
-    fold,
     one_hot,
     safe_ratio,
     yes_no,

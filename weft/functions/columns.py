@@ -7,8 +7,7 @@ work stays inside whole-stage code generation.
 from __future__ import annotations
 
 import functools
-import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,24 +60,17 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return functools.reduce(lambda a, b: a | b, conditions)
 
 
-def fold(step: Callable[[Column, str], Column], items: Iterable[str], start: Column) -> Column:
-    """Left fold building one Column (path state in motif queries)."""
-    return functools.reduce(step, items, start)
-
-
 def clean_name_camel(name: str) -> str:
-    """Column-name rule A: camelCase to snake_case, parentheses removed,
-    spaces and hyphens to underscores, repeated underscores collapsed."""
-    s = re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", name)
-    s = s.replace("(", "").replace(")", "")
-    s = re.sub(r"[ \-]", "_", s).lower()
-    s = re.sub(r"_+", "_", s)
+    """Column-name rule A: every capital but a leading one starts a part, as in
+    ``i_p_address``; a blank before it stays a mark of its own, as in
+    ``total__charges``.  Parentheses go; blanks and hyphens become marks."""
+    parts = "".join(f"_{c}" if i and "A" <= c <= "Z" else c for i, c in enumerate(name))
+    s = parts.replace("__", "_").lower().translate(str.maketrans(" -", "__", "()"))
     # fixed corrections of rule A
     return {"streaming_t_v": "streaming_tv", "customer_i_d": "customer_id"}.get(s, s)
 
 
 def clean_name_dummies(name: str) -> str:
-    """Column-name rule B: parentheses to spaces, then spaces and hyphens to
-    underscores, lower case (may leave double underscores)."""
-    s = re.sub(r"[()]", " ", name).lower()
-    return re.sub(r"[ \-]", "_", s).lower()
+    """Column-name rule B: lower case; parentheses, blanks and hyphens each
+    become an underscore (may leave double ones)."""
+    return name.lower().translate(str.maketrans("() -", "____"))

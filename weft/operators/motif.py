@@ -109,3 +109,21 @@ def find(g, pattern: str) -> DataFrame:
         else:
             acc = acc.join(vs, f"_id_{name}")
     return acc.select(*order)
+
+
+def walks(g, steps: int, wanted: str, at_least: int) -> DataFrame:
+    """(v0 .. v<steps>, n) of every walk of ``steps`` edges with ``n`` >=
+    ``at_least`` edges that meet the condition ``wanted``.
+
+    Partial walks that the remaining edges cannot bring to ``at_least`` are
+    dropped before the next join."""
+    edges = g.edges.select("src", "dst", F.when(F.expr(wanted), 1).otherwise(0).alias("hit"))
+    ids = g.vertices.select("id")
+    edges = edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(
+        ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    out = edges.select(F.col("src").alias("v0"), F.col("dst").alias("v1"), F.col("hit").alias("n"))
+    for k in range(1, steps):
+        can = out.where(F.col("n") >= at_least - (steps - k))
+        out = can.join(edges, can[f"v{k}"] == edges["src"]).select(
+            *[f"v{i}" for i in range(k + 1)], F.col("dst").alias(f"v{k + 1}"), (F.col("n") + F.col("hit")).alias("n"))
+    return out.where(F.col("n") >= at_least)

@@ -123,3 +123,19 @@ def page_rank(g, reset_prob=0.15, sourceId=None, maxIter=None, tol=None):
     outdeg = g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("_od"))
     e = g.edges.join(outdeg, "src", "left").withColumn("weight", 1.0 / F.col("_od")).drop("_od")
     return PropertyGraph(v, e)
+
+
+def rank_by_messages(g, rounds: int, reset: float = 0.15):
+    """(id, outDegree, rank) of the vertices with out-edges, ranks summing to
+    at most 1, by message passing.  The state is the share that a vertex sends
+    along each of its edges, so the message is the state itself."""
+    from weft.graph import PropertyGraph
+    from weft.operators.pregel import Pregel
+
+    n = g.vertices.count()
+    senders = PropertyGraph(g.outDegrees, g.edges.select("src", "dst"))
+    arrived = F.coalesce(Pregel.msg(), F.lit(0.0))
+    share = (reset / n + (1 - reset) * arrived) / F.col("outDegree")
+    passing = senders.pregel.setMaxIter(rounds).withVertexColumn("share", 1 / n / F.col("outDegree"), share)
+    done = passing.sendMsgToDst(Pregel.src("share")).aggMsgs(F.sum(Pregel.msg())).run()
+    return done.select("id", "outDegree", (F.col("share") * F.col("outDegree")).alias("rank"))

@@ -201,6 +201,8 @@ FROM pairs LEFT JOIN customers c1 ON pairs.a = c1.mobile_number
         "SELECT id, count(*) AS degree FROM (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges) GROUP BY 1"
     )
     o["degrees_ranked"] = o["degrees"]
+    o["in_degrees_ranked"] = o["in_degrees"]
+    o["out_degrees_ranked"] = o["out_degrees"]
     o["degrees_top"] = o["degrees"] + " ORDER BY degree DESC, id LIMIT 20"
     o["degree_ratios"] = w(
         """d AS (SELECT id, count(*) AS degree, sum(i) AS in_degree, sum(o) AS out_degree FROM (
@@ -410,11 +412,11 @@ FROM orders GROUP BY o_custkey"""
     sc = """sc AS (SELECT customer_id, CASE WHEN churn = 'Yes' THEN 1 ELSE 0 END AS label,
         (monthly_charges + 1000.0) / 11000.0 AS score FROM customers)"""
     o["confusion_matrix"] = w(sc) + """SELECT label, CAST(score >= 0.5 AS INT) AS prediction, count(*) AS n FROM sc GROUP BY 1, 2"""
-    bk = """bk AS (SELECT CAST(floor(score * 100) AS BIGINT) AS bucket, sum(label)::DOUBLE AS pos,
+    bk = """bk AS (SELECT score AS threshold, sum(label)::DOUBLE AS pos,
         sum(1 - label)::DOUBLE AS neg FROM sc GROUP BY 1),
-cum AS (SELECT bucket / 100.0 AS threshold,
-        sum(pos) OVER (ORDER BY bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
-        sum(neg) OVER (ORDER BY bucket DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+cum AS (SELECT threshold,
+        sum(pos) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+        sum(neg) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
         sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM bk)"""
     o["roc_points"] = w(sc, bk) + "SELECT round(threshold, 6) AS threshold, round(fp / N, 9) AS fpr, round(tp / P, 9) AS tpr FROM cum"
     o["pr_points"] = w(sc, bk) + """SELECT round(threshold, 6) AS threshold, round(tp / P, 9) AS recall,

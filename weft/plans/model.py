@@ -17,6 +17,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weft.operators.iterate import cut
+
 # fixed values: the boosted-tree settings of the generated training script
 GBT_PARAMS = dict(maxDepth=5, stepSize=0.0321, maxIter=277, subsamplingRate=0.418,
                   featureSubsetStrategy="0.342", minInstancesPerNode=19)
@@ -119,51 +121,46 @@ def confusion_matrix(scored: DataFrame, label: str, prediction: str = "predictio
         F.count(F.lit(1)).alias("n"))
 
 
-def _score_buckets(df: DataFrame, label: str, score: str, bins: int) -> DataFrame:
-    """Positives / negatives per score bucket; at most bins + 1 rows."""
-    b = F.floor(F.col(score) * bins).cast("long").alias("bucket")
-    y = F.col(label).cast("double")
-    return df.groupBy(b).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(threshold, pos, neg, tp, fp, P, N) of every distinct score: positives
+    and negatives at it, and those at it or above.
 
+    Sums run inside score ranges; what the higher ranges hold is added from a
+    table of one row per range.  No window spans the table."""
+    y = F.col(label).cast("long")
+    at = df.groupBy(F.col(score).alias("threshold")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    at = cut(at.repartitionByRange(F.desc("threshold")).withColumn("_r", F.spark_partition_id()))
+    ranges = at.groupBy("_r").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy()
+    heads = ranges.select(
+        "_r", F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p0"), F.sum("_p").over(every).alias("P"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"), F.sum("_n").over(every).alias("N"))
+    upto = Window.partitionBy("_r").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    return at.join(F.broadcast(heads), "_r").select(
+        "threshold", "pos", "neg", (F.col("_p0") + F.sum("pos").over(upto)).alias("tp"),
+        (F.col("_n0") + F.sum("neg").over(upto)).alias("fp"), "P", "N")
 
-def roc_points(df: DataFrame, label: str, score: str, bins: int = 1000) -> DataFrame:
-    """(threshold, fpr, tpr) with thresholds at bucket edges, high to low.
 
-    Scores are bucketed first (``bins`` buckets of a [0, 1] score), so the
-    cumulative window runs over at most ``bins + 1`` rows whatever the data
-    size.
-    """
-    agg = _score_buckets(df, label, score, bins)
-    w = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy()
-    c = agg.select(
-        (F.col("bucket") / float(bins)).alias("threshold"),
-        F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
-        F.sum("pos").over(wall).alias("P"), F.sum("neg").over(wall).alias("N"),
-    )
-    return c.select("threshold", (F.col("fp") / F.col("N")).alias("fpr"), (F.col("tp") / F.col("P")).alias("tpr"))
+def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(threshold, fpr, tpr) at every distinct score."""
+    return _cumulative(df, label, score).select(
+        "threshold", (F.col("fp") / F.col("N")).alias("fpr"), (F.col("tp") / F.col("P")).alias("tpr"))
 
 
-def pr_points(df: DataFrame, label: str, score: str, bins: int = 1000) -> DataFrame:
-    """(threshold, recall, precision) at bucket edges, high to low."""
-    agg = _score_buckets(df, label, score, bins)
-    w = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, 0)
-    c = agg.select(
-        (F.col("bucket") / float(bins)).alias("threshold"),
-        F.sum("pos").over(w).alias("tp"), F.sum("neg").over(w).alias("fp"),
-        F.sum("pos").over(Window.partitionBy()).alias("P"),
-    )
-    return c.select("threshold", (F.col("tp") / F.col("P")).alias("recall"),
-                    (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"))
+def pr_points(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(threshold, recall, precision) at every distinct score."""
+    return _cumulative(df, label, score).select(
+        "threshold", (F.col("tp") / F.col("P")).alias("recall"),
+        (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"))
 
 
-def auc_from_points(points: DataFrame) -> DataFrame:
-    """Trapezoid area under (fpr, tpr) including the (0, 0) start."""
-    w = Window.orderBy(F.desc("threshold"))
-    p = points.select("fpr", "tpr",
-                      F.coalesce(F.lag("fpr").over(w), F.lit(0.0)).alias("f0"),
-                      F.coalesce(F.lag("tpr").over(w), F.lit(0.0)).alias("t0"))
-    return p.agg(F.sum((F.col("fpr") - F.col("f0")) * (F.col("tpr") + F.col("t0")) / 2).alias("auc"))
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Exact area under the ROC curve: of all pairs of a positive and a
+    negative row, the share that the score orders rightly, ties by half."""
+    # twice the ordered pairs, summed as integers
+    twice = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")))
+    return _cumulative(df, label, score).agg((twice / (2 * F.max("P") * F.max("N"))).alias("auc"))
 
 
 def permute_column(df: DataFrame, col: str, key: str, seed: int = 7, group_rows: int = 1000) -> DataFrame:
@@ -177,7 +174,8 @@ def permute_column(df: DataFrame, col: str, key: str, seed: int = 7, group_rows:
     t = df.withColumn("_g", g).withColumn("_o", o)
     w = Window.partitionBy("_g").orderBy("_o", key)
     wall = Window.partitionBy("_g").orderBy("_o", key).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return t.withColumn(col, F.coalesce(F.lag(col).over(w), F.last(col).over(wall))).drop("_g", "_o")
+    moved = F.when(F.row_number().over(w) == 1, F.last(col).over(wall)).otherwise(F.lag(col).over(w))
+    return t.withColumn(col, moved).drop("_g", "_o")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, cols, key: str, label: str,

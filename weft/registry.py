@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.functions.columns import fold
 from weft.graph import PropertyGraph
 from weft.operators import degrees as deg
 from weft.plans import callgraph as cg
@@ -73,6 +72,16 @@ def degrees_ranked(spark, sf_dir):
     return degrees(spark, sf_dir).orderBy(F.desc("degree"), "id")
 
 
+@q("in_degrees_ranked")
+def in_degrees_ranked(spark, sf_dir):
+    return in_degrees(spark, sf_dir).orderBy(F.desc("inDegree"), "id")
+
+
+@q("out_degrees_ranked")
+def out_degrees_ranked(spark, sf_dir):
+    return out_degrees(spark, sf_dir).orderBy(F.desc("outDegree"), "id")
+
+
 @q("degree_ratios")
 def degree_ratios(spark, sf_dir):
     g = graph(spark, sf_dir)
@@ -105,16 +114,11 @@ def reciprocal_pairs(spark, sf_dir):
 
 @q("chain4_friends")
 def chain4_friends(spark, sf_dir):
-    chain = graph(spark, sf_dir).find("(a)-[ab]->(b); (b)-[bc]->(c); (c)-[cd]->(d)")
-
-    def step(cnt, edge):
-        return F.when(F.col(edge)["relationship"] == "friend", cnt + 1).otherwise(cnt)
+    """Walks of three edges, two or more of them between friends."""
+    from weft.operators.motif import walks
 
-    n = fold(step, ["ab", "bc", "cd"], F.lit(0))
-    return chain.withColumn("num_friends", n).where(n >= 2).select(
-        F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"), F.col("c.id").alias("c_id"),
-        F.col("d.id").alias("d_id"), "num_friends",
-    )
+    found = walks(graph(spark, sf_dir), 3, "relationship = 'friend'", at_least=2)
+    return found.toDF("a_id", "b_id", "c_id", "d_id", "num_friends")
 
 
 @q("one_way_edges")
@@ -200,24 +204,9 @@ def pagerank_edges(spark, sf_dir):
 
 @q("pregel_pagerank")
 def pregel_pagerank(spark, sf_dir):
-    from weft.operators.pregel import Pregel
+    from weft.operators.rank import rank_by_messages
 
-    g = graph(spark, sf_dir)
-    n_vertices = g.vertices.count()
-    alpha = 0.15
-    gp = PropertyGraph(g.outDegrees, g.edges.select("src", "dst"))
-    ranks = (
-        gp.pregel.setMaxIter(5)
-        .withVertexColumn(
-            "rank",
-            F.lit(1.0 / n_vertices),
-            F.coalesce(Pregel.msg(), F.lit(0.0)) * F.lit(1.0 - alpha) + F.lit(alpha / n_vertices),
-        )
-        .sendMsgToDst(Pregel.src("rank") / Pregel.src("outDegree"))
-        .aggMsgs(F.sum(Pregel.msg()))
-        .run()
-    )
-    return ranks.select("id", "outDegree", F.round("rank", 9).alias("rank"))
+    return rank_by_messages(graph(spark, sf_dir), 5).withColumn("rank", F.round("rank", 9))
 
 
 @q("triangle_count")
@@ -504,7 +493,7 @@ def confusion_matrix(spark, sf_dir):
 def roc_points(spark, sf_dir):
     from weft.plans.model import roc_points as rp
 
-    p = rp(_score_frame(spark, sf_dir), "label", "score", bins=100)
+    p = rp(_score_frame(spark, sf_dir), "label", "score")
     return p.select(F.round("threshold", 6).alias("threshold"), F.round("fpr", 9).alias("fpr"),
                     F.round("tpr", 9).alias("tpr"))
 
@@ -513,16 +502,16 @@ def roc_points(spark, sf_dir):
 def pr_points(spark, sf_dir):
     from weft.plans.model import pr_points as pp
 
-    p = pp(_score_frame(spark, sf_dir), "label", "score", bins=100)
+    p = pp(_score_frame(spark, sf_dir), "label", "score")
     return p.select(F.round("threshold", 6).alias("threshold"), F.round("recall", 9).alias("recall"),
                     F.round("precision", 9).alias("precision"))
 
 
 @q("roc_auc")
 def roc_auc(spark, sf_dir):
-    from weft.plans.model import auc_from_points, roc_points as rp
+    from weft.plans.model import roc_auc as auc
 
-    a = auc_from_points(rp(_score_frame(spark, sf_dir), "label", "score", bins=100))
+    a = auc(_score_frame(spark, sf_dir), "label", "score")
     return a.select(F.round("auc", 9).alias("auc"))
 
 
@@ -606,10 +595,14 @@ def sample_preview(spark, sf_dir):
 
 @q("activity_features_sql")
 def activity_features_sql(spark, sf_dir):
-    from weft.plans.activity import churn_features_sql
+    """The feature table created by a SQL statement and read by its name."""
+    import uuid
 
-    users, orders, events = _silver(spark, sf_dir)
-    return churn_features_sql(users, orders, events)
+    from weft.operators.iterate import shared_path
+    from weft.plans.activity import churn_features, churn_table
+
+    name = f"churn_features_{uuid.uuid4().hex[:12]}"
+    return churn_table(churn_features(*_silver(spark, sf_dir)), name, shared_path(spark, name))
 
 
 def _partial_directory_edges(spark, sf_dir):

@@ -1,7 +1,7 @@
 """Incremental ingest with Structured Streaming.
 
 * ``ingest_folder``: a file stream (JSON or CSV) with an explicit schema —
-  given, or inferred once by a sampled batch read of the same folder — and
+  given, or inferred once from all rows of the same folder — and
   a ``_rescued_data`` column that keeps rows that do not fit it, written to
   a parquet table folder with a checkpoint (exactly-once across restarts).
 * ``stream_table``: a stream over such a table folder, transformed by the
@@ -23,8 +23,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 RESCUED = "_rescued_data"
 
 
-def infer_schema(spark: SparkSession, path: str, fmt: str, sampling_ratio: float = 0.1) -> StructType:
-    """Schema of a folder from a sampled batch read, plus the rescue column."""
+def infer_schema(spark: SparkSession, path: str, fmt: str, sampling_ratio: float = 1.0) -> StructType:
+    """Schema of a folder from a batch read, plus the rescue column.  A
+    ``sampling_ratio`` below 1 may miss fields that occur in few rows."""
     reader = spark.read.option("samplingRatio", sampling_ratio)
     if fmt == "csv":
         reader = reader.option("header", True).option("inferSchema", True)
@@ -73,13 +74,12 @@ def ingest_folder(
     table_path: str,
     checkpoint: str,
     schema: StructType | str | None = None,
-    sampling_ratio: float = 0.1,
+    sampling_ratio: float = 1.0,
 ) -> StreamingQuery:
     """Start a run-once file-to-table stream; returns the running query.
 
-    Without a schema, types are inferred from a ``sampling_ratio`` share of
-    the rows already in the folder (a sample of a tiny folder may be empty,
-    which leaves every column a string; use 1.0 there)."""
+    Without a schema, names and types are inferred from all rows already in
+    the folder, or from a ``sampling_ratio`` share of them."""
     s = with_rescue(schema) if schema is not None else infer_schema(spark, path, fmt, sampling_ratio)
     return write_table_stream(read_folder_stream(spark, path, fmt, s), table_path, checkpoint)
 
