@@ -1,8 +1,9 @@
 """The customer call network, derived from the driver tables.
 
 Every order is one purchase: of the part on its first line, with the units of
-all its lines, at its earliest ship date.  A "call" goes from the buyer to the
-next buyer of the same part (by date, then order key).  Customers are the vertices; their attributes stand in
+all its lines, at its earliest ship date; the parts of its other lines link nobody.
+A "call" goes from the buyer to the next buyer of the same part (by date, then
+order key).  Customers are the vertices; their attributes stand in
 for the telecom customer table (monthly charges = account balance, total
 charges = sum of order totals, tenure = days since the first order).
 """
