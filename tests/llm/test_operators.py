@@ -7,6 +7,7 @@ import math
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -253,6 +254,32 @@ def test_overlaps(spark, odd_docs, no_docs):
     assert decontam.overlaps(no_docs, bench).collect() == [] and decontam.overlaps(docs, bench.limit(0)).collect() == []
 
 
+def brute_stretch(equal, share):
+    """Length and equal words of the longest stretch, by trying all."""
+    spans = [(j - i, sum(equal[i:j])) for i in range(len(equal)) for j in range(i + 1, len(equal) + 1)
+             if equal[i] and equal[j - 1] and sum(equal[i:j]) * share.denominator >= share.numerator * (j - i)]
+    return max(spans, default=(0, 0))
+
+
+def test_longest_stretch_equals_brute_force():
+    rng = random.Random(8)
+    for _ in range(1500):
+        equal = [rng.random() < rng.choice((0.5, 0.75, 0.9)) for _ in range(rng.randint(0, 45))]
+        share = rng.choice((Fraction(4, 5), Fraction(1, 2), Fraction(1)))
+        at, n = decontam.longest_stretch(np.array(equal, bool), share)
+        assert (n, sum(equal[at:at + n])) == brute_stretch(equal, share)
+
+
+def test_overlaps_finds_the_exact_end_of_a_poor_copy(spark):
+    item = [f"w{i}" for i in range(34)]
+    copy = [f"x{i}" if i < 21 and i % 3 == 2 else w for i, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, " ".join(copy))], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    # 27 of 34 words are equal, 25 of the last 31
+    assert [tuple(r) for r in decontam.overlaps(docs, bench).collect()] == [(1, 5, 3, 3, 31, 25)]
+    assert decontam.without_overlaps(docs, bench).collect() == []
+
+
 def brute_components(rows):
     sets = []
     for i, t in rows:

@@ -3,9 +3,9 @@
 A seed mask names the word positions of a window that are hashed; the others
 may differ.  Windows of benchmark items and documents with equal hashes under
 a mask are joined, and around each hit the two word sequences are compared
-along their diagonal: the best-scoring stretch (a point for an equal word,
-``MISMATCH`` for a substituted one) is the overlap.  It counts if it has
-``min_words`` words, of which ``min_share`` are equal.
+along their diagonal: the longest stretch from one equal word to another, of whose
+words ``min_share`` are equal, is the overlap.  It counts if it has
+``min_words`` words.
 
 Scale: the documents are only mapped, never shuffled.  The benchmark is the
 stated query set: it is dealt into blocks of about ``block_bytes`` of text,
@@ -21,6 +21,8 @@ earliest), once per repeated row.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,7 +40,6 @@ MASKS = (
     (0, 1, 2, 3, 5, 8, 9, 11),
 )
 SPAN = 12
-MISMATCH = -2
 MIN_ITEM = 5
 TABLE_BITS = 22
 
@@ -114,6 +115,7 @@ class Seeds:
         overlap of each row and item."""
         known = pc.index_in(chunk.vocab.cast(self.vocab.type), self.vocab).fill_null(len(self.vocab)).to_numpy()
         doc = known[chunk.codes]
+        share = Fraction(str(min_share))  # 0.8 is 4/5, as 4 of 5 words count
         best: dict[tuple[int, int], tuple] = {}
         for row, item, diagonal in self.hits(chunk, self.hashes[doc]).tolist():
             d0, d1 = chunk.offsets[row], chunk.offsets[row + 1]
@@ -121,10 +123,9 @@ class Seeds:
             start = max(0, -diagonal)
             stop = min(i1 - i0, d1 - d0 - diagonal)
             equal = doc[d0 + diagonal + start:d0 + diagonal + stop] == self.codes[i0 + start:i0 + stop]
-            at, n = best_stretch(equal)
+            at, n = longest_stretch(equal, share)
             same = int(equal[at:at + n].sum())
-            need = min(min_words, int(i1 - i0))
-            if n < need or same < min_share * n:
+            if n < min(min_words, int(i1 - i0)):
                 continue
             found = (-n, -same, int(diagonal + start + at), int(start + at))
             if found < best.get((row, item), (1,)):
@@ -132,14 +133,22 @@ class Seeds:
         return [(r, i, d, s, -n, -e) for (r, i), (n, e, d, s) in sorted(best.items())]
 
 
-def best_stretch(equal: np.ndarray) -> tuple[int, int]:
-    """(start, length) of the stretch with the highest score; the first of
-    equals, and of those the longest."""
-    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, MISMATCH))])
-    low = np.minimum.accumulate(total)
-    end = int(np.argmax(total - low))
-    start = int(np.argmax(total[:end + 1] == low[end]))
-    return start, end - start
+def longest_stretch(equal: np.ndarray, share: Fraction) -> tuple[int, int]:
+    """(start, length) of the longest stretch that starts and ends with an
+    equal word and of whose words ``share`` are equal; of those the one with
+    the most equal words, then the first."""
+    ends = np.flatnonzero(equal) + 1
+    if not len(ends):
+        return 0, 0
+    # a stretch has the share where its sum is not below 0
+    up, down = share.denominator - share.numerator, -share.numerator
+    total = np.concatenate([[0], np.cumsum(np.where(equal, up, down))])
+    low = np.minimum.accumulate(np.where(equal, total[:-1], np.iinfo(np.int64).max))
+    starts = np.searchsorted(-low, -total[ends])  # the first that is low enough
+    n = ends - starts
+    count = np.concatenate([[0], np.cumsum(equal)])
+    k = np.lexsort((starts, count[starts] - count[ends], -n))[0]
+    return int(starts[k]), int(n[k])
 
 
 def seed_blocks(benchmark: DataFrame, block_bytes: int):
