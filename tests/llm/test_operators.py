@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import json
 import math
 import random
@@ -280,6 +281,41 @@ def test_overlaps_finds_the_exact_end_of_a_poor_copy(spark):
     assert decontam.without_overlaps(docs, bench).collect() == []
 
 
+def test_masks_hit_every_pattern():
+    for size, k in ((12, 2), (15, 3), (20, 4), (25, 5)):
+        gaps = np.array([sum(1 << p for p in c) for c in itertools.combinations(range(size), k)])
+        hit = np.zeros(len(gaps), bool)
+        for mask in decontam.masks_for(12, Fraction(4, 5)):
+            assert mask[-1] < decontam.SPAN
+            for at in range(size - mask[-1]):
+                hit |= gaps & sum(1 << at + p for p in mask) == 0
+        assert hit.all(), (size, k)
+
+
+@pytest.mark.parametrize("least, share", [(13, 0.8), (12, 0.9), (8, 0.7)])
+def test_overlaps_equal_brute_force(spark, least, share):
+    rng = random.Random(11)
+    items = [[f"i{k}w{j}" for j in range(rng.randint(12, 30))] for k in range(12)]
+    copies = []
+    for _ in range(400):
+        k = rng.randrange(12)
+        w = list(items[k])
+        for j in rng.sample(range(len(w)), rng.randint(0, len(w) // 3)):
+            w[j] = f"x{j}"
+        a = rng.randint(0, max(0, len(w) - least))
+        copies.append((k, w[a:a + rng.randint(least, 30)]))
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, (_, w) in enumerate(copies)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    want = {}
+    for i, (k, w) in enumerate(copies):
+        at = next((items[k].index(x) - j for j, x in enumerate(w) if x in items[k]), 0)
+        n, same = brute_stretch([x == y for x, y in zip(w, items[k][at:])], Fraction(str(share)))
+        if n >= min(least, len(items[k])):
+            want[i, k] = n, same
+    got = {(r.doc_id, r.item_id): (r.n_words, r.n_equal) for r in decontam.overlaps(docs, bench, least, share).collect()}
+    assert got == want and 50 < len(want) < 400
+
+
 def brute_components(rows):
     sets = []
     for i, t in rows:
