@@ -156,6 +156,29 @@ def test_candidates_places_and_rows_without_id(spark):
     assert "password=[SECRET]" in {r.text for r in secret_scan.redact(docs).collect()}
 
 
+def test_candidates_after_names_and_between_others(spark):
+    key = "wJalrXUtnFEMIK7MDENGbPxRfiCYzEXAMPLEKEY"
+    texts = ['a password = "Tr0ub4dor&3x!" here', f"AWS_SECRET_ACCESS_KEY={key} and", f'client_secret_token: "{key}"',
+             "Pwd: 'it.s)9', token=ab1c.", "passwords are long; the token of 1234 is none", 'secret="x1y"',
+             " ".join(f"pwd=é{i:03d}" for i in range(600))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in secret_scan.candidates(docs).orderBy("doc_id", "nth").collect():
+        t, end = texts[r.doc_id], r.start + len(r.value)
+        assert (t[r.start:end], t[max(0, r.start - 48):r.start], t[end:end + 48]) == (r.value, r.before, r.after)
+        got.setdefault(r.doc_id, []).append(r.value)
+    assert got == {0: ["Tr0ub4dor&3x!"], 1: ["AWS_SECRET_ACCESS_KEY=", key], 2: ["client_secret_token", key],
+                   3: ["it.s)9", "ab1c"], 6: [f"é{i:03d}" for i in range(600)]}
+    more = table(spark, SF, "documents").select("doc_id", "text")
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs.withColumn("doc_id", -1 - F.col("doc_id")).unionByName(more))
+             .where("doc_id < 0").collect()}
+    assert clean[-1] == 'a password = "[SECRET]" here' and clean[-4] == "Pwd: '[SECRET]', token=[SECRET]."
+    assert clean[-2] == "AWS_SECRET_ACCESS_KEY=[SECRET] and" and clean[-3] == 'client_secret_token: "[SECRET]"'
+    assert clean[-5] == texts[4]
+    odd = spark.createDataFrame([(1, r"pin ab1c ab1cd pwd=ab1c, pwd=q\E1$ end")], "doc_id long, text string")
+    assert [r.text for r in secret_scan.redact(odd, mask="$0").collect()] == ["pin ab1c ab1cd pwd=$0, pwd=$0 end"]
+
+
 def test_language(spark, odd_docs, no_docs):
     docs = table(spark, SF, "documents")
     held = fold("doc_id", 3) == 1
