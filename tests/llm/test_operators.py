@@ -179,6 +179,27 @@ def test_candidates_after_names_and_between_others(spark):
     assert [r.text for r in secret_scan.redact(odd, mask="$0").collect()] == ["pin ab1c ab1cd pwd=$0, pwd=$0 end"]
 
 
+def test_secret_scan_learns_what_is_no_secret(spark):
+    rng = random.Random(13)
+
+    def some(n, letters="0123456789abcdef"):
+        return "".join(rng.choices(letters, k=n))
+
+    kinds = {
+        "digest": lambda: f"commit {some(40)} of", "sum": lambda: f"sha256: {some(64)} of",
+        "uuid": lambda: f"row {some(8)}-{some(4)}-{some(4)}-{some(4)}-{some(12)} of",
+        "path": lambda: f"in /usr/lib{rng.randint(10, 99)}/some/place/file_{rng.randint(1, 9)} of",
+        "number": lambda: f"call {some(16, '0123456789')} of", "key": lambda: f'token = "{some(40)}" of',
+        "staple": lambda: f"password={some(24, 'aeioulnrst')} of"}
+    docs = spark.createDataFrame([(i, make()) for i, make in enumerate(list(kinds.values()) * 40)],
+                                 "doc_id long, text string")
+    label = {(r.doc_id % 7, r.label) for r in secret_scan.candidates(docs).withColumn("label", secret_scan.labelled())
+             .collect()}
+    assert label == {*((k, 0.0) for k in range(5)), (5, 1.0), (6, None)}
+    told = collections.Counter((list(kinds)[r.doc_id % 7], r.is_secret) for r in secret_scan.scan(docs).collect())
+    assert told == {(k, k in ("key", "staple")): 40 for k in kinds}
+
+
 def test_language(spark, odd_docs, no_docs):
     docs = table(spark, SF, "documents")
     held = fold("doc_id", 3) == 1
