@@ -29,17 +29,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of similar ones: the smallest
-    doc_id, of repeated rows the least one.  Rows without doc_id stay."""
-    named = docs.where("doc_id is not null")
-    first = jaccard.components(named).where("component_id = doc_id").select("doc_id").distinct()
-    kept = named.join(first, "doc_id", "left_semi")
-    # rows that repeat a doc_id are few; the others pass unchanged
-    again = stored(kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated-ids")
-    single = kept.join(again, "doc_id", "left_anti")
-    least = kept.join(again, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*[c for c in docs.columns if c != "doc_id"]))
-                                                            .alias("_m")).select("doc_id", "_m.*")
-    return single.unionByName(least.select(*docs.columns)).unionByName(docs.where("doc_id is null")).select(
-        *docs.columns)
+    doc_id, of repeated rows the least one.  Rows without doc_id are known by
+    their text and come after all that have one; those without words stay."""
+    # from 2^62 up, above the doc_ids
+    of_text = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    node = F.coalesce(F.col("doc_id").cast("long"), F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), of_text))
+    named = docs.withColumn("_node", node).where("_node is not null")
+    first = jaccard.components(named.select(F.col("_node").alias("doc_id"), "text")).where(
+        "component_id = doc_id").select(F.col("doc_id").alias("_node")).distinct()
+    kept = named.join(first, "_node", "left_semi")
+    # rows that repeat a node are few; the others pass unchanged
+    again = stored(kept.groupBy("_node").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated-ids")
+    single = kept.join(again, "_node", "left_anti").select(*docs.columns)
+    least = kept.join(again, "_node").groupBy("_node").agg(F.min(F.struct(*docs.columns)).alias("_m")).select("_m.*")
+    return single.unionByName(least).unionByName(docs.where(node.isNull()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

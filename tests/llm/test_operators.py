@@ -426,6 +426,21 @@ def test_pipeline(spark, odd_docs):
     assert 0.7 * n < out.select("doc_id").distinct().count() < n
 
 
+def test_near_duplicates_of_rows_without_id(spark):
+    import corpus_pipeline as p
+
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(None, a), (None, a), (None, a + " more"), (None, b), (3, b), (None, "one"), (None, None), (None, None),
+            (None, " \t"), (5, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, source string")
+    got = p.near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    left = collections.Counter((r.doc_id, r.text) for r in got.collect())
+    copies = left.pop((None, a), 0) + left.pop((None, a + " more"), 0)
+    assert copies == 1
+    assert left == {(3, b): 1, (None, "one"): 1, (None, None): 2, (None, " \t"): 1, (5, ""): 1}
+
+
 def test_queries_are_registered():
     names = list(registry.queries())
     assert names[0] == "pipeline" and [int(x[2:].split("_")[0]) for x in names[1:]] == list(range(1, 11))
