@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import decontam, edit_counts, iblt, jaccard, language, lm, orc_ids, packing, secret_scan, tool_calls
+from weft.llm import (decontam, edit_counts, filter_audit, iblt, jaccard, language, lm, merkle, orc_ids, packing,
+                      secret_scan, tool_calls)
 from weft.llm.common import fold
 from weft.sources.tables import table
 
@@ -75,13 +76,24 @@ def op10_prefix_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"))
 
 
+def op11_lehmer_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_merkle_superblocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grown = F.col("n_chars") + F.when(fold("doc_id", 7) == 0, 1).otherwise(0)
+    return merkle.manifest(table(spark, sf_dir, "documents"), shown={"n_chars": grown}, proofs=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (
         op1_deleted_interpolation, op2_edit_token_counts, op3_iblt_fingerprints, op4_forest_secret_scan,
-        op5_byte_conv_language, op6_sum_of_squares_packing, op7_tool_call_linking, op8_orc_token_ids, op9_spaced_seed_overlaps, op10_prefix_tree_join)}
+        op5_byte_conv_language, op6_sum_of_squares_packing, op7_tool_call_linking, op8_orc_token_ids, op9_spaced_seed_overlaps,
+        op10_prefix_tree_join, op11_lehmer_filter_audit, op13_merkle_superblocks)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_tool_call_linking": tool_calls.ORACLE_SQL}
+    return {"op7_tool_call_linking": tool_calls.ORACLE_SQL, "op11_lehmer_filter_audit": filter_audit.ORACLE_SQL,
+            "op13_merkle_superblocks": merkle.ORACLE_SQL}
