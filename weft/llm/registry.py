@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm import (decontam, edit_counts, filter_audit, iblt, jaccard, language, lm, merkle, orc_ids, packing,
-                      secret_scan, tool_calls)
+                      secret_scan, tool_calls, toxicity)
 from weft.llm.common import fold
 from weft.sources.tables import table
 
@@ -80,6 +80,14 @@ def op11_lehmer_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 3) == 1
+    got = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                         F.coalesce(~held_out, F.lit(False)),
+                         {"doc_id": F.col("doc_id"), "held_out": F.coalesce(held_out, F.lit(False))})
+    return got.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op13_merkle_superblocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     grown = F.col("n_chars") + F.when(fold("doc_id", 7) == 0, 1).otherwise(0)
     return merkle.manifest(table(spark, sf_dir, "documents"), shown={"n_chars": grown}, proofs=False)
@@ -91,7 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (
         op1_deleted_interpolation, op2_edit_token_counts, op3_iblt_fingerprints, op4_forest_secret_scan,
         op5_byte_conv_language, op6_sum_of_squares_packing, op7_tool_call_linking, op8_orc_token_ids, op9_spaced_seed_overlaps,
-        op10_prefix_tree_join, op11_lehmer_filter_audit, op13_merkle_superblocks)}
+        op10_prefix_tree_join, op11_lehmer_filter_audit, op12_weak_toxicity, op13_merkle_superblocks)}
 
 
 def oracle_sql() -> dict[str, str]:
