@@ -4,8 +4,8 @@ A text is cut where a non-blank character is followed by a space or line
 feed, and between a letter or digit and a full stop or comma.  No pre-token
 of the supported tokenizers crosses such a border, so the ids of the pieces,
 joined, are the ids of the text.  Pieces repeat heavily: each is encoded once
-and found in a dictionary afterwards, which is several times faster than
-encoding the texts.  Texts with other blanks or runs of blanks, where the
+and found in an Arrow array of known pieces afterwards, so only new ones
+become Python strings.  Texts with other blanks or runs of blanks, where the
 border rule might not hold, are encoded whole.
 """
 
@@ -24,7 +24,7 @@ _WHOLE = ("[\x01\t\r\x0b\x0c\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028
           "|[ \n][ \n]")
 _BEFORE_POINT = "([A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,])"
 
-CACHE_PIECES = 400_000  # twice as many are held at most, of some 200 bytes
+CACHE_PIECES = 600_000  # of some 40 bytes
 STEP_BYTES = 8 << 20  # of text encoded at once
 PIECE_CHARS = 48
 GROUP = 50
@@ -43,8 +43,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.keeps_blanks, self.cache_pieces = keeps_blanks, cache_pieces
-        self.cache: dict[str, bytes] = {}  # pieces in use since the last change
-        self.older: dict[str, bytes] = {}
+        # pieces met before; ids[starts[i]:starts[i + 1]] are those of pieces[i]
+        self.pieces = pa.array([""], pa.large_string())
+        self.starts, self.ids = np.zeros(2, np.int64), np.empty(0, np.uint32)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -76,33 +77,42 @@ class Encoder:
             text = pc.replace_substring(text, blank, "\x01" + blank)
         return pc.split_pattern(pc.replace_substring_regex(text, _BEFORE_POINT, "\\1\x01\\2"), "\x01")
 
-    def _vocabulary(self, pieces: list[str]) -> list[bytes]:
-        cache, older = self.cache, self.older
-        missing = [p for p in pieces if p not in cache]
-        cache.update((p, older[p]) for p in missing if p in older)
-        new = [p for p in missing if p not in cache]
-        cache.update(zip(new, self._new(new), strict=True))
-        got = [cache[p] for p in pieces]
-        for p in new:
-            if len(p) > PIECE_CHARS:
-                del cache[p]
-        if len(cache) > self.cache_pieces:
-            self.cache, self.older = {"": b""}, cache
-        return got
+    def _known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, number) of each word's ids in the ids given third; words
+        not met before are encoded and, unless long, remembered."""
+        at = np.array(pc.fill_null(pc.index_in(words, value_set=self.pieces), -1), np.int64)
+        missing = np.flatnonzero(at < 0)
+        starts, ids, kept = self.starts, self.ids, len(self.pieces)
+        if len(missing):
+            short = np.asarray(pc.less_equal(pc.utf8_length(words), PIECE_CHARS))[missing].astype(bool)
+            missing = np.concatenate([missing[short], missing[~short]])
+            new = words.take(pa.array(missing))
+            blobs = self._new(new.to_pylist())
+            sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+            at[missing] = kept + np.arange(len(missing))
+            starts = np.concatenate([starts, starts[-1] + np.cumsum(sizes)])
+            ids = np.concatenate([ids, np.frombuffer(b"".join(blobs), np.uint32)])
+            kept += int(short.sum())
+            self.pieces = pa.concat_arrays([self.pieces, new.slice(0, int(short.sum()))])
+            self.starts, self.ids = starts[:kept + 1], ids[:starts[kept]]
+        first, size = starts[at], starts[at + 1] - starts[at]
+        if kept > self.cache_pieces:  # go on with those of this call
+            held = np.unique(np.append(at[at < kept], 0))[:self.cache_pieces]
+            sizes = np.diff(self.starts)[held]
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            self.ids = self.ids[np.arange(ends[-1]) + np.repeat(self.starts[held] - ends[:-1], sizes)]
+            self.pieces, self.starts = self.pieces.take(pa.array(held)), ends
+        return first, size, ids
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of a text array; null counts as empty."""
-        self.cache.setdefault("", b"")
         text = pc.fill_null(text.cast(pa.large_string()), "")
         odd = pc.match_substring_regex(text, _WHOLE).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), "", text) if odd.any() else text
         lists = self._pieces(plain)
         words = lists.values.dictionary_encode()
         codes = words.indices.to_numpy()
-        blobs = self._vocabulary(words.dictionary.to_pylist())
-        size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
-        first = np.cumsum(size) - size
-        known = np.frombuffer(b"".join(blobs), np.uint32)
+        first, size, known = self._known(words.dictionary)
         size, first = size[codes], first[codes]
         ends = np.concatenate([[0], np.cumsum(size)])
         ids = known[np.arange(ends[-1]) + np.repeat(first - ends[:-1], size)]
