@@ -49,8 +49,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.graph import PropertyGraph
-from weft.llm.common import doc_texts, stored
-from weft.llm.words import Chunk, mix, ngram_hashes, pack_sorted, release, unpack_sorted, word_chunks
+from weft.llm.common import bucket_bits, doc_texts, stored
+from weft.llm.words import Chunk, bucket_runs, mix, ngram_hashes, pack_sorted, release, unpack_sorted, word_chunks
 from weft.operators.components import component_labels
 
 WORDS = 5
@@ -145,11 +145,8 @@ def _emit(batches, bits: int):
         known = np.asarray(ids.is_valid())
         yield _batch([(-1 - name % (1 << bits), name, ids.fill_null(0).to_numpy().tobytes(),
                        known.tobytes(), np.stack([key1, key2]).tobytes(), np.stack([n, *moved]).astype(np.int64).tobytes())])
-        cuts = np.searchsorted(h >> np.uint64(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64)) \
-            if bits else np.array([0, len(h)])
         d = d.astype(np.uint16)
-        rows = [(b, name, pack_sorted(h[x:y]), d[x:y].tobytes(), None, None)
-                for b, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if y > x]
+        rows = [(b, name, pack_sorted(h[x:y]), d[x:y].tobytes(), None, None) for b, x, y in bucket_runs(h, bits)]
         for i in range(0, len(rows), 256):
             yield _batch(rows[i:i + 256])
         release()
@@ -243,8 +240,7 @@ def shingle_index(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, key1, key2, prefix) of every document: the size
     and two 64-bit sums that name its set, and the shingles of its prefix that
     another document has, too.  One row per row of ``docs``."""
-    rows = docs.count()
-    bits = max(0, min(16, math.ceil(math.log2(max(1, rows * 512 / BUCKET_WORDS)))))
+    bits = bucket_bits(docs, BUCKET_WORDS)
     sent = doc_texts(docs).mapInArrow(lambda it: _emit(it, bits), PACKED)
     shared = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count, PACKED)
     return shared.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(_prefixes, INDEX)

@@ -182,8 +182,10 @@ def _cut_windows(batches, count: int):
             names=["lang", "win"])
 
 
-def with_language(docs: DataFrame, net: ByteNet | None, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of the documents, lang_pred and score."""
+def with_language(docs: DataFrame, net: ByteNet | None, keep: list[str], lang_pred: str = "lang_pred",
+                  score: str = "score") -> DataFrame:
+    """Columns ``keep`` of the documents, the language and its score under the
+    names given."""
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = docs.select("text", letter.alias("_letter"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)])
     schema = T.StructType(
@@ -205,4 +207,5 @@ def with_language(docs: DataFrame, net: ByteNet | None, keep: list[str]) -> Data
             yield from t.to_batches()
 
     out = rows.mapInArrow(predict, schema)
-    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score")
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)],
+                      F.col("lang_pred").alias(lang_pred), F.col("score").alias(score))

@@ -25,16 +25,14 @@ weights stay at ``START``.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.llm.common import doc_texts, stored
-from weft.llm.words import (mix, pack_counts, pack_sorted, release, squeeze, unpack_counts, unpack_sorted,
+from weft.llm.common import bucket_bits, doc_texts, stored
+from weft.llm.words import (bucket_runs, mix, pack_counts, pack_sorted, release, squeeze, unpack_counts, unpack_sorted,
                             unsqueeze, word_chunks)
 
 END = np.uint64(0x5DEECE66D1CE4E5B)  # the end's hash
@@ -112,10 +110,8 @@ def _emit(batches, bits: int):
         for i, at in enumerate((np.flatnonzero(kind > 0), np.flatnonzero(kind == 1))):  # learned from, not held back
             counts[i] = (np.bincount(word[tokens[at]], minlength=len(every))
                          + np.bincount(pair[at], minlength=len(every)))
-        cuts = np.searchsorted(every >> np.uint64(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64)) \
-            if bits else np.array([0, len(every)])
         out = [(b, name, pack_sorted(every[x:y], 7), _pair(counts[:, x:y]), None, None, None)
-               for b, (x, y) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if y > x]
+               for b, x, y in bucket_runs(every, bits)]
         for i in range(0, len(out), 256):
             yield _rows(out[i:i + 256], SENT)
 
@@ -234,8 +230,7 @@ def score(docs: DataFrame, learn: Column, hold: Column | None = None) -> DataFra
     the weights are learned (default: a tenth, by hash of doc_id)."""
     hold = F.pmod(F.xxhash64("doc_id"), F.lit(10)) == 0 if hold is None else hold
     kind = F.when(learn & hold, 2).when(learn, 1).otherwise(0).cast("int").alias("kind")
-    words = docs.count() * 512
-    bits = max(0, min(16, math.ceil(math.log2(max(1, words / BUCKET_WORDS)))))
+    bits = bucket_bits(docs, BUCKET_WORDS)
     rows = doc_texts(docs, kind)
     sent = rows.mapInArrow(lambda it: _emit(it, bits), SENT)
     added = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_add, SENT)
@@ -247,8 +242,7 @@ def score(docs: DataFrame, learn: Column, hold: Column | None = None) -> DataFra
     place = F.when(F.col("chunk") < 0, -F.col("bucket") - 2).otherwise(F.col("chunk")).alias("chunk")
     by_chunk = added.select("bucket", place, "hashes", "counts", "codes", "vocab", "docs").repartition("chunk")
     joined = stored(by_chunk.sortWithinPartitions("chunk", "bucket").mapInArrow(_join, JOINED), "lm-counts")
-    sums = [np.frombuffer(r[0], np.int64) for r in joined.where("chunk < 0").select("counts").collect()]
-    n, v, n_fit = (int(x) for x in np.sum(sums, axis=0)) if sums else (0, 0, 0)
+    n, v, n_fit = _sums(joined)
     weights = learn_weights(_cells(joined), n_fit, v)
     default = (np.array(START), np.array((0.0, START[0] + START[1], START[2])))
     table = np.stack([weights.get(b, default[b == 0]) for b in range(65)])
@@ -265,6 +259,18 @@ def score(docs: DataFrame, learn: Column, hold: Column | None = None) -> DataFra
     return chunks.mapInArrow(scores, SCORES).withColumn("train_tokens", F.lit(n).cast("long"))
 
 
+def _sums(joined: DataFrame) -> list[int]:
+    """Words, distinct words and words not held back of all buckets."""
+
+    def spread(batches):
+        for b in batches:
+            sums = np.frombuffer(b"".join(b.column(0).to_pylist()), np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in sums.T.copy()], names=["n", "v", "f"])
+
+    rows = joined.where("chunk < 0").select("counts").mapInArrow(spread, "n long, v long, f long")
+    return [int(x or 0) for x in rows.agg(F.sum("n"), F.sum("v"), F.sum("f")).first()]
+
+
 def _cells(joined: DataFrame) -> np.ndarray:
     """The chunks' histograms added up."""
 

@@ -3,23 +3,32 @@ false findings.
 
 ``candidates`` takes every run of 16 or more key-like characters, and every
 value of ``SHORTEST`` or more characters of any kind that a credential's name
-and a separator precede, with the text before and after it.  ``features`` describes length, character
-transitions, coverage by dictionary words, path characters and the
-neighbouring words.  The forest (Spark ML) learns from labelled findings;
-``labelled`` gives such labels from formats that need no judgement (issued key
-formats, values assigned to a credential's name; plain words, paths, numbers,
-UUIDs and digests that stand after a word for one, none after a name).  The transition
-table and the dictionary come from a bounded sample of texts.
+and a separator precede, with the text before and after it.  ``features``
+describes length, character transitions, coverage by dictionary words, path
+characters and the neighbouring words.
+
+The forest (Spark ML) learns from labelled findings whose labels do not come
+from its features: findings planted by ``planted``, so that what they are is
+known (random keys, passwords and issued formats as secrets; digests, UUIDs,
+numbers, paths, words and placeholders as none; every kind in several
+neighbourhoods), and runs without digits found in the texts, which are words.
+The neighbouring words that count are chosen among those of the labelled
+findings.  The verdict on every candidate is the forest's.  ``labelled`` tells
+by rule what some candidates of the texts are; the forest never sees it, the
+tests hold its verdicts against it.  Letter pairs and dictionary are counted
+over all documents.
 
 Everything is DataFrame, SQL or Spark ML.  Scale: one pass over the texts
-finds the candidates (a few bytes in a thousand go on); the fit sees a bounded
-sample (``Fit``); ``redact`` moves texts once, to meet their findings.
+counts words (partial sums before the shuffle), one finds the candidates (a
+few bytes in a thousand go on); the fit sees a bounded sample (``Fit``);
+``redact`` moves texts once, to meet their findings.
 
 Defined results: null and empty texts have no candidates; repeated rows are
-scanned each; with no finding of one of the labels there is no forest and the
-labels decide; findings of a null doc_id are returned; ``redact`` masks in
-each row the secrets found in its own text, with or without doc_id: one of
-``LONG`` characters wherever it stands, a shorter one after a credential's name.
+scanned each; the forest exists on any corpus, an empty one included; findings
+of a null doc_id are returned; ``redact`` masks in each row the secrets found
+in its own text, with or without doc_id: one of ``LONG`` characters wherever
+it stands, a shorter one after a credential's name; other columns pass,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +39,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm.common import doc_texts, stored
@@ -65,19 +74,30 @@ FILE_PATH = r"^/{0,2}(?:[a-z0-9_-]+/){2,}[a-z0-9_-]*$"
 NUMBER = r"^[0-9+/_-]+$"
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-FEATURES = ["f_length", "f_digits", "f_upper", "f_runs", "f_distinct", "f_transitions", "f_words", "f_path",
-            "f_named", "f_assigned", "f_quoted", "f_digest", "f_uuid"]
+FEATURES = ["f_length", "f_upper", "f_changes", "f_distinct", "f_transitions", "f_rare", "f_words", "f_path", "f_other", "f_after"]
+# What is planted: names of credentials with what stands between them and the value, and other neighbours.
+CREDENTIALS = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth_token",
+               "credential", "private_key", "client_secret", "aws_secret_access_key", "db_password", "bearer")
+SEPARATORS = ("=", " = ", ": ", ":", '="', ' = "', ": '", "='", " => ")
+DIGEST_NEIGHBOURS = ("commit ", "sha256: ", "md5 ", "checksum: ", 'etag: "', "tree ", "revision ", "hash ", "digest=", "blob/")
+ID_NEIGHBOURS = ("id=", "uuid ", "request ", "row ", "session: ", "trace ")
+ISSUED = ("AKIA", "ASIA", "ghp_", "gho_", "xoxb-", "sk_live_", "sk_test_", "AIza")  # how issued keys begin
+SETTING_WORDS = ("access", "api", "auth", "client", "credential", "example", "key", "password", "placeholder", "private",
+                 "required", "secret", "token", "undefined", "your")
+PLACEHOLDERS = ("null", "none", "true", "false", "example", "changeme", "your_api_key", "xxxxxxxxxxxx", "required",
+                "undefined", "password", "placeholder", "redacted", "********")
 
 
 @dataclass(frozen=True)
 class Fit:
     """Bounds of what the classifier is fitted on."""
 
-    texts: int = 2000  # for the transition table and the dictionary
-    words: int = 150
-    findings: int = 4000  # of each label
-    trees: int = 20
-    depth: int = 6
+    planted: int = 8000
+    found: int = 3000  # words found in the texts
+    share: float = 3e-4  # of all words, from which a word is in the dictionary: at most 1 / share words
+    neighbours: int = 30
+    trees: int = 30
+    depth: int = 12
 
 
 def _ends(text: Column) -> Column:
@@ -127,52 +147,131 @@ class Prose:
 
 
 def learn_prose(docs: DataFrame, fit: Fit) -> Prose:
-    rows = docs.where(F.col("text").isNotNull())
-    share = min(1.0, fit.texts / max(1, rows.count()))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).limit(2 * fit.texts)
-    words = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{2,12}"), F.lit(0))).alias("w"))
+    """Letter pairs and dictionary of all documents."""
+    words = docs.select(F.explode(F.regexp_extract_all(
+        F.lower("text"), F.lit("(?<![a-z0-9])[a-z]{2,12}(?![a-z0-9])"), F.lit(0))).alias("w"))
     counted = stored(words.groupBy("w").count(), "prose-words")
     pair = counted.select(F.explode(F.transform(
         F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.substr("w", i, F.lit(2)))).alias("p"), "count")
     n = {r.p: r.n for r in pair.groupBy("p").agg(F.sum("count").alias("n")).collect()}
-    common = counted.where(F.length("w") >= 3).orderBy(F.desc("count"), "w").limit(fit.words).collect()
+    total = counted.agg(F.sum("count")).first()[0] or 0
+    common = counted.where((F.length("w") >= 3) & (F.col("count") >= fit.share * total)).collect()
     cells = []
     for a in LETTERS:
-        total = sum(n.get(a + b, 0) for b in LETTERS)
-        cells += [min(9, int(60 * n.get(a + b, 0) / total)) if total else 0 for b in LETTERS]
+        of_a = sum(n.get(a + b, 0) for b in LETTERS)
+        cells += [min(9, int(60 * n.get(a + b, 0) / of_a)) if of_a else 0 for b in LETTERS]
     return Prose("".join(map(str, cells)), tuple(sorted((r.w for r in common), key=lambda w: (-len(w), w))))
 
 
-def _share(pattern: str) -> Column:
-    return F.length(F.regexp_replace("value", pattern, "")) / F.length("value")
-
-
-def features(found: DataFrame, prose: Prose) -> DataFrame:
-    """``found`` with the columns FEATURES."""
+def planted(spark: SparkSession, prose: Prose, fit: Fit) -> DataFrame:
+    """(value, before, after, label) of findings made up for training."""
+    def seed(salt: str) -> Column:
+        return F.sha2(F.concat_ws(":", F.col("id").cast("string"), F.lit(salt)), 256)
+
+    def pick(salt: str, among) -> Column:
+        at = F.conv(F.substring(seed(salt), 1, 7), 16, 10).cast("int") % len(among)
+        return F.get(F.array(*[F.lit(x) for x in among]), at)
+
+    def size(salt: str, low: int, high: int) -> Column:
+        return F.conv(F.substring(seed(salt), 1, 7), 16, 10).cast("int") % (high - low + 1) + low
+
+    def cut_to(text: Column, n: Column | int) -> Column:
+        return F.substr(text, F.lit(1), n if isinstance(n, Column) else F.lit(n))
+
+    hexes = F.concat(seed("x"), seed("y"))
+    mixed = F.regexp_replace(F.base64(F.unhex(hexes)), "[+/=\\s]", "")
+    issued = F.concat(pick("kind", ISSUED), cut_to(mixed, size("n9", 16, 36)))
+
+    def constant(name: Column) -> Column:  # the name of a setting, often with the sign behind it
+        return F.concat(F.when(F.col("id") % 4 < 2, F.upper(name)).otherwise(name), F.when(F.col("id") % 3 > 0, "=").otherwise(""))
+
+    letters = F.translate(hexes, "0123456789abcdef", "aeioulnrstmdpcgb")
+    digits = F.translate(hexes, "abcdef", "012345")
+    uuid = F.concat_ws("-", *[F.substring(hexes, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    common = prose.words or ("the", "and", "for")
+    word = [pick(f"w{i}", common) for i in range(6)]
+    symbols = F.concat(cut_to(mixed, size("n1", 2, 6)), pick("sym", ("!", "#", "$", "%", "&", ".", "-", "@")),
+                       F.substring(mixed, 20, 3))
+    name = F.concat(pick("name", CREDENTIALS), pick("sep", SEPARATORS))
+    name = F.when(F.col("id") % 3 == 0, F.upper(name)).otherwise(name)
+    prose_before, path = pick("end", (" ", ", ", ". ", "(", " | ", ""),), F.concat(
+        pick("root", ("/usr/lib", "src/main", "home/user", "/var/log", "docs/api")), F.substring(digits, 3, 2), F.lit("/"),
+        word[2], F.lit("/"), word[3], F.lit("_"), F.substring(digits, 1, 1))
+    # (value, neighbourhood, label), each for an equal share of the rows
+    kinds = [
+        (cut_to(hexes, size("n2", 16, 64)), name, 1), (cut_to(mixed, size("n3", 16, 44)), name, 1),
+        (cut_to(letters, size("n4", 8, 28)), name, 1), (symbols, name, 1),
+        (cut_to(mixed, size("n5", 4, 15)), name, 1), (cut_to(hexes, 40), name, 1),
+        (issued, prose_before, 1), (F.upper(issued), prose_before, 1), (issued, name, 1),
+        (cut_to(hexes, F.element_at(F.array(F.lit(32), F.lit(40), F.lit(64)), size("n6", 1, 3))),
+         pick("dig", DIGEST_NEIGHBOURS), 0),
+        (uuid, F.when(F.col("id") % 2 == 0, pick("ids", ID_NEIGHBOURS)).otherwise(prose_before), 0),
+        (cut_to(digits, size("n7", 16, 24)), prose_before, 0), (path, prose_before, 0),
+        (F.concat(*word[:4]), prose_before, 0), (pick("hold", PLACEHOLDERS), name, 0),
+        (cut_to(letters, size("n8", 16, 24)), prose_before, 0), (F.concat_ws("-", *word[:4]), prose_before, 0),
+        (constant(F.concat_ws("_", pick("c1", CREDENTIALS), pick("c2", CREDENTIALS))), prose_before, 0),
+        (constant(F.concat_ws("_", *word[:4])), prose_before, 0),
+    ]
+    rows = spark.range(fit.planted).withColumn("_kind", (F.col("id") % len(kinds)).cast("int"))
+    value = before = label = None
+    for k, (v, b, y) in enumerate(kinds):
+        is_k = F.col("_kind") == k
+        value, before, label = ((F.when(is_k, x) if old is None else old.when(is_k, x))
+                                for old, x in ((value, v), (before, b), (label, F.lit(float(y)))))
+    made = rows.select("id", value.alias("value"), before.alias("near"), label.alias("label"), *[
+        w.alias(f"w{i}") for i, w in enumerate(word)])
+    quote = F.when(F.col("near").endswith('"'), '"').when(F.col("near").endswith("'"), "'").otherwise("")
+    return made.select("value", F.right(F.concat("w4", F.lit(" "), "w5", F.lit(" "), "near"), F.lit(NEAR)).alias("before"),
+                       F.concat(quote, F.lit(" "), "w4").alias("after"), "label").where(F.length("value") >= SHORTEST)
+
+
+def _neighbours() -> Column:
+    """The last three words before a value and the first two after it."""
+    def words(text: str) -> Column:
+        return F.regexp_extract_all(F.lower(text), F.lit("[a-z]+[0-9]*"), F.lit(0))
+
+    last = F.reverse(words("before"))
+    return F.concat(F.slice(last, F.lit(1), F.lit(3)), F.transform(
+        F.slice(words("after"), F.lit(1), F.lit(2)), lambda w: F.concat(F.lit(">"), w)))
+
+
+def chosen_neighbours(sample: DataFrame, fit: Fit) -> list[str]:
+    """The neighbouring words that best tell the labels of the sample apart."""
+    per = sample.select("label", F.explode(F.array_distinct(_neighbours())).alias("w")).groupBy("w").agg(
+        F.sum("label").alias("yes"), F.sum(1 - F.col("label")).alias("no"))
+    odds = F.abs(F.log((F.col("yes") + 1) / (F.col("no") + 1))) * F.sqrt(F.col("yes") + F.col("no"))
+    return [r.w for r in per.orderBy(F.desc(odds), "w").limit(fit.neighbours).collect()]
+
+
+def features(found: DataFrame, prose: Prose, neighbours: list[str]) -> DataFrame:
+    """``found`` with the columns FEATURES and one per neighbouring word."""
     low = F.lower("value")
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
     runs = F.length(F.regexp_replace(kinds, r"(.)\1+", "$1"))
     # pairs of a letter and the next: how usual they are in prose, 0 to 9
     letters = F.left(F.regexp_replace(low, "[^a-z]", ""), F.lit(64))
-    usual = F.aggregate(
-        F.sequence(F.lit(1), F.length(letters) - 1, F.lit(1)), F.lit(0.0),
-        lambda s, i: s + F.substr(F.lit(prose.pairs), (F.ascii(F.substr(letters, i, F.lit(1))) - 97) * 26
-                                  + F.ascii(F.substr(letters, i + 1, F.lit(1))) - 96, F.lit(1)).cast("double"))
-    rest = F.length(F.regexp_replace(low, "|".join(prose.words), "")) if prose.words else F.length("value")
+    steps = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(letters) - 1)),
+        lambda i: F.substr(F.lit(prose.pairs), (F.ascii(F.substr(letters, i, F.lit(1))) - 97) * 26
+                           + F.ascii(F.substr(letters, i + 1, F.lit(1))) - 96, F.lit(1)).try_cast("double"))
+    usual = F.aggregate(steps, F.lit(0.0), lambda t, x: t + F.coalesce(x, F.lit(0.0)))
+    rare = F.size(F.filter(steps, lambda x: F.coalesce(x, F.lit(0.0)) == 0))
+    paired = F.length(letters) >= 2
+    words = sorted({*prose.words, *SETTING_WORDS}, key=lambda w: (-len(w), w))
+    rest = F.length(F.regexp_replace(low, "|".join(words), ""))
+    close = _neighbours()
     return found.withColumns({
         "f_length": F.least(F.length("value"), F.lit(200)).cast("double"),
-        "f_digits": F.lit(1.0) - _share("[0-9]"),
-        "f_upper": F.lit(1.0) - _share("[A-Z]"),
-        "f_runs": runs / F.length("value"),
+        "f_upper": F.length(F.regexp_replace("value", "[^A-Z]", "")) / F.length("value"),
+        "f_changes": runs / F.length("value"),
         "f_distinct": F.size(F.array_distinct(F.split(F.left("value", F.lit(64)), ""))).cast("double"),
-        "f_transitions": F.when(F.length(letters) < 2, 0.0).otherwise(usual / (F.length(letters) - 1)),
+        "f_transitions": F.when(paired, usual / (F.length(letters) - 1)).otherwise(0.0),
+        "f_rare": F.when(paired, rare / (F.length(letters) - 1)).otherwise(1.0),
         "f_words": F.lit(1.0) - rest / F.length("value"),
-        "f_path": (F.lit(1.0) - _share("[/_-]")) + F.col("before").rlike("[/.:]$").cast("double"),
-        "f_named": F.lower("before").rlike(NAMES).cast("double"),
-        "f_assigned": F.lower("before").rlike(ASSIGNED).cast("double"),
-        "f_quoted": F.col("before").rlike("""["']$""").cast("double"),
-        "f_digest": F.lower("before").rlike(DIGEST_WORDS).cast("double"),
-        "f_uuid": F.col("value").rlike(UUID).cast("double"),
+        "f_path": F.length(F.regexp_replace("value", "[^/_-]", "")) / F.length("value"),
+        "f_other": F.length(F.regexp_replace("value", "[A-Za-z]", "")) / F.length("value"),
+        "f_after": F.col("before").rlike("""[:=>]\\s*["']?$""").cast("double"),
+        **{f"n_{i}": F.array_contains(close, w).cast("double") for i, w in enumerate(neighbours)},
     })
 
 
@@ -186,24 +285,29 @@ def labelled() -> Column:
     return F.when(secret, 1.0).when(none & ~assigned, 0.0)
 
 
+def _words_found(found: DataFrame, fit: Fit) -> DataFrame:
+    """Of the runs without digits that follow no separator, a bounded sample:
+    words, no secrets."""
+    plain = found.where(F.col("value").rlike("^[A-Za-z]+$") & ~F.col("before").rlike("""[:=>"']\\s*$"""))
+    n = plain.count()
+    pick = F.pmod(F.xxhash64("doc_id", "nth", "value"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return plain.where(pick < fit.found / max(1, n)).limit(2 * fit.found).select(
+        "value", "before", "after", F.lit(0.0).alias("label"))
+
+
 def scan(docs: DataFrame, fit: Fit = Fit()) -> DataFrame:
     """Candidates with the forest's score and verdict: (doc_id, nth, start,
     value, score, is_secret)."""
-    found = stored(candidates(docs), "secret-candidates").withColumn("label", labelled())
-    counts = {r.label: r["count"] for r in found.where("label is not null").groupBy("label").count().collect()}
-    if len(counts) < 2:
-        return found.select("doc_id", "nth", "start", "value", F.coalesce("label", F.lit(0.0)).alias("score"),
-                            (F.coalesce("label", F.lit(0.0)) > 0).alias("is_secret"))
+    found = stored(candidates(docs), "secret-candidates")
     prose = learn_prose(docs, fit)
-    described = features(found, prose)
-    limit = F.when(F.col("label") > 0, fit.findings / counts[1.0]).otherwise(fit.findings / counts[0.0])
-    pick = F.pmod(F.xxhash64("doc_id", "nth", "value"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    sample = stored(described.where(F.col("label").isNotNull() & (pick < limit)).select("label", *FEATURES)
-                    .limit(4 * fit.findings), "secret-sample")
+    sample = stored(planted(docs.sparkSession, prose, fit).unionByName(_words_found(found, fit)), "secret-sample")
+    neighbours = chosen_neighbours(sample, fit)
+    columns = [*FEATURES, *[f"n_{i}" for i in range(len(neighbours))]]
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=fit.trees,
                                     maxDepth=fit.depth, seed=4)
-    model = Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="features"), forest]).fit(sample)
-    scored = model.transform(described)
+    model = Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), forest]).fit(
+        features(sample, prose, neighbours).select("label", *columns))
+    scored = model.transform(features(found, prose, neighbours))
     return scored.select("doc_id", "nth", "start", "value", vector_to_array("probability")[1].alias("score")).withColumn(
         "is_secret", F.col("score") > 0.5)
 
@@ -213,9 +317,11 @@ def redact(docs: DataFrame, fit: Fit = Fit(), mask: str = "[SECRET]") -> DataFra
     the text where there is such a column."""
     # by text, so a doc_id that many rows share (or lack) is no group
     of = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
-    values = scan(docs.withColumn("doc_id", of), fit).where("is_secret").groupBy(F.col("doc_id").alias("_of")).agg(
-        F.array_sort(F.collect_set("value"), lambda a, b: F.length(b) - F.length(a)).alias("_values"))
-    joined = docs.join(stored(values, "secrets"), of == F.col("_of"), "left")
+    values = scan(docs.select(of.alias("doc_id"), "text"), fit).where("is_secret").groupBy(F.col("doc_id").alias("of")).agg(
+        F.array_sort(F.collect_set("value"), lambda a, b: F.length(b) - F.length(a)).alias("values"))
+    # the row as one column, so that its names meet no other
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), of.alias("key"))
+    joined = rows.join(stored(values, "secrets"), F.col("key") == F.col("of"), "left")
     plain = mask.replace("\\", "\\\\").replace("$", "\\$")
 
     def masked(t: Column, v: Column) -> Column:
@@ -223,10 +329,10 @@ def redact(docs: DataFrame, fit: Fit = Fit(), mask: str = "[SECRET]") -> DataFra
         return F.when(F.length(v) < LONG, F.regexp_replace(t, quoted, F.lit(plain))).otherwise(
             F.replace(t, v, F.lit(mask)))
 
-    clean = F.aggregate("_values", F.col("text"), masked)
-    text = F.when(F.col("_values").isNull(), F.col("text")).otherwise(clean)
-    out = joined.withColumn("text", text)
+    text = F.col("doc.text")
+    clean = F.when(F.col("values").isNull(), text).otherwise(F.aggregate("values", text, masked))
+    changed = {"text": clean}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(
-            F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("values").isNull(), F.col("doc.n_chars")).otherwise(F.length(clean)).cast(
+            docs.schema["n_chars"].dataType)
+    return joined.select(*[changed.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

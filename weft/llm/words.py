@@ -110,6 +110,15 @@ def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def bucket_runs(sorted_hashes: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+    """(bucket, from, to) of the runs of equal upper ``bits``, those that occur."""
+    if not len(sorted_hashes):
+        return []
+    top = sorted_hashes >> np.uint64(64 - bits) if bits else np.zeros(len(sorted_hashes), np.uint64)
+    edge = np.flatnonzero(np.concatenate([[True], top[1:] != top[:-1], [True]]))
+    return list(zip(top[edge[:-1]].tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True))
+
+
 def pack_sorted(h: np.ndarray, size: int = 8) -> bytes:
     """Sorted hashes, of which the upper ``size`` bytes are used, as two
     planes; the upper one is long runs, which the shuffle's compression
