@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm import decontam, jaccard, language, packing, secret_scan
-from weft.llm.common import fold, stored
+from weft.llm.common import fold, fresh, stored
 from weft.llm.registry import tokenizer_file
 from weft.sources.tables import table
 
@@ -22,27 +22,42 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: null or letterless texts, and
     those whose language the network can hardly tell."""
     net = language.train(docs, F.coalesce(fold("doc_id", 3) != 1, F.lit(False)))
-    told = language.with_language(docs, net, docs.columns)
-    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    lang, score = fresh("lang_pred", docs.columns), fresh("score", docs.columns)
+    told = language.with_language(docs, net, docs.columns, lang, score)
+    known = (F.col(lang) != language.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE)
     return told.where(known).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of similar ones: the smallest
-    doc_id, of repeated rows the least one.  Rows without doc_id are known by
-    their text and come after all that have one; those without words stay."""
+    doc_id.  Rows that share a doc_id, or lack one, are documents by their
+    text and come after all others; of rows with equal doc_id and text the
+    least one stays.  Rows without doc_id and words all stay."""
+    doc_id = F.col("doc_id").cast("long")
     # from 2^62 up, above the doc_ids
-    of_text = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    node = F.coalesce(F.col("doc_id").cast("long"), F.when(F.col("text").rlike(r"[^\x20\x09-\x0D]"), of_text))
-    named = docs.withColumn("_node", node).where("_node is not null")
-    first = jaccard.components(named.select(F.col("_node").alias("doc_id"), "text")).where(
-        "component_id = doc_id").select(F.col("doc_id").alias("_node")).distinct()
-    kept = named.join(first, "_node", "left_semi")
-    # rows that repeat a node are few; the others pass unchanged
-    again = stored(kept.groupBy("_node").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated-ids")
-    single = kept.join(again, "_node", "left_anti").select(*docs.columns)
-    least = kept.join(again, "_node").groupBy("_node").agg(F.min(F.struct(*docs.columns)).alias("_m")).select("_m.*")
-    return single.unionByName(least).unionByName(docs.where(node.isNull()))
+    by_text = F.xxhash64(doc_id, F.col("text")).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    no_id = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # the row as one column, so that its names meet no other
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), doc_id.alias("id"), by_text.alias("by_text"),
+                       no_id.alias("no_id"), worded.alias("worded"))
+    repeated = stored(rows.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                      .select(F.col("id").alias("shared")), "repeated-ids")
+    # no join, and so no shuffle of texts, where every id is unique
+    rows = (rows.withColumn("shared", F.lit(None).cast("long")) if repeated.isEmpty() else
+            rows.join(repeated, rows["id"] == repeated["shared"], "left"))
+    node = F.when(F.col("shared").isNotNull(), F.col("by_text")).when(F.col("id").isNotNull(), F.col("id")).when(
+        F.col("worded"), F.col("no_id"))
+    rows = rows.select("doc", node.alias("node"))
+    named = rows.where("node is not null")
+    first = jaccard.components(named.select(F.col("node").alias("doc_id"), F.col("doc.text").alias("text"))).where(
+        "component_id = doc_id").select(F.col("doc_id").alias("first")).distinct()
+    kept = named.join(first, named["node"] == first["first"], "left_semi")
+    # nodes with an id of their own have one row; the others may have equal ones
+    own = F.col("node") < (1 << 62)
+    least = kept.where(~own).groupBy("node").agg(F.min("doc").alias("doc"))
+    return (kept.where(own).select("doc").unionByName(least.select("doc"))
+            .unionByName(rows.where("node is null").select("doc")).select("doc.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
