@@ -53,7 +53,8 @@ def _is_star_forest(c: DataFrame) -> bool:
     multi = c.groupBy("b").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > 1)
     if not multi.isEmpty():
         return False
-    centres_as_leaves = c.select(F.col("a").alias("b")).join(c.select("b"), "b", "left_semi")
+    # distinct first: near the end most pairs have the same centre
+    centres_as_leaves = c.select(F.col("a").alias("b")).distinct().join(c.select("b"), "b", "left_semi")
     return centres_as_leaves.isEmpty()
 
 

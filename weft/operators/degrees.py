@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.functions.columns import safe_ratio
+from weft.operators.sequence import numbered
 
 
 def in_degrees(edges: DataFrame) -> DataFrame:
@@ -91,3 +92,26 @@ def neighbors(edges: DataFrame, strict_parity: bool = False) -> DataFrame:
             )
         )
     return j.select("id", nb.alias("neighbors"))
+
+
+def neighbor_pieces(edges: DataFrame, strict_parity: bool = False, piece: int = 1000) -> DataFrame:
+    """(id, piece, neighbors): the lists of :func:`neighbors` in ascending
+    pieces of at most ``piece`` neighbours, numbered from 0.
+
+    Default: distinct in- and out-neighbours of every vertex with an edge.
+    ``strict_parity=True``: a vertex that has only in- or only out-edges has
+    one piece, null, as the full outer join of both lists gives it.  A hub's
+    pairs are numbered over many tasks and no row outgrows ``piece``.
+    """
+    pairs = neighbor_pairs(edges)
+    cut_at = F.floor(F.col("place") / piece).cast("int")
+    placed = numbered(pairs, [F.col("neighbor")], "place", within=["id"])
+    lists = placed.groupBy("id", cut_at.alias("piece")).agg(F.array_sort(F.collect_list("neighbor")).alias("neighbors"))
+    if not strict_parity:
+        return lists
+    outs = edges.where("src is not null").select(F.col("src").alias("id")).distinct()
+    ins = edges.where("dst is not null").select(F.col("dst").alias("id")).distinct()
+    one_sided = outs.join(ins, "id", "left_anti").unionByName(ins.join(outs, "id", "left_anti"))
+    kept = lists.join(one_sided, "id", "left_anti")
+    empty = F.lit(None).cast(lists.schema["neighbors"].dataType)
+    return kept.unionByName(one_sided.select("id", F.lit(0).alias("piece"), empty.alias("neighbors")))

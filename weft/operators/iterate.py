@@ -43,7 +43,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="weft-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError(
@@ -214,5 +214,16 @@ class KeyedEdges:
         cond = (self.df[self.key] == s[state_key]) & (self.df["_salt"] == s["_ssalt"])
         return self.df.join(s, cond, how).drop("_salt", "_ssalt")
 
+    def extend(self, state: DataFrame, columns: list[str], state_key: str = "id") -> None:
+        """Add columns of a per-key table to the edges for good; they keep
+        their layout."""
+        old = self.df
+        s = self.spread_state(state, state_key)
+        same = (old[self.key] == s[state_key]) & (old["_salt"] == s["_ssalt"])
+        with fixed_layout(state.sparkSession):
+            self.df = pin(old.join(s, same).select(*columns, "_salt"))
+            self.df.count()
+        old.unpersist()
+
     def unpersist(self) -> None:
         self.df.unpersist()

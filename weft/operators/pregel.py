@@ -3,9 +3,11 @@
 One superstep: triplets (edge joined with the source and destination
 vertex state) produce messages, messages are aggregated per target vertex,
 and every vertex column is updated from its old value and the aggregated
-message (null when none arrived).  The edge table is pinned, partitioned
-on ``src``; the vertex state is re-partitioned on ``id`` each round and its
-lineage is cut every few supersteps.
+message (null when none arrived).  The edges are pinned in up to two layouts:
+by ``src`` for messages that read no destination state, by ``dst`` for those
+that read no source state.  In either one only the vertex state moves in a
+round; a message that reads both ends joins the second state to the triplets
+of the first layout.  The state's lineage is cut every few supersteps.
 
 Usage mirrors the builder of the library API::
 
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from weft.operators.iterate import KeyedEdges, Rounds
 
@@ -85,25 +88,24 @@ class Pregel:
         g = self._g
         v = g.vertices
         e = g.edges
-        edges = KeyedEdges(e.select(F.col("src").alias("_s"), F.col("dst").alias("_d"),
-                                    F.struct(*e.columns).alias("edge")), "_s")
-        n = edges.n
+        plain = e.select(F.col("src").alias("_s"), F.col("dst").alias("_d"), F.struct(*e.columns).alias("edge"))
         state = v.select("*", *[init.alias(name) for name, init, _ in self._cols])
+        reads = self._reads(state, plain)
+        # (target of the message, its expression, the states that it reads)
+        messages = [(end, m, reads(m)) for end, ms in (("_d", self._to_dst), ("_s", self._to_src)) for m in ms]
+        layouts = {"_s": None, "_d": None}
+        for key in layouts:
+            if any(self._layout(r) == key for _, _, r in messages):
+                layouts[key] = KeyedEdges(plain, key)
+        n = max(x.n for x in layouts.values() if x)
         state = state.repartition(n, "id")
         n_vertices = v.count()
-        # The destination's state is joined only when a message reads it.  A
-        # message to a non-vertex is dropped by the final left join either way,
-        # so skipping the join does not change the result.
-        uses_dst = bool(self._to_src) or any("dst" in str(m) for m in self._to_dst)
         loop = Rounds(self._every)
         try:
             for i in range(self._max_iter):
                 vs = state.select(F.col("id").alias("_k"), F.struct(*state.columns).alias("_v"))
-                trip = edges.join(vs.withColumnRenamed("_v", "src"), "_k", state_rows=n_vertices).drop("_k")
-                if uses_dst:
-                    trip = trip.join(vs.withColumnRenamed("_k", "_d").withColumnRenamed("_v", "dst"), "_d")
-                parts = [trip.select(F.col("_d").alias("_t"), m.alias(_MSG)) for m in self._to_dst]
-                parts += [trip.select(F.col("_s").alias("_t"), m.alias(_MSG)) for m in self._to_src]
+                parts = [self._triplets(layouts, vs, r, n_vertices).select(F.col(end).alias("_t"), m.alias(_MSG))
+                         for end, m, r in messages]
                 msgs = parts[0]
                 for p in parts[1:]:
                     msgs = msgs.unionByName(p)
@@ -114,4 +116,33 @@ class Pregel:
                 state = loop.step(state, i)
             return state
         finally:
-            edges.unpersist()
+            for x in layouts.values():
+                if x:
+                    x.unpersist()
+
+    @staticmethod
+    def _reads(state: DataFrame, plain: DataFrame):
+        """A function that tells which ends' states a message reads: the
+        columns that it refers to on triplets without rows."""
+        ends = ("src", "dst")
+        triplet = StructType([plain.schema["edge"], *[StructField(end, state.schema) for end in ends]])
+        empty = state.sparkSession.createDataFrame([], triplet)
+
+        def reads(message: Column) -> frozenset[str]:
+            refs = empty.select(message)._jdf.queryExecution().analyzed().references().toSeq()
+            return frozenset({refs.apply(i).name() for i in range(refs.size())} & set(ends))
+
+        return reads
+
+    @staticmethod
+    def _layout(reads: frozenset[str]) -> str:
+        return "_d" if reads == {"dst"} else "_s"
+
+    def _triplets(self, layouts: dict, vs: DataFrame, reads: frozenset[str], n_vertices: int) -> DataFrame:
+        """Edges with the states that a message reads."""
+        key = self._layout(reads)
+        first = "dst" if key == "_d" else "src"
+        trip = layouts[key].join(vs.withColumnRenamed("_v", first), "_k", state_rows=n_vertices).drop("_k")
+        if reads == {"src", "dst"}:
+            trip = trip.join(vs.withColumnRenamed("_k", "_d").withColumnRenamed("_v", "dst"), "_d")
+        return trip

@@ -26,10 +26,11 @@ from weft.operators.iterate import KeyedEdges, Rounds, cut, fixed_layout, pin
 
 
 def _weighted_edges(g, n: int | None) -> KeyedEdges:
-    e = g.valid_edges()
-    outdeg = e.groupBy("src").agg(F.count(F.lit(1)).alias("_od"))
-    ew = e.join(outdeg, "src").select("src", "dst", (1.0 / F.col("_od")).alias("w"))
-    return KeyedEdges(ew, "src", n)
+    edges = KeyedEdges(g.valid_edges(), "src", n)
+    outdeg = edges.df.groupBy("src").agg(F.count(F.lit(1)).alias("_od"))
+    # in the salted layout, so a hub's edges are never in one task
+    edges.extend(outdeg.select(F.col("src").alias("id"), (1.0 / F.col("_od")).alias("w")), ["src", "dst", "w"])
+    return edges
 
 
 def _scale(ranks: DataFrame, personalized: bool, n_vertices: int) -> DataFrame:
@@ -120,7 +121,8 @@ def page_rank(g, reset_prob=0.15, sourceId=None, maxIter=None, tol=None):
 
     scores = page_rank_scores(g, reset_prob, source_id=sourceId, max_iter=maxIter, tol=tol)
     v = g.vertices.join(scores, "id", "left")
-    outdeg = g.edges.groupBy("src").agg(F.count(F.lit(1)).alias("_od"))
+    # the scores go by valid edges, and so do the weights
+    outdeg = g.valid_edges().groupBy("src").agg(F.count(F.lit(1)).alias("_od"))
     e = g.edges.join(outdeg, "src", "left").withColumn("weight", 1.0 / F.col("_od")).drop("_od")
     return PropertyGraph(v, e)
 

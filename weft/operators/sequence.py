@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -112,3 +112,28 @@ def latest_per_key(df: DataFrame, key: str, order: list[str], columns: list[str]
     """
     best = F.max_by(F.struct(*[F.col(c) for c in columns]), F.struct(*[F.col(c) for c in order]))
     return df.groupBy(key).agg(best.alias("_top")).select(key, *[F.col(f"_top.{c}").alias(c) for c in columns])
+
+
+def numbered(df: DataFrame, order: list[Column], out: str = "place", within: list[str] | None = None) -> DataFrame:
+    """``df`` with ``out``: each row's place from 0 in ``order``, in the whole
+    table or among the rows of equal ``within`` columns (nulls are equal).
+
+    Rows are range-partitioned and sorted in place; a row's place is its place
+    in its range and what the ranges before hold, from a table of one row per
+    range (and group).  No window spans a group, so a hot group is spread over
+    many ranges, as are rows tied in ``order``, which take any of their places.
+    """
+    within = list(within or [])
+    keys = [*[F.col(c) for c in within], *order, F.col("_tie")]
+    ranged = (df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys)
+              .sortWithinPartitions(*keys).drop("_tie"))
+    # cut, so that the numbering and the sums below see the same ranges
+    rows = cut(ranged.withColumn("_row", F.monotonically_increasing_id())).withColumn("_range", F.shiftright("_row", 33))
+    runs = rows.groupBy(*within, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy(*within).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(within)], F.col("_range").alias("_at"),
+                       (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    same = rows["_range"] == runs["_at"]
+    for i, c in enumerate(within):
+        same = same & rows[c].eqNullSafe(runs[f"_w{i}"])
+    return rows.join(runs, same).select(*df.columns, (F.col("_row") + F.col("_shift")).alias(out))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weft.functions.columns import clustering_coefficient
+from weft.operators.iterate import KeyedEdges, cut
 
 
 def triangle_counts(g) -> DataFrame:
@@ -29,14 +30,18 @@ def triangle_counts(g) -> DataFrame:
         .join(deg.withColumnRenamed("id", "b").withColumnRenamed("d", "db"), "b")
     )
     low_a = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    oriented = ranked.select(
+    # read by both lists below, so made once
+    oriented = cut(ranked.select(
         F.when(low_a, F.col("a")).otherwise(F.col("b")).alias("u"),
         F.when(low_a, F.col("b")).otherwise(F.col("a")).alias("v"),
-    )
+    ))
     adj = oriented.groupBy("u").agg(F.collect_list("v").alias("nb"))
+    # A vertex is ``u`` of at most sqrt(2|E|) edges, but a hub is ``v`` of as
+    # many as its degree: its edges are cut into salts.
+    by_end = KeyedEdges(oriented, "v")
     pairs = (
-        oriented.join(adj.withColumnRenamed("nb", "nu"), "u")
-        .join(adj.withColumnRenamed("u", "v").withColumnRenamed("nb", "nv"), "v")
+        by_end.join(adj.select(F.col("u").alias("end"), F.col("nb").alias("nv")), "end").drop("end")
+        .join(adj.withColumnRenamed("nb", "nu"), "u")
         .select("u", "v", F.array_intersect("nu", "nv").alias("w"))
         .where(F.size("w") > 0)
     )
@@ -51,7 +56,8 @@ def triangle_counts(g) -> DataFrame:
             )
         ).alias("c")
     ).select("c.id", "c.t")
-    per = credits.groupBy("id").agg(F.sum("t").alias("count"))
+    per = cut(credits.groupBy("id").agg(F.sum("t").alias("count")))
+    by_end.unpersist()
     return g.vertices.select("id").join(per, "id", "left").select(
         "id", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")
     )

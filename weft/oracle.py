@@ -107,11 +107,15 @@ BFS_FROM = "name = 'Customer#000000001'"
 BFS_TO = "segment = 'AUTOMOBILE' AND monthly_charges > 9000"
 
 
-def _bfs(edge_filter: str = "TRUE", max_len: int = 10) -> str:
+FAR_FROM = "name = 'Customer#000000002'"
+FAR_TO = "segment = 'MACHINERY' AND monthly_charges > 9500"
+
+
+def _bfs(edge_filter: str = "TRUE", max_len: int = 10, start: str = BFS_FROM, end: str = BFS_TO) -> str:
     return w(
         f"be AS (SELECT e.src, e.dst FROM edges e JOIN vedges v ON e.src = v.src AND e.dst = v.dst WHERE {edge_filter})",
-        f"bsrc AS (SELECT id FROM verts WHERE {BFS_FROM})",
-        f"btgt AS (SELECT id FROM verts WHERE {BFS_TO})",
+        f"bsrc AS (SELECT id FROM verts WHERE {start})",
+        f"btgt AS (SELECT id FROM verts WHERE {end})",
         f"""dist AS MATERIALIZED (SELECT id, min(k) AS k FROM (WITH RECURSIVE d(id, k) AS (
         SELECT id, 0 FROM bsrc UNION SELECT be.dst, d.k + 1 FROM d JOIN be ON be.src = d.id WHERE d.k < {max_len})
         SELECT * FROM d) GROUP BY id)""",
@@ -145,6 +149,11 @@ def _nghb(direction: str) -> str:
       FROM ({und}) u LEFT JOIN verts v ON u.nbr = v.id GROUP BY u.id)"""
 
 
+LOCAL = """own AS (SELECT e.src, e.dst, relationship FROM edges e JOIN customer a ON e.src = a.c_custkey
+        JOIN customer b ON e.dst = b.c_custkey WHERE a.c_nationkey = b.c_nationkey),
+ledges AS (SELECT src, dst FROM own UNION SELECT dst, src FROM own WHERE relationship = 'friend')"""
+
+
 def _r6(cols: list[str]) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
 
@@ -440,6 +449,108 @@ SELECT round(sum((fpr - f0) * (tpr + t0) / 2), 9) AS auc FROM lg"""
         "SELECT * FROM (" + o["customer_features"] + ") cf LEFT JOIN (" + o["graph_features"]
         + ") gf USING (customer_id)"
     )
+    o["customers_with_numbers"] = w() + """SELECT * REPLACE (
+  CASE WHEN monthly_charges >= 0 THEN mobile_number END AS mobile_number) FROM customers"""
+    o["calls_by_month"] = w() + """SELECT strftime(datatime, '%Y-%m') AS month, count(*) AS calls,
+  CAST(sum(duration) AS BIGINT) AS duration FROM calls GROUP BY 1"""
+    for name in ("connected_components", "scc"):
+        local = {"connected_components": "local_components"}.get(name, "local_scc")
+        o[local] = o[name].replace(BASE.strip(), BASE.strip() + ",\n" + LOCAL, 1).replace("FROM vedges", "FROM ledges")
+    o["local_communities"] = w(LOCAL, *[c.replace("vedges", "ledges") for c in _lpa(25)], COMM, COMM_DEV) + (
+        f"SELECT id, label, comm_size, {_r6(cd_cols)} FROM cdev")
+    o["bfs_far"] = _bfs(start=FAR_FROM, end=FAR_TO)
+    o["bfs_far_filtered"] = _bfs("e.relationship <> 'friend'", 5, FAR_FROM, FAR_TO)
+    o["bfs_structs"] = (
+        _bfs(start=FAR_FROM, end=FAR_TO)
+        .replace("SELECT e.src, e.dst FROM edges e JOIN", "SELECT e.src, e.dst, e.relationship AS rel FROM edges e JOIN")
+        .replace("SELECT id, CAST(id AS VARCHAR), 0 FROM bsrc", "SELECT id, name, 0 FROM bsrc JOIN verts USING (id)")
+        .replace("pth.path || '>' || CAST(be.dst AS VARCHAR)", "pth.path || '>' || be.rel || '>' || tv.name")
+        .replace("FROM pth JOIN be ON be.src = pth.last", "FROM pth JOIN be ON be.src = pth.last JOIN verts tv ON tv.id = be.dst")
+        .replace("SELECT path, CAST(k AS INT) AS hops FROM", "SELECT path FROM"))
+    o["distance_maps"] = ("SELECT v.c_custkey AS id, coalesce(string_agg(s.cell, ',' ORDER BY s.cell), '') AS distances "
+                          "FROM customer v LEFT JOIN (SELECT id, CAST(landmark AS VARCHAR) || ':' || CAST(distance AS VARCHAR) "
+                          "AS cell FROM (" + o["shortest_paths"] + ")) s ON v.c_custkey = s.id GROUP BY 1")
+    o["csv_customers"] = w() + "SELECT customer_id, segment, monthly_charges, tenure, churn FROM customers"
+    o["append_and_delete"] = """SELECT o_orderkey, o_totalprice, o_orderdate,
+  CASE WHEN year(o_orderdate) >= 1998 THEN o_orderstatus END AS o_orderstatus FROM orders WHERE o_totalprice >= 100000"""
+    drawn = """lu AS (SELECT ru.*, concat_ws(' ', id % 997 + 1, upper(canal[1:1]) || lower(canal[2:]), 'Street,', country) AS address,
+        ('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8))::BIGINT / 4294967296.0 * 100 < churn_proba AS churn
+      FROM ru LEFT JOIN (""" + o["churn_rule"] + """) pr ON ru.id = pr.user_id)"""
+    o["labelled_users"] = w(USERS, drawn) + "SELECT * FROM lu"
+    o["stream_churn_features"] = ("SELECT af.*, lu.address, CAST(lu.churn AS INT) AS churn FROM (" + o["activity_features"]
+                                  + ") af JOIN (" + o["labelled_users"] + ") lu ON af.user_id = lu.id")
+    o["stream_schema_evolution"] = """SELECT o_custkey AS user_id, o_orderkey AS id, o_totalprice AS amount,
+  CASE WHEN year(o_orderdate) >= 2000 THEN o_orderstatus END AS status,
+  CASE WHEN year(o_orderdate) >= 2000 THEN CAST(o_orderpriority[1:1] AS BIGINT) END AS urgency,
+  CASE WHEN year(o_orderdate) BETWEEN 1997 AND 1999
+       THEN '{"status":"' || o_orderstatus || '","urgency":"' || o_orderpriority[1:1] || '"}' END AS _rescued_data
+FROM orders"""
+    o["neighbor_pieces"] = w(
+        """np AS (SELECT DISTINCT id, neighbor FROM (SELECT src AS id, dst AS neighbor FROM edges
+              UNION ALL SELECT dst, src FROM edges))""",
+        "nr AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY neighbor) - 1 AS rn FROM np)",
+    ) + """SELECT id, CAST(rn // 10 AS INT) AS piece, string_agg(CAST(neighbor AS VARCHAR), ',' ORDER BY neighbor) AS neighbors
+FROM nr GROUP BY 1, 2"""
+    o["neighbor_pieces_strict"] = sub.rstrip() + """,
+np AS (SELECT DISTINCT id, neighbor FROM (SELECT src AS id, dst AS neighbor FROM se UNION ALL SELECT dst, src FROM se)),
+nr AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY neighbor) - 1 AS rn FROM np),
+both_ways AS (SELECT src AS id FROM se INTERSECT SELECT dst FROM se)
+SELECT id, CAST(rn // 10 AS INT) AS piece, string_agg(CAST(neighbor AS VARCHAR), ',' ORDER BY neighbor) AS neighbors
+FROM nr WHERE id IN (SELECT id FROM both_ways) GROUP BY 1, 2
+UNION ALL
+SELECT DISTINCT id, 0, NULL FROM np WHERE id NOT IN (SELECT id FROM both_ways)"""
+    o["pregel_two_way"] = w(
+        "near AS (SELECT src AS a, dst AS b FROM vedges UNION SELECT dst, src FROM vedges UNION SELECT id, id FROM verts)",
+        "h1 AS (SELECT a, min(b) AS least, max(monthly_charges) AS most FROM near JOIN verts ON b = id GROUP BY a)",
+        "h2 AS (SELECT n.a, min(least) AS least, max(most) AS most FROM near n JOIN h1 ON n.b = h1.a GROUP BY n.a)",
+        "h3 AS (SELECT n.a, min(least) AS least, max(most) AS most FROM near n JOIN h2 ON n.b = h2.a GROUP BY n.a)",
+    ) + "SELECT a AS id, least, most FROM h3"
+    o["categories_by_total"] = w() + """SELECT priority, churn, n, CAST(total AS BIGINT) AS total,
+  dense_rank() OVER (ORDER BY total DESC, priority NULLS FIRST) AS place
+FROM (SELECT priority, churn, count(*) AS n, sum(count(*)) OVER (PARTITION BY priority) AS total
+      FROM customers GROUP BY 1, 2)"""
+    o["sample_with_replacement"] = w(
+        """placed AS (SELECT customer_id, priority, churn, row_number() OVER (
+              ORDER BY md5(CAST(customer_id AS VARCHAR) || ':123')) - 1 AS place FROM customers)""",
+        """draws AS (SELECT ('0x' || substr(md5(CAST(i AS VARCHAR) || ':123'), 1, 15))::BIGINT
+              % (SELECT count(*) FROM customers) AS place FROM range(10000) t(i))""",
+    ) + """SELECT customer_id, priority, churn, count(*) AS times FROM draws JOIN placed USING (place) GROUP BY 1, 2, 3"""
+    o["degree_places"] = o["degrees"].replace("SELECT id, count(*) AS degree FROM (", """SELECT id, degree,
+  row_number() OVER (ORDER BY degree DESC, id) AS place FROM (SELECT id, count(*) AS degree FROM (""", 1) + ")"
+    o["triangle_places"] = ("SELECT id, count, row_number() OVER (ORDER BY count DESC, id) AS place FROM ("
+                            + o["triangle_count"] + ")")
+    scs = f"""scs AS (SELECT sc.*, CAST(score >= 0.5 AS INT) AS prediction, CASE WHEN b < 60 THEN 'train'
+        WHEN b < 80 THEN 'val' ELSE 'test' END AS split FROM (SELECT *, {split} AS b FROM sc) sc)"""
+    o["classification_metrics"] = w(sc, scs) + """, bk AS (SELECT split, score AS t, sum(label)::DOUBLE AS pos,
+    sum(1 - label)::DOUBLE AS neg FROM scs GROUP BY 1, 2),
+cum AS (SELECT split, t, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER a AS p, sum(neg) OVER a AS n FROM bk
+        WINDOW w AS (PARTITION BY split ORDER BY t DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+               a AS (PARTITION BY split)),
+pts AS (SELECT split, t, tp / p AS rec, fp / n AS fpr, tp / (tp + fp) AS pre FROM cum),
+seg AS (SELECT *, coalesce(lag(rec) OVER w, 0) AS rec0, coalesce(lag(fpr) OVER w, 0) AS fpr0,
+               coalesce(lag(pre) OVER w, pre) AS pre0 FROM pts WINDOW w AS (PARTITION BY split ORDER BY t DESC)),
+area AS (SELECT split, sum((fpr - fpr0) * (rec + rec0) / 2) AS roc, sum((rec - rec0) * (pre + pre0) / 2) AS pr
+         FROM seg GROUP BY 1),
+cnt AS (SELECT split, count(*) AS n, sum((label = prediction)::INT) AS ok, sum((label = 1 AND prediction = 1)::INT) AS hit,
+          sum(prediction) AS said, sum(label) AS is_one, avg(CASE WHEN label = 1
+            THEN -ln(greatest(least(score, 1 - 1e-15), 1e-15)) ELSE -ln(1 - greatest(least(score, 1 - 1e-15), 1e-15)) END) AS ll
+        FROM scs GROUP BY 1)
+SELECT split, n, round(ok / n, 9) AS accuracy, round(hit / said, 9) AS precision, round(hit / is_one, 9) AS recall,
+  round(2 * hit / (said + is_one), 9) AS f1, round(ll, 9) AS log_loss, round(roc, 9) AS roc_auc, round(pr, 9) AS pr_auc
+FROM cnt JOIN area USING (split)"""
+    o["shapley_linear"] = w(
+        f"""ok AS (SELECT *, CASE WHEN b < 60 THEN 'train' WHEN b < 80 THEN 'val' ELSE 'test' END AS split
+            FROM (SELECT *, {split} AS b FROM customers)
+            WHERE monthly_charges IS NOT NULL AND total_charges IS NOT NULL AND tenure IS NOT NULL)""",
+        """x AS (SELECT * FROM ok WHERE split = 'val'
+              ORDER BY md5(CAST(customer_id AS VARCHAR) || ':1'), customer_id LIMIT 100)""",
+        """bg AS (SELECT * FROM ok WHERE split = 'train'
+              ORDER BY md5(CAST(customer_id AS VARCHAR) || ':2'), customer_id LIMIT 100)""",
+        """m AS (SELECT avg(monthly_charges) AS mc, avg(total_charges) AS tc, avg(tenure) AS te FROM bg)""",
+    ) + """SELECT customer_id, f.feature, round(CASE f.feature WHEN 'monthly_charges' THEN 0.001 * (monthly_charges - mc)
+    WHEN 'total_charges' THEN -0.00002 * (total_charges - tc) ELSE 0.003 * (tenure - te) END, 6) AS contribution,
+  round(1.0 + 0.001 * mc - 0.00002 * tc + 0.003 * te, 6) AS base
+FROM x, m, (VALUES ('monthly_charges'), ('total_charges'), ('tenure')) f(feature)"""
     o["sample_preview"] = w() + """SELECT customer_id, segment, monthly_charges, churn FROM customers
 ORDER BY md5(CAST(customer_id AS VARCHAR) || ':123'), customer_id LIMIT 100"""
     return o

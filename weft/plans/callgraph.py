@@ -10,15 +10,13 @@ charges = sum of order totals, tenure = days since the first order).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.graph import PropertyGraph
 from weft.operators.iterate import shared_path
 from weft.operators.sequence import next_in_key
-from weft.sources.tables import table
+from weft.sources.tables import path_stamp, table
 
 # Fixed values of the derivation (shared with the SQL oracle).
 TENURE_END = "2001-08-01"   # last order date in the data
@@ -109,6 +107,27 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def phone_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(customer_id, mobile_number) of the customers that are listed: those
+    without debts."""
+    listed = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    key = F.col("c_custkey")
+    return listed.select(key.alias("customer_id"), F.concat(F.lit(PHONE_PREFIX), key.cast("string")).alias("mobile_number"))
+
+
+def customers_with_numbers(customers: DataFrame, directory: DataFrame) -> DataFrame:
+    """All customers with the number that the directory has for them."""
+    return customers.drop("mobile_number").join(directory, "customer_id", "left")
+
+
+def calls_by_month(log: DataFrame) -> DataFrame:
+    """(month, calls, duration) of a call log whose ``datatime`` is text in
+    the default timestamp format; text that is no time counts under null."""
+    time = F.try_to_timestamp(F.col("datatime"))
+    return log.groupBy(F.date_format(time, "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("calls"), F.sum("duration").alias("duration"))
+
+
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers(spark, sf_dir).drop("mobile_number").withColumnRenamed("customer_id", "id")
 
@@ -122,15 +141,8 @@ _SILVER: dict = {}
 _INPUTS = ("lineitem", "orders", "customer", "nation", "region")
 
 
-def _stamp(sf_dir: str) -> tuple:
-    out = []
-    for t in _INPUTS:
-        try:
-            st = os.stat(f"{sf_dir.rstrip('/')}/{t}.parquet")
-            out.append((st.st_mtime_ns, st.st_size))
-        except OSError:  # remote storage: no local stamp
-            out.append(None)
-    return tuple(out)
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    return tuple(path_stamp(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in _INPUTS)
 
 
 def silver_graph(spark: SparkSession, sf_dir: str) -> PropertyGraph:
@@ -141,7 +153,7 @@ def silver_graph(spark: SparkSession, sf_dir: str) -> PropertyGraph:
     once per session and input, not once per query; the tables live in the
     shared checkpoint area, so they outlive lost executors.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _stamp(sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip('/'), _stamp(spark, sf_dir))
     root = _SILVER.get(key)
     if root is None:
         root = shared_path(spark, "silver-graph")

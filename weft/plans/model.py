@@ -2,27 +2,33 @@
 
 Everything runs as Spark jobs on the executors: the split is a hash of the
 key (repeatable whatever the partitioning), training is ``GBTClassifier``
-with early stopping on the validation rows, and every report (metrics,
-confusion matrix, ROC and precision-recall points, permutation importance)
-is an aggregate over the scored frame.
+stopped by the validation rows after five rounds without gain, and every
+report (metrics, confusion matrix, ROC and precision-recall points,
+permutation importance, Shapley values) is an aggregate over a scored frame.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from itertools import product
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weft.operators.iterate import cut
+from weft.operators.sequence import numbered
 
 # fixed values: the boosted-tree settings of the generated training script
 GBT_PARAMS = dict(maxDepth=5, stepSize=0.0321, maxIter=277, subsamplingRate=0.418,
                   featureSubsetStrategy="0.342", minInstancesPerNode=19)
 SPLIT = (60, 20, 20)  # train / val / test percent
+PATIENCE = 5  # rounds without gain after which training stops
+NUMBER_TYPES = {"int", "bigint", "double", "float", "smallint", "tinyint", "decimal", "boolean"}
 
 
 def training_set(customer_features: DataFrame, graph_features: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -42,9 +48,17 @@ def with_split(df: DataFrame, key: str, seed: int = 42, split=SPLIT) -> DataFram
     return df.withColumn("split", F.when(b < t, "train").when(b < v, "val").otherwise("test"))
 
 
-def feature_columns(df: DataFrame, key: str, label: str, extra=("split",)) -> list[str]:
-    numeric = {"int", "bigint", "double", "float", "smallint", "tinyint", "decimal", "boolean"}
-    return [c for c, t in df.dtypes if c not in {key, label, *extra} and t.split("(")[0] in numeric]
+# columns that the model takes; training and scoring tables may have others
+NUMERIC = ("monthly_charges", "total_charges", "tenure", "degree", "in_degree", "out_degree", "in_degree_ratio",
+           "out_degree_ratio", "pagerank", "trian_count", "cc", "comm_avg_monthly_charges", "comm_avg_total_charges",
+           "comm_avg_tenure", "comm_size", "comm_dev_avg_monthly_charges", "comm_dev_avg_total_charges",
+           "comm_dev_avg_tenure", "nghb_avg_monthly_charges", "nghb_avg_total_charges", "nghb_avg_tenure")
+INDICATORS = ("segment_", "region_", "priority_")  # 0/1 columns of categories, one-hot encoded in training
+
+
+def supported_columns(df: DataFrame) -> tuple[list[str], list[str]]:
+    """(numeric, one-hot) columns of ``df`` that the model supports."""
+    return ([c for c in df.columns if c in NUMERIC], [c for c in df.columns if c.startswith(INDICATORS)])
 
 
 def coerce_numeric(df: DataFrame, cols) -> DataFrame:
@@ -53,14 +67,11 @@ def coerce_numeric(df: DataFrame, cols) -> DataFrame:
                        for c in df.columns])
 
 
-def build_pipeline(cols, label: str, seed: int = 42, onehot=(), **gbt) -> Pipeline:
-    """Imputer (mean) -> scaler (mean 0, unit sample std) for numeric
-    columns; columns in ``onehot`` are indexed (unknown values kept in an
-    extra slot) and one-hot encoded with the last slot dropped, so an unseen
-    value encodes as all zeros; then the blocks are assembled for the
-    boosted trees."""
-    params = {**GBT_PARAMS, **gbt}
-    num = [c for c in cols if c not in set(onehot)]
+def preprocessing(num: list[str], onehot: list[str]) -> Pipeline:
+    """Imputer (mean) -> scaler (mean 0, unit sample std) for numeric columns;
+    ``onehot`` columns are indexed (unknown values kept in an extra slot) and
+    one-hot encoded with the last slot dropped, so an unseen value encodes as
+    all zeros; then the blocks are assembled."""
     imputed = [f"{c}__imp" for c in num]
     stages = [
         Imputer(strategy="mean", inputCols=num, outputCols=imputed),
@@ -73,47 +84,124 @@ def build_pipeline(cols, label: str, seed: int = 42, onehot=(), **gbt) -> Pipeli
         vec = [f"{c}__ohe" for c in onehot]
         stages += [
             StringIndexer(inputCols=list(onehot), outputCols=idx, handleInvalid="keep"),
-            OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True, handleInvalid="keep"),
+            OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True),
         ]
         blocks += vec
-    stages += [
-        VectorAssembler(inputCols=blocks, outputCol="features"),
-        GBTClassifier(featuresCol="features", labelCol=label, seed=seed,
-                      validationIndicatorCol="is_val", **params),
-    ]
-    return Pipeline(stages=stages)
+    return Pipeline(stages=[*stages, VectorAssembler(inputCols=blocks, outputCol="features")])
+
+
+def build_pipeline(cols, label: str, seed: int = 42, onehot=(), **gbt) -> Pipeline:
+    """Preprocessing and boosted trees in one pipeline, stopped by Spark's own
+    rule on the rows with ``is_val``."""
+    trees = GBTClassifier(featuresCol="features", labelCol=label, seed=seed, validationIndicatorCol="is_val",
+                          **{**GBT_PARAMS, **gbt})
+    num = [c for c in cols if c not in set(onehot)]
+    return Pipeline(stages=[*preprocessing(num, list(onehot)).getStages(), trees])
+
+
+def stopping_round(curve: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(best round from 1, whether ``patience`` rounds without gain followed)
+    of validation losses by round."""
+    best = 0
+    for i, loss in enumerate(curve):
+        if loss < curve[best]:
+            best = i
+        if i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_stopped(train_rows: DataFrame, val_rows: DataFrame, label: str, seed: int = 42, patience: int = PATIENCE,
+                **gbt) -> tuple[GBTClassificationModel, list[float]]:
+    """Boosted trees cut back to their best round, and the validation loss of
+    each round up to ``patience`` after it.
+
+    Spark's trees take no patience, but the first k trees of a fit do not
+    depend on how many follow (each round has its own seed): fits of doubled
+    length run until the curve has stopped, and the forest is fitted to its
+    best round, at most twice the work of a run that stops by itself."""
+    params = {**GBT_PARAMS, **gbt}
+    most = params.pop("maxIter")
+
+    def fit(rounds: int) -> GBTClassificationModel:
+        return GBTClassifier(featuresCol="features", labelCol=label, seed=seed, maxIter=rounds, **params).fit(train_rows)
+
+    rounds = min(most, 4 * patience)
+    while True:
+        model = fit(rounds)
+        curve = list(model.evaluateEachIteration(val_rows)) if not val_rows.isEmpty() else []
+        best, stopped = stopping_round(curve, patience) if curve else (rounds, True)
+        if stopped or rounds == most:
+            break
+        rounds = min(most, 2 * rounds)
+    return (model if best == model.getNumTrees else fit(best)), curve[:best + patience]
+
+
+def train_stopped(df: DataFrame, key: str, label: str, seed: int = 42, onehot: list[str] | None = None,
+                  columns: list[str] | None = None, **gbt) -> tuple[PipelineModel, list[str], list[float]]:
+    """(pipeline model, its columns, validation curve).  Only the supported
+    ``columns`` and ``onehot`` columns are read; the preprocessing is fitted
+    to the ``train`` rows, the trees stop by the ``val`` rows."""
+    num, hot = supported_columns(df)
+    num, hot = columns if columns is not None else num, onehot if onehot is not None else hot
+    num = [c for c in num if c not in hot]
+    cols = num + hot
+    data = coerce_numeric(df.select(key, label, "split", *cols), cols).withColumn(label, F.col(label).cast("double"))
+    fitted = preprocessing(num, hot).fit(data.where("split = 'train'"))
+    ready = cut(fitted.transform(data.where("split != 'test'")).select("split", label, "features"))
+    trees, curve = fit_stopped(ready.where("split = 'train'"), ready.where("split = 'val'"), label, seed, **gbt)
+    return PipelineModel(stages=[*fitted.stages, trees]), cols, curve
 
 
 def train(df: DataFrame, key: str, label: str, seed: int = 42, **gbt) -> tuple[PipelineModel, list[str]]:
-    cols = feature_columns(df, key, label)
-    data = coerce_numeric(df, cols).withColumn(label, F.col(label).cast("double"))
-    fit_rows = data.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    model = build_pipeline(cols, label, seed, **gbt).fit(fit_rows)
-    return model, cols
+    return train_stopped(df, key, label, seed, **gbt)[:2]
 
 
 def score(model: PipelineModel, df: DataFrame, cols, label: str) -> DataFrame:
-    data = coerce_numeric(df, cols).withColumn(label, F.col(label).cast("double")).withColumn(
-        "is_val", F.lit(False))
+    data = coerce_numeric(df, cols)
+    if label in df.columns:
+        data = data.withColumn(label, F.col(label).cast("double"))
     out = model.transform(data)
     return out.withColumn("score", vector_to_array("probability").getItem(1))
 
 
+def classification_metrics(scored: DataFrame, label: str, score: str, prediction: str, by: str) -> DataFrame:
+    """One row per ``by`` value: n, accuracy, and precision, recall and f1 of
+    label 1, log_loss, and the exact areas roc_auc and pr_auc.
+
+    One grouped pass gives the counts and the loss; the areas are sums over
+    the distinct scores with their running counts."""
+    y, p = F.col(label).cast("long"), F.col(prediction).cast("long")
+    sure = F.greatest(F.least(F.col(score), F.lit(1 - 1e-15)), F.lit(1e-15))
+    loss = -F.when(y == 1, F.log(sure)).otherwise(F.log(1 - sure))
+
+    def count(cond: Column) -> Column:
+        return F.sum(cond.cast("long"))
+
+    flat = scored.groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"), count(y == p).alias("_right"), count((y == 1) & (p == 1)).alias("_tp"),
+        count(p == 1).alias("_said"), count(y == 1).alias("_are"), F.avg(loss).alias("log_loss"))
+    cum = _cumulative(scored, label, score, by)
+    tp, fp, tp0, fp0 = F.col("tp"), F.col("fp"), F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
+    precision = tp / (tp + fp)
+    before = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(precision)
+    areas = cum.groupBy(by).agg(
+        F.try_divide(F.sum(F.col("neg") * (tp + tp0)), 2 * F.max("P") * F.max("N")).alias("roc_auc"),
+        F.try_divide(F.sum(F.col("pos") * (precision + before)), 2 * F.max("P")).alias("pr_auc"))
+    said, are, hit = F.col("_said"), F.col("_are"), F.col("_tp")
+    rates = flat.select(
+        F.col(by).alias("_by"), "n", (F.col("_right") / F.col("n")).alias("accuracy"),
+        F.coalesce(F.try_divide(hit, said), F.lit(0.0)).alias("precision"),
+        F.coalesce(F.try_divide(hit, are), F.lit(0.0)).alias("recall"),
+        F.coalesce(F.try_divide(2 * hit, said + are), F.lit(0.0)).alias("f1"), "log_loss")
+    return rates.join(areas, rates["_by"].eqNullSafe(areas[by])).drop("_by")
+
+
 def metrics(scored: DataFrame, label: str) -> DataFrame:
     """(split, metric, value) for train / val / test."""
-    spark = scored.sparkSession
-    rows = []
-    for split in ("train", "val", "test"):
-        part = scored.where(F.col("split") == split)
-        if part.isEmpty():
-            continue
-        for m in ("areaUnderROC", "areaUnderPR"):
-            ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName=m)
-            rows.append((split, m, float(ev.evaluate(part))))
-        for m in ("f1", "accuracy", "weightedPrecision", "weightedRecall", "logLoss"):
-            ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=m)
-            rows.append((split, m, float(ev.evaluate(part))))
-    return spark.createDataFrame(rows, "split string, metric string, value double")
+    wide = classification_metrics(scored, label, "score", "prediction", "split")
+    names = ["accuracy", "precision", "recall", "f1", "log_loss", "roc_auc", "pr_auc"]
+    return wide.unpivot("split", names, "metric", "value")
 
 
 def confusion_matrix(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -121,23 +209,27 @@ def confusion_matrix(scored: DataFrame, label: str, prediction: str = "predictio
         F.count(F.lit(1)).alias("n"))
 
 
-def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(threshold, pos, neg, tp, fp, P, N) of every distinct score: positives
-    and negatives at it, and those at it or above.
+def _cumulative(df: DataFrame, label: str, score: str, by: str | None = None) -> DataFrame:
+    """(threshold, pos, neg, tp, fp, P, N) of every distinct score (of each
+    ``by`` value): positives and negatives at it, and those at it or above.
 
     Sums run inside score ranges; what the higher ranges hold is added from a
-    table of one row per range.  No window spans the table."""
+    table of one row per range and group.  No window spans the table."""
     y = F.col(label).cast("long")
-    at = df.groupBy(F.col(score).alias("threshold")).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-    at = cut(at.repartitionByRange(F.desc("threshold")).withColumn("_r", F.spark_partition_id()))
-    ranges = at.groupBy("_r").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.partitionBy()
+    group = F.col(by) if by else F.lit(0)
+    at = df.groupBy(group.alias("_g"), F.col(score).alias("threshold")).agg(
+        F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+    at = cut(at.repartitionByRange("_g", F.desc("threshold")).withColumn("_r", F.spark_partition_id()))
+    ranges = at.groupBy("_g", "_r").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    every = Window.partitionBy("_g")
+    before = every.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     heads = ranges.select(
-        "_r", F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p0"), F.sum("_p").over(every).alias("P"),
+        F.col("_g").alias("_hg"), F.col("_r").alias("_hr"),
+        F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_p0"), F.sum("_p").over(every).alias("P"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"), F.sum("_n").over(every).alias("N"))
-    upto = Window.partitionBy("_r").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    return at.join(F.broadcast(heads), "_r").select(
+    upto = Window.partitionBy("_g", "_r").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
+    return at.join(heads, (at["_r"] == heads["_hr"]) & at["_g"].eqNullSafe(heads["_hg"])).select(
+        *([F.col("_g").alias(by)] if by else []),
         "threshold", "pos", "neg", (F.col("_p0") + F.sum("pos").over(upto)).alias("tp"),
         (F.col("_n0") + F.sum("neg").over(upto)).alias("fp"), "P", "N")
 
@@ -179,52 +271,111 @@ def permute_column(df: DataFrame, col: str, key: str, seed: int = 7, group_rows:
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, cols, key: str, label: str,
-                           split: str = "test", seed: int = 7) -> DataFrame:
-    """(feature, importance) = AUC drop when the feature is permuted; one
-    scoring job per feature."""
-    spark = df.sparkSession
-    part = df.where(F.col("split") == split)
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction")
-    base = ev.evaluate(score(model, part, cols, label))
-    rows = []
-    for c in cols:
-        perm = permute_column(part, c, key, seed)
-        rows.append((c, float(base - ev.evaluate(score(model, perm, cols, label)))))
-    return spark.createDataFrame(rows, "feature string, importance double")
-
-
-def feature_importances(spark, model: PipelineModel, cols) -> DataFrame:
-    """The trees' split-gain importances (a quick view; one row per feature)."""
+                           split: str = "test", seed: int = 7, group_rows: int = 1000) -> DataFrame:
+    """(feature, importance) = AUC drop when the feature is permuted.
+
+    All features are permuted in one pass (each row looks at one other row of
+    its group of about ``group_rows``) and scored in one job, as one copy of
+    the rows per feature and one unchanged copy."""
+    part = df.where(F.col("split") == split).select(key, label, *cols)
+    groups = max(1, part.count() // group_rows)
+    own = F.struct(*cols)
+    spread = part.select("*", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(groups)).alias("_g"),
+                         F.xxhash64(F.col(key), F.lit(seed + 1)).alias("_o"))
+    in_group = Window.partitionBy("_g").orderBy("_o", key)
+    other = F.coalesce(F.lag(own).over(in_group), F.last(own).over(
+        in_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    each = spread.withColumn("_other", other).withColumn("feature", F.explode(F.array(*[F.lit(c) for c in ["", *cols]])))
+    changed = each.select("feature", label, *[
+        F.when(F.col("feature") == c, F.col("_other")[c]).otherwise(F.col(c)).alias(c) for c in cols])
+    scored = score(model, changed, cols, label)
+    cum = _cumulative(scored, label, "score", "feature")
+    ordered = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")))
+    auc = cum.groupBy("feature").agg(F.try_divide(ordered, 2 * F.max("P") * F.max("N")).alias("auc"))
+    base = auc.where("feature = ''").select(F.col("auc").alias("_base"), F.lit(True).alias("_all"))
+    # one row joined to one row per feature
+    return auc.where("feature != ''").withColumn("_all", F.lit(True)).join(base, "_all").select(
+        "feature", (F.col("_base") - F.col("auc")).alias("importance"))
+
+
+def slot_names(model: PipelineModel, df: DataFrame, num: list[str]) -> list[str]:
+    """A name for every slot of the feature vector, from the metadata that the
+    stages leave in it: a column, or ``column=value`` of a one-hot column."""
+    attrs = PipelineModel(stages=model.stages[:-1]).transform(df.limit(0)).schema["features"].metadata["ml_attr"]["attrs"]
+    slots = sorted((a["idx"], a["name"]) for kind in attrs.values() for a in kind)
+    names = []
+    for _, name in slots:
+        column, _, value = name.partition("__ohe_")
+        names.append(f"{column}={value}" if value else num[int(name.removeprefix("num_scaled_"))])
+    return names
+
+
+def feature_importances(spark, model: PipelineModel, cols, df: DataFrame) -> DataFrame:
+    """The trees' split-gain importances by slot (a quick view)."""
+    names = slot_names(model, coerce_numeric(df, cols), model.stages[0].getInputCols())
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(cols, [float(x) for x in imp])), "feature string, importance double")
+    return spark.createDataFrame(list(zip(names, [float(x) for x in imp], strict=True)),
+                                 "feature string, importance double")
+
+
+def shapley_values(score_rows: Callable[[DataFrame], DataFrame], examples: DataFrame, background: DataFrame,
+                   cols: list[str], key: str, seed: int = 7) -> DataFrame:
+    """(key, feature, contribution, base): how much each feature of an example
+    adds to its score over ``base``, the mean score of the background rows.
+
+    Sampled Shapley values.  Every example meets every background row with a
+    seeded order of the features; features change from the background's value
+    to the example's one by one in that order, and the change of the score is
+    the feature's.  The changes of a pair add up to the difference of its two
+    scores, so an example's contributions add up to its score minus ``base``.
+    All steps are rows of one scoring job: examples x background x (features
+    + 1) rows, so both tables are samples of a size that the caller sets.
+    ``score_rows`` adds a column ``score`` to a frame of ``cols``.
+    """
+    d = len(cols)
+    n = background.count()
+    behind = numbered(background.select(F.struct(*cols).alias("_b"), F.xxhash64(key).alias("_h")),
+                      [F.col("_h")], "_j").select("_b", F.col("_j").cast("int").alias("_j"))
+    pairs = (examples.select(F.col(key).alias("_key"), F.struct(*cols).alias("_x"))
+             .withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(behind, "_j"))
+    order = F.array_sort(F.array(*[
+        F.struct(F.xxhash64(F.col("_key"), F.col("_j"), F.lit(seed), F.lit(i)).alias("h"), F.lit(i).alias("i"))
+        for i in range(d)]))
+    steps = (pairs.withColumn("_order", F.transform(order, lambda o: o["i"]))
+             .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(d)))))
+    mixed = steps.select("_key", "_j", "_step", F.get("_order", F.col("_step") - 1).alias("_f"), *[
+        F.when(F.array_position("_order", F.lit(i)) <= F.col("_step"), F.col("_x")[c]).otherwise(F.col("_b")[c]).alias(c)
+        for i, c in enumerate(cols)])
+    scored = score_rows(mixed).select("_key", "_j", "_step", "_f", "score")
+    along = Window.partitionBy("_key", "_j").orderBy("_step")  # features + 1 rows
+    moved = scored.withColumn("_gain", F.col("score") - F.lag("score").over(along)).withColumn(
+        "_start", F.min_by("score", "_step").over(Window.partitionBy("_key", "_j")))
+    names = F.array(*[F.lit(c) for c in cols])
+    return moved.where("_step > 0").groupBy("_key", "_f").agg(
+        F.avg("_gain").alias("contribution"), F.avg("_start").alias("base")).select(
+        F.col("_key").alias(key), F.get(names, F.col("_f")).alias("feature"), "contribution", "base")
 
 
 def search(df: DataFrame, key: str, label: str, grid: dict | None = None, seed: int = 42,
            parallelism: int = 2, **gbt):
-    """Model search over a fixed grid, scored by ROC AUC on the validation
-    rows (a ``TrainValidationSplit``).  Candidate models train in parallel
-    Spark jobs; returns (best PipelineModel, feature columns, table of
-    (params, auc) rows)."""
-    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-
-    cols = feature_columns(df, key, label)
-    data = coerce_numeric(df, cols).withColumn(label, F.col(label).cast("double"))
-    # the trees early-stop on the "val" rows, as in ``train``; candidates are
-    # compared on the share the TrainValidationSplit holds out
-    data = data.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
-    pipe = build_pipeline(cols, label, seed, **gbt)
-    est = pipe.getStages()[-1]
+    """Model search over a fixed grid: every candidate trains on the ``train``
+    rows, stops by and is scored by ROC AUC on the ``val`` rows.  Candidates
+    train in parallel Spark jobs; returns (best PipelineModel, feature
+    columns, table of (params, auc) rows)."""
     grid = grid or {"maxDepth": [3, 5], "stepSize": [0.0321, 0.1]}
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(est.getParam(name), values)
-    maps = builder.build()
-    tvs = TrainValidationSplit(
-        estimator=pipe, estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction"),
-        trainRatio=0.75, parallelism=parallelism, seed=seed,
-    )
-    fitted = tvs.fit(data)
-    rows = [(str({p.name: v for p, v in m.items()}), float(a)) for m, a in zip(maps, fitted.validationMetrics)]
+    candidates = [dict(zip(grid, values, strict=True)) for values in product(*grid.values())]
+    num, hot = supported_columns(df)
+    if not num:  # a table without the supported columns: all of its numbers
+        num = [c for c, t in df.dtypes if c not in {key, label, "split"} and t.split("(")[0] in NUMBER_TYPES]
+
+    def run(params: dict):
+        model, cols, _ = train_stopped(df, key, label, seed, columns=num, onehot=hot, **{**gbt, **params})
+        val = score(model, df.where("split = 'val'"), cols, label)
+        return float(roc_auc(val, label, "score").first()[0] or 0.0), model, cols
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        done = list(pool.map(run, candidates))
+    best = max(range(len(done)), key=lambda i: done[i][0])
+    rows = [(str(c), auc) for c, (auc, _, _) in zip(candidates, done, strict=True)]
     table = df.sparkSession.createDataFrame(rows, "params string, auc double")
-    return fitted.bestModel, cols, table
+    return done[best][1], done[best][2], table

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from weft.graph import PropertyGraph
 from weft.operators import degrees as deg
 from weft.plans import callgraph as cg
+from weft.sources.tables import table as _table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REG: dict[str, Query] = {}
@@ -47,6 +48,18 @@ def call_edges(spark, sf_dir):
     return cg.edges_from_call_log(log, directory)
 
 
+@q("customers_with_numbers")
+def customers_with_numbers(spark, sf_dir):
+    return cg.customers_with_numbers(cg.customers(spark, sf_dir), cg.phone_directory(spark, sf_dir))
+
+
+@q("calls_by_month")
+def calls_by_month(spark, sf_dir):
+    """The call log with its time as text, parsed by the default format."""
+    log = cg.call_log(spark, sf_dir)
+    return cg.calls_by_month(log.withColumn("datatime", F.date_format("datatime", "yyyy-MM-dd HH:mm:ss")))
+
+
 @q("in_degrees")
 def in_degrees(spark, sf_dir):
     return graph(spark, sf_dir).inDegrees
@@ -121,6 +134,20 @@ def chain4_friends(spark, sf_dir):
     return found.toDF("a_id", "b_id", "c_id", "d_id", "num_friends")
 
 
+@q("neighbor_pieces")
+def neighbor_pieces(spark, sf_dir):
+    return deg.neighbor_pieces(graph(spark, sf_dir).edges, piece=10).withColumn(
+        "neighbors", F.concat_ws(",", F.col("neighbors").cast("array<string>")))
+
+
+@q("neighbor_pieces_strict")
+def neighbor_pieces_strict(spark, sf_dir):
+    """Lists of vertices with in- and out-edges; null for the others."""
+    got = deg.neighbor_pieces(_friend_subgraph(spark, sf_dir).edges, strict_parity=True, piece=10)
+    text = F.concat_ws(",", F.col("neighbors").cast("array<string>"))
+    return got.withColumn("neighbors", F.when(F.col("neighbors").isNotNull(), text))
+
+
 @q("one_way_edges")
 def one_way_edges(spark, sf_dir):
     m = graph(spark, sf_dir).find("(a)-[]->(b); !(b)-[]->(a)")
@@ -157,6 +184,38 @@ def scc(spark, sf_dir):
     return scc_labels(graph(spark, sf_dir))
 
 
+def _local_graph(spark, sf_dir):
+    """Calls within one nation, of which those between friends go both ways:
+    many components, strong components and communities."""
+    nation = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"))
+    g = graph(spark, sf_dir)
+    own = PropertyGraph(g.vertices.join(nation, "id"), g.edges).find("(a)-[e]->(b)").where("a.nation = b.nation").select("e.*")
+    back = own.where("relationship = 'friend'").select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    return PropertyGraph(g.vertices, own.select("src", "dst").unionByName(back).distinct())
+
+
+@q("local_components")
+def local_components(spark, sf_dir):
+    from weft.operators.components import component_labels
+
+    return component_labels(_local_graph(spark, sf_dir))
+
+
+@q("local_scc")
+def local_scc(spark, sf_dir):
+    from weft.operators.components import scc_labels
+
+    return scc_labels(_local_graph(spark, sf_dir))
+
+
+@q("local_communities")
+def local_communities(spark, sf_dir):
+    """Members, community means and deviations of the local graph."""
+    from weft.plans.graph_features import community_deviation as cd
+
+    return _round6(cd(_local_graph(spark, sf_dir), 25))
+
+
 @q("label_propagation_5")
 def label_propagation_5(spark, sf_dir):
     from weft.operators.labels import label_scores
@@ -209,6 +268,24 @@ def pregel_pagerank(spark, sf_dir):
     return rank_by_messages(graph(spark, sf_dir), 5).withColumn("rank", F.round("rank", 9))
 
 
+@q("pregel_two_way")
+def pregel_two_way(spark, sf_dir):
+    """Smallest id and largest balance within three hops in either direction:
+    messages go along edges and against them."""
+    from weft.operators.pregel import Pregel
+
+    g = graph(spark, sf_dir)
+    along, against = (F.struct(end("least").alias("least"), end("most").alias("most")) for end in (Pregel.src, Pregel.dst))
+    least, most = Pregel.msg()["least"], Pregel.msg()["most"]
+    done = (PropertyGraph(g.vertices.select("id", "monthly_charges"), g.edges).pregel.setMaxIter(3)
+            .withVertexColumn("least", F.col("id"), F.least("least", least))
+            .withVertexColumn("most", F.col("monthly_charges"), F.greatest("most", most))
+            .sendMsgToDst(along).sendMsgToSrc(against)
+            .aggMsgs(F.struct(F.min(least).alias("least"), F.max(most).alias("most")))
+            .run())
+    return done.select("id", "least", "most")
+
+
 @q("triangle_count")
 def triangle_count(spark, sf_dir):
     from weft.operators.triangles import triangle_counts
@@ -240,6 +317,47 @@ def bfs_filtered(spark, sf_dir):
     )
 
 
+FAR_FROM = "name = 'Customer#000000002'"
+FAR_TO = "segment = 'MACHINERY' AND monthly_charges > 9500"
+
+
+@q("bfs_far")
+def bfs_far(spark, sf_dir):
+    """Several shortest paths of several hops."""
+    from weft.operators.paths import bfs_path_strings
+
+    return bfs_path_strings(graph(spark, sf_dir), FAR_FROM, FAR_TO)
+
+
+@q("bfs_far_filtered")
+def bfs_far_filtered(spark, sf_dir):
+    """The same ends without friends' calls: other and longer paths."""
+    from weft.operators.paths import bfs_path_strings
+
+    return bfs_path_strings(graph(spark, sf_dir), FAR_FROM, FAR_TO, edge_filter="relationship != 'friend'",
+                            max_path_length=5)
+
+
+@q("bfs_structs")
+def bfs_structs(spark, sf_dir):
+    """The paths in the library's layout (from, e0, v1, ..., to): names of the
+    vertices and relationships of the edges along each."""
+    found = graph(spark, sf_dir).bfs(FAR_FROM, FAR_TO)
+    if len(found.columns) < 2:
+        return spark.createDataFrame([], "path string")
+    along = [F.col(c)["relationship" if c.startswith("e") else "name"] for c in found.columns]
+    return found.select(F.concat_ws(">", *along).alias("path"))
+
+
+@q("distance_maps")
+def distance_maps(spark, sf_dir):
+    """Every vertex with the map of its distances to the landmarks, as text."""
+    g = graph(spark, sf_dir)
+    found = g.shortestPaths(_hubs(g))
+    cells = F.transform(F.map_entries("distances"), lambda x: F.concat_ws(":", x["key"], x["value"]))
+    return found.select("id", F.array_join(F.array_sort(cells), ",").alias("distances"))
+
+
 def _hubs(g, k: int = 3) -> DataFrame:
     """The k vertices with most in-edges (ties: smaller id) — a DataFrame."""
     return g.inDegrees.orderBy(F.desc("inDegree"), "id").limit(k).select("id")
@@ -339,6 +457,42 @@ def contract_share(spark, sf_dir):
     return s.select("priority", "n", F.round("share", 6).alias("share"))
 
 
+@q("categories_by_total")
+def categories_by_total(spark, sf_dir):
+    from weft.plans.profile import categories_by_total as cbt
+
+    return cbt(cg.customers(spark, sf_dir), "priority", "churn")
+
+
+@q("sample_with_replacement")
+def sample_with_replacement(spark, sf_dir):
+    """10,000 customers drawn with replacement, how often each was drawn."""
+    from weft.plans.profile import sample_rows
+
+    c = cg.customers(spark, sf_dir).select("customer_id", "priority", "churn")
+    drawn = sample_rows(c, 10_000, seed=123, key=["customer_id"])
+    return drawn.groupBy("customer_id", "priority", "churn").agg(F.count(F.lit(1)).alias("times"))
+
+
+def _ranked(counts, by, spark):
+    from weft.operators.sequence import numbered
+
+    placed = numbered(counts, [F.desc(by), F.col("id")], "place")
+    return placed.withColumn("place", F.col("place") + 1)
+
+
+@q("degree_places")
+def degree_places(spark, sf_dir):
+    """Vertices ranked by degree, with their place."""
+    return _ranked(degrees(spark, sf_dir), "degree", spark)
+
+
+@q("triangle_places")
+def triangle_places(spark, sf_dir):
+    """Vertices ranked by their number of triangles, with their place."""
+    return _ranked(triangle_count(spark, sf_dir), "count", spark)
+
+
 @q("histogram")
 def histogram(spark, sf_dir):
     from weft.plans.profile import histogram as hist
@@ -417,7 +571,7 @@ def _stream_tables(spark, sf_dir):
     queries read its tables (like the model queries share one training)."""
     from weft.plans import activity_stream as st
 
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAMS:
         _STREAMS[key] = st.run(spark, sf_dir)
     return _STREAMS[key]
@@ -450,6 +604,40 @@ def stream_events(spark, sf_dir):
     return spark.read.parquet(tables["events"]).drop("_rescued_data")
 
 
+_CHURN_RULE = {"platform_a": "purchase", "platform_b": "view", "country": COUNTRY}
+
+
+@q("labelled_users")
+def labelled_users(spark, sf_dir):
+    """Raw users with their address and drawn churn label."""
+    from weft.plans import activity as act
+
+    return act.labelled_users(spark, sf_dir, **_CHURN_RULE)
+
+
+@q("stream_churn_features")
+def stream_churn_features(spark, sf_dir):
+    """Labelled users, orders and events through the streams into the churn
+    feature table."""
+    from weft.plans import activity as act
+    from weft.plans import activity_stream as st
+
+    key = (spark.sparkContext.applicationId, sf_dir, "labelled")
+    if key not in _STREAMS:
+        _STREAMS[key] = st.run(spark, sf_dir, labelled=act.labelled_users(spark, sf_dir, **_CHURN_RULE))
+    return st.features(spark, _STREAMS[key])
+
+
+@q("stream_schema_evolution")
+def stream_schema_evolution(spark, sf_dir):
+    """Orders landed in three drops; the second and third have fields that the
+    first lacks.  A field is rescued in the run that meets it and a column
+    from the next run on."""
+    from weft.plans import activity_stream as st
+
+    return st.orders_with_new_fields(spark, sf_dir)
+
+
 @q("latest_order")
 def latest_order(spark, sf_dir):
     """Latest order per customer: date, then order key, descending (ORD-02)."""
@@ -473,6 +661,37 @@ def _score_frame(spark, sf_dir):
     )
 
 
+@q("classification_metrics")
+def classification_metrics(spark, sf_dir):
+    """Metrics by split of a fixed score column."""
+    from weft.plans import model as m
+
+    s = m.with_split(_score_frame(spark, sf_dir), "customer_id").withColumn(
+        "prediction", (F.col("score") >= 0.5).cast("int"))
+    got = m.classification_metrics(s, "label", "score", "prediction", "split")
+    return got.select("split", "n", *[F.round(c, 9).alias(c) for c in got.columns if c not in ("split", "n")])
+
+
+SHAPLEY_WEIGHTS = {"monthly_charges": 0.001, "total_charges": -0.00002, "tenure": 0.003}
+
+
+@q("shapley_linear")
+def shapley_linear(spark, sf_dir):
+    """Shapley values of a linear score: 100 examples of the val rows against
+    100 background rows of the train rows."""
+    from weft.plans import model as m
+    from weft.plans.profile import hash_sample
+
+    c = m.with_split(cg.customers(spark, sf_dir), "customer_id").na.drop(subset=list(SHAPLEY_WEIGHTS))
+    examples = hash_sample(c.where("split = 'val'"), "customer_id", 100, seed=1)
+    background = hash_sample(c.where("split = 'train'"), "customer_id", 100, seed=2)
+    line = sum((F.col(f) * w for f, w in SHAPLEY_WEIGHTS.items()), F.lit(1.0))
+    got = m.shapley_values(lambda df: df.withColumn("score", line), examples, background, list(SHAPLEY_WEIGHTS),
+                           "customer_id")
+    return got.select("customer_id", "feature", F.round("contribution", 6).alias("contribution"),
+                      F.round("base", 6).alias("base"))
+
+
 @q("split_counts")
 def split_counts(spark, sf_dir):
     from weft.plans.model import with_split
@@ -519,19 +738,20 @@ _MODELS: dict = {}
 
 
 def _trained(spark, sf_dir):
-    """Train once per session and input folder (the model queries share it)."""
+    """Train once per session and input folder (the model queries share it):
+    (model, its columns, training set, validation curve)."""
     from weft.plans import model as m
     from weft.plans.customer_features import customer_features as cf
     from weft.plans.graph_features import graph_features as gf
 
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         from weft.operators.iterate import cut
 
         ts = m.training_set(cf(cg.customers(spark, sf_dir)), gf(graph(spark, sf_dir)))
         ts = cut(m.with_split(ts, "customer_id"))
-        model, cols = m.train(ts, "customer_id", "churn")
-        _MODELS[key] = (model, cols, ts)
+        model, cols, curve = m.train_stopped(ts, "customer_id", "churn")
+        _MODELS[key] = (model, cols, ts, curve)
     return _MODELS[key]
 
 
@@ -539,37 +759,58 @@ def _trained(spark, sf_dir):
 def model_metrics(spark, sf_dir):
     from weft.plans import model as m
 
-    model, cols, ts = _trained(spark, sf_dir)
+    model, cols, ts, _ = _trained(spark, sf_dir)
     return m.metrics(m.score(model, ts, cols, "churn"), "churn")
 
 
+@q("validation_curve")
+def validation_curve(spark, sf_dir):
+    """Validation loss by round; the model has the trees up to ``best``."""
+    model, _, _, curve = _trained(spark, sf_dir)
+    best = model.stages[-1].getNumTrees
+    return spark.createDataFrame([(i + 1, float(x), i + 1 == best) for i, x in enumerate(curve)],
+                                 "round int, loss double, best boolean")
+
+
 @q("model_search")
 def model_search(spark, sf_dir):
-    """Grid search (TrainValidationSplit on the non-test rows) over the
-    training set: one (params, auc) row per candidate."""
+    """Grid search over the training set, compared on the val rows: one
+    (params, auc) row per candidate."""
     from weft.plans import model as m
 
-    _, _, ts = _trained(spark, sf_dir)
-    _, _, table = m.search(ts, "customer_id", "churn")
-    return table
+    ts = _trained(spark, sf_dir)[2]
+    return m.search(ts, "customer_id", "churn")[2]
 
 
 @q("feature_importance")
 def feature_importance(spark, sf_dir):
     from weft.plans import model as m
 
-    model, cols, _ = _trained(spark, sf_dir)
-    return m.feature_importances(spark, model, cols)
+    model, cols, ts, _ = _trained(spark, sf_dir)
+    return m.feature_importances(spark, model, cols, ts)
 
 
 @q("permutation_importance")
 def permutation_importance(spark, sf_dir):
     from weft.plans import model as m
 
-    model, cols, ts = _trained(spark, sf_dir)
+    model, cols, ts, _ = _trained(spark, sf_dir)
     return m.permutation_importance(model, ts, cols, "customer_id", "churn")
 
 
+@q("model_shapley")
+def model_shapley(spark, sf_dir):
+    """Shapley values of the model's score: 100 val rows against 100 train
+    rows (both samples by hash, as the sizes of the explainer)."""
+    from weft.plans import model as m
+    from weft.plans.profile import hash_sample
+
+    model, cols, ts, _ = _trained(spark, sf_dir)
+    examples = hash_sample(ts.where("split = 'val'"), "customer_id", 100, seed=1)
+    background = hash_sample(ts.where("split = 'train'"), "customer_id", 100, seed=2)
+    return m.shapley_values(lambda df: m.score(model, df, cols, "churn"), examples, background, cols, "customer_id")
+
+
 @q("batch_score")
 def batch_score(spark, sf_dir):
     from pyspark.ml import PipelineModel
@@ -577,7 +818,7 @@ def batch_score(spark, sf_dir):
     from weft.operators.iterate import shared_path
     from weft.plans import model as m
 
-    model, cols, ts = _trained(spark, sf_dir)
+    model, cols, ts, _ = _trained(spark, sf_dir)
     path = shared_path(spark, "model")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
@@ -585,6 +826,32 @@ def batch_score(spark, sf_dir):
     return out.select("customer_id", "split", "score", "prediction")
 
 
+@q("csv_customers")
+def csv_customers(spark, sf_dir):
+    """Customers written as CSV with a header and read back by a schema."""
+    from weft.operators.iterate import shared_path
+    from weft.sources.tables import csv_dir
+
+    c = cg.customers(spark, sf_dir).select("customer_id", "segment", "monthly_charges", "tenure", "churn")
+    path = shared_path(spark, "csv-customers")
+    c.write.option("header", True).csv(path)
+    return csv_dir(spark, path, c.schema.add("_rescued_data", "string")).drop("_rescued_data")
+
+
+@q("append_and_delete")
+def append_and_delete(spark, sf_dir):
+    """Orders of two periods appended to one table, the later ones with a
+    further column, and the cheap ones deleted."""
+    from weft.operators.iterate import shared_path
+    from weft.sources.sinks import append_table, delete_where, read_table
+
+    od = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus")
+    path = shared_path(spark, "appended")
+    append_table(od.where("year(o_orderdate) < 1998").drop("o_orderstatus"), path)
+    append_table(od.where("year(o_orderdate) >= 1998"), path)
+    return read_table(spark, delete_where(spark, path, "o_totalprice < 100000"))
+
+
 @q("sample_preview")
 def sample_preview(spark, sf_dir):
     from weft.plans.profile import hash_sample

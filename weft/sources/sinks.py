@@ -3,7 +3,7 @@
 * ``overwrite_table`` / ``append_table``: plain writes; appends may add
   columns and are read back with ``mergeSchema``.
 * ``write_feature_table``: a keyed table — the key is checked non-null and
-  unique by distributed aggregates before anything is written.
+  unique by distributed aggregates on the written rows before they are published.
 * ``delete_where``: DELETE as a rewrite into a new version folder (a table
   being read must not be overwritten in place); returns the new folder.
 * run records: append a run, read the latest run of a name (top-1).
@@ -18,6 +18,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.sources.tables import publish
+
 
 def overwrite_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     w = df.write.mode("overwrite")
@@ -55,11 +57,14 @@ def check_key(df: DataFrame, key: str | list[str]) -> None:
 
 
 def write_feature_table(df: DataFrame, path: str, key: str | list[str], description: str = "") -> str:
-    """Check the key, overwrite the table, keep key and description beside it
-    (in ``_meta``, which parquet readers skip)."""
-    check_key(df, key)
-    overwrite_table(df, path)
+    """Write the table, check the key of what was written, and only then put
+    it in the place of the old one; key and description are kept beside it (in
+    ``_meta``, which parquet readers skip).  ``df`` is computed once."""
     spark = df.sparkSession
+    staged = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:8]}"
+    overwrite_table(df, staged)
+    check_key(spark.read.parquet(staged), key)
+    publish(spark, staged, path)
     meta = {"primary_keys": [key] if isinstance(key, str) else list(key), "description": description,
             "columns": df.columns}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode(
