@@ -58,7 +58,7 @@ SHORT = 256  # sets up to this size are counted in full
 BLOCK = 1 << 17  # shingles in the sets of a block, or one larger set
 BUCKET_WORDS = 1 << 17  # aimed words in a bucket of the counting shuffle
 BROADCAST_IDS = 1_000_000
-CHUNK = 8 << 20  # bytes of text in a chunk
+CHUNK = 4 << 20  # bytes of text in a chunk
 STEP = 32  # shingles in a node of a prefix tree
 
 PACKED = "bucket int, chunk long, shingles binary, docs binary, counts binary, sizes binary"
