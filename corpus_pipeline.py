@@ -33,31 +33,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     doc_id.  Rows that share a doc_id, or lack one, are documents by their
     text and come after all others; of rows with equal doc_id and text the
     least one stays.  Rows without doc_id and words all stay."""
+    node, shared, first = (fresh(c, docs.columns) for c in ("node", "shared", "first"))
     doc_id = F.col("doc_id").cast("long")
-    # from 2^62 up, above the doc_ids
-    by_text = F.xxhash64(doc_id, F.col("text")).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    no_id = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    # the row as one column, so that its names meet no other
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), doc_id.alias("id"), by_text.alias("by_text"),
-                       no_id.alias("no_id"), worded.alias("worded"))
-    repeated = stored(rows.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                      .select(F.col("id").alias("shared")), "repeated-ids")
-    # no join, and so no shuffle of texts, where every id is unique
-    rows = (rows.withColumn("shared", F.lit(None).cast("long")) if repeated.isEmpty() else
-            rows.join(repeated, rows["id"] == repeated["shared"], "left"))
-    node = F.when(F.col("shared").isNotNull(), F.col("by_text")).when(F.col("id").isNotNull(), F.col("id")).when(
-        F.col("worded"), F.col("no_id"))
-    rows = rows.select("doc", node.alias("node"))
-    named = rows.where("node is not null")
-    first = jaccard.components(named.select(F.col("node").alias("doc_id"), F.col("doc.text").alias("text"))).where(
-        "component_id = doc_id").select(F.col("doc_id").alias("first")).distinct()
-    kept = named.join(first, named["node"] == first["first"], "left_semi")
+
+    def of_text(*key):  # from 2^62 up, above the doc_ids
+        return F.xxhash64(*key).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+
+    repeated = stored(docs.where("doc_id is not null").groupBy(doc_id.alias(shared)).agg(F.count(F.lit(1)).alias("n"))
+                      .where("n > 1").select(shared), "repeated-ids")
+    rows, is_shared = docs, F.lit(False)
+    if not repeated.isEmpty():  # else no join, and so no shuffle of texts
+        rows, is_shared = docs.join(repeated, doc_id == F.col(shared), "left"), F.col(shared).isNotNull()
+    worded = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    rows = rows.select(*docs.columns, F.when(is_shared, of_text(doc_id, "text")).when(doc_id.isNotNull(), doc_id)
+                       .when(worded, of_text("text")).alias(node))
+    named = rows.where(F.col(node).isNotNull())
+    kept = jaccard.components(named.select(F.col(node).alias("doc_id"), "text")).where(
+        "component_id = doc_id").select(F.col("doc_id").alias(first)).distinct()
+    kept = named.join(kept, F.col(node) == F.col(first), "left_semi")
     # nodes with an id of their own have one row; the others may have equal ones
-    own = F.col("node") < (1 << 62)
-    least = kept.where(~own).groupBy("node").agg(F.min("doc").alias("doc"))
-    return (kept.where(own).select("doc").unionByName(least.select("doc"))
-            .unionByName(rows.where("node is null").select("doc")).select("doc.*"))
+    own = F.col(node) < (1 << 62)
+    least = kept.where(~own).groupBy(node).agg(F.min(F.struct(*docs.columns)).alias(first)).select(f"{first}.*")
+    return kept.where(own).select(*docs.columns).unionByName(least).unionByName(
+        rows.where(F.col(node).isNull()).select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
