@@ -36,6 +36,8 @@ HEADLINE = [
     "activity_features",
     "profile",
 ]
+# Timed after the headline queries and reported apart from their total.
+MORE = ["local_scc", "pregel_two_way", "profile_quantiles", "classification_metrics", "stream_activity_features"]
 
 
 def main() -> None:
@@ -58,17 +60,24 @@ def main() -> None:
     # Python worker start-up (once per executor) for the Arrow/pandas steps
     spark.range(0, 8, 1, 8).mapInPandas(lambda it: it, "id long").write.format("noop").mode("overwrite").save()
     warmup = round(time.time() - t0, 3)
-    times: dict[str, float] = {}
-    for name in names:
-        t0 = time.time()
-        qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t0, 3)
+
+    def timed(some: list[str]) -> dict[str, float]:
+        out: dict[str, float] = {}
+        for name in some:
+            t0 = time.time()
+            qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            out[name] = round(time.time() - t0, 3)
+        return out
+
+    times = timed(names)
+    more = timed([] if sys.argv[1:] else MORE)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "total_query_seconds",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "more_queries": more,
         "warmup_sec": warmup,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
     }))

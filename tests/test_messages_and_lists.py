@@ -34,8 +34,9 @@ def rounds(graph, edges, to_dst, to_src, n=2):
     return state
 
 
-@pytest.mark.parametrize("limit", ["2000000", "0"])  # state broadcast, and shuffled
-@pytest.mark.parametrize("case", ["forward", "backward", "both", "mixed"])
+# the state is broadcast up to the limit, and shuffled beyond
+@pytest.mark.parametrize("case, limit", [("forward", "2000000"), ("backward", "0"), ("both", "0"), ("mixed", "0"),
+                                         ("mixed", "2000000")])
 def test_messages_in_both_directions(spark, random_graph, case, limit):
     g, edges = random_graph
     src, dst, w = Pregel.src("y"), Pregel.dst("y"), Pregel.edge("w")

@@ -12,7 +12,8 @@ from weft.oracle import sql as own_sql
 from weft.registry import queries as own_queries
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"model_metrics", "permutation_importance", "batch_score", "feature_importance", "model_search"}
+SLOW = {"model_metrics", "permutation_importance", "batch_score", "feature_importance", "model_search",
+        "validation_curve", "model_shapley"}
 
 
 def norm(v):
