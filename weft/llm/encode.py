@@ -24,8 +24,8 @@ _WHOLE = ("[\x01\t\r\x0b\x0c\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028
           "|[ \n][ \n]")
 _BEFORE_POINT = "([A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([.,])"
 
-CACHE_PIECES = 1_000_000  # of some 40 bytes
-STEP_BYTES = 8 << 20  # of text encoded at once
+CACHE_PIECES = 600_000  # of some 40 bytes
+STEP_BYTES = 4 << 20  # of text encoded at once
 PIECE_CHARS = 48
 GROUP = 50
 
