@@ -6,9 +6,13 @@ source (parallel edges count again, a self-loop sends twice to itself).  A
 vertex adopts the most frequent label it received; ties go to the smallest
 label; a vertex that received nothing keeps its label.
 
-Both steps are aggregates with partial aggregation: first the count per
-(vertex, label), which hashes on the pair so a hub's labels spread over all
-reducers, then a ``min_by`` per vertex ordered by (-count, label).
+Messages are shuffled once a round, by the receiver (a hub's by receiver and
+a salt of the label, so they spread over the reducers); there they are counted
+per label, and a ``min_by`` ordered by (-count, label) chooses.  Only the
+hubs' choices of each salt, a row per salt, are shuffled again.
+
+The step depends on the labels alone: once a round changes none, the rounds
+that are left would not either, and are not run.
 """
 
 from __future__ import annotations
@@ -36,18 +40,29 @@ def label_scores(g, max_iter: int, checkpoint_every: int = 3) -> DataFrame:
         "frm",
     )
     n = links.n
-    n_vertices = g.vertices.count()
     labels = ids.repartition(n, "id").select("id", F.col("id").alias("label"))
+    hubs = not links.salts.isEmpty()
+    first = F.struct((-F.col("cnt")).alias("k"), F.col("label").alias("l"))
     loop = Rounds(checkpoint_every)
     try:
         for i in range(max_iter):
-            msgs = links.join(labels, state_rows=n_vertices).select("tgt", "label", "w")
-            counts = msgs.groupBy("tgt", "label").agg(F.sum("w").alias("cnt"))
-            labels = counts.groupBy(F.col("tgt").alias("id")).agg(
-                F.min_by("label", F.struct((-F.col("cnt")).alias("k"), F.col("label").alias("l"))).alias("label")
-            )
-            labels = loop.step(labels, i)
-        return cut(labels)
+            # shuffled to the edges, never sent through the driver
+            msgs = links.join(labels.select("id", "label")).select("tgt", "label", "w")
+            salt = F.lit(0)
+            if hubs:  # links go both ways, so hubs that send are those that receive
+                msgs = msgs.join(F.broadcast(links.hubs), F.col("tgt") == F.col("_hk"), "left")
+                salt = F.coalesce(F.pmod(F.xxhash64("label"), F.col("_ns").cast("long")), F.lit(0)).cast("int")
+            sent = msgs.select("tgt", salt.alias("part"), "label", "w").repartition(n, "tgt", "part")
+            counts = sent.groupBy("tgt", "part", "label").agg(F.sum("w").alias("cnt"), (F.min("w") == 0).alias("own"))
+            labels = counts.groupBy("tgt", "part").agg(
+                F.min_by("label", first).alias("label"), F.max("cnt").alias("cnt"),
+                F.max(F.when(F.col("own"), F.col("label"))).alias("old"))
+            if hubs:
+                labels = labels.groupBy("tgt").agg(F.min_by("label", first).alias("label"), F.max("old").alias("old"))
+            labels = loop.step(labels.select(F.col("tgt").alias("id"), "label", "old"), i)
+            if i and (i + 1) % checkpoint_every == 0 and labels.where("label != old").isEmpty():
+                break
+        return cut(labels.select("id", "label"))
     finally:
         links.unpersist()
 
