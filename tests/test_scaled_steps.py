@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from weft.graph import PropertyGraph
-from weft.operators import labels
+from weft.operators import labels, triangles
 
 
 def _graph(spark, ids, pairs):
@@ -65,3 +65,13 @@ def test_labels_of_a_hub_and_of_a_pair_that_swaps(spark, rounds):
     pairs, ids = [*_hub_pairs(), (80, 81)], [*range(60), 80, 81]
     got = {r.id: r.label for r in labels.label_scores(_graph(spark, ids, pairs), rounds).collect()}
     assert got == _propagated(ids, pairs, rounds)
+
+
+def test_triangles_take_the_list_along(spark, monkeypatch):
+    calls = _spied(monkeypatch, triangles)
+    pairs = _hub_pairs()
+    near = {i: {b if a == i else a for a, b in pairs if i in (a, b)} - {i} for i in range(60)}
+    want = {i: sum(len(near[i] & near[j]) for j in near[i]) // 2 for i in range(60)}
+    got = {r.id: r["count"] for r in triangles.triangle_counts(_graph(spark, range(60), pairs)).collect()}
+    assert got == want
+    assert calls[0] == ("columns", ["u", "v", "nu"]) and len(calls) == 2

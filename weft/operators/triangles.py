@@ -30,18 +30,18 @@ def triangle_counts(g) -> DataFrame:
         .join(deg.withColumnRenamed("id", "b").withColumnRenamed("d", "db"), "b")
     )
     low_a = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    # read by both lists below, so made once
-    oriented = cut(ranked.select(
+    oriented = ranked.select(
         F.when(low_a, F.col("a")).otherwise(F.col("b")).alias("u"),
         F.when(low_a, F.col("b")).otherwise(F.col("a")).alias("v"),
-    ))
-    adj = oriented.groupBy("u").agg(F.collect_list("v").alias("nb"))
+    )
+    # read by both sides below, so made once
+    adj = cut(oriented.groupBy("u").agg(F.collect_list("v").alias("nb")))
     # A vertex is ``u`` of at most sqrt(2|E|) edges, but a hub is ``v`` of as
-    # many as its degree: its edges are cut into salts.
-    by_end = KeyedEdges(oriented, "v")
+    # many as its degree: its edges, which take the list of ``u`` along, are
+    # cut into salts.
+    by_end = KeyedEdges(adj.select("u", F.explode("nb").alias("v"), F.col("nb").alias("nu")), "v")
     pairs = (
-        by_end.join(adj.select(F.col("u").alias("end"), F.col("nb").alias("nv")), "end").drop("end")
-        .join(adj.withColumnRenamed("nb", "nu"), "u")
+        by_end.join(adj.select(F.col("u").alias("end"), F.col("nb").alias("nv")), "end")
         .select("u", "v", F.array_intersect("nu", "nv").alias("w"))
         .where(F.size("w") > 0)
     )
