@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from weft.graph import PropertyGraph
-from weft.operators import labels, triangles
+from weft.operators import components, labels, triangles
 
 
 def _graph(spark, ids, pairs):
@@ -75,3 +75,12 @@ def test_triangles_take_the_list_along(spark, monkeypatch):
     got = {r.id: r["count"] for r in triangles.triangle_counts(_graph(spark, range(60), pairs)).collect()}
     assert got == want
     assert calls[0] == ("columns", ["u", "v", "nu"]) and len(calls) == 2
+
+
+def test_strong_components_send_changed_labels_only(spark, monkeypatch):
+    calls = _spied(monkeypatch, components)
+    ring = [(i, i + 1) for i in range(12)] + [(12, 0)]
+    got = {r.id: r.component for r in components.scc_labels(_graph(spark, range(14), [*ring, (12, 13)])).collect()}
+    assert got == {i: 0 for i in range(13)} | {13: 13}
+    sent = [rows for what, rows in calls if what == "join"]
+    assert sent[0] == 13 and sent[1] == 12 and min(sent) == 1
