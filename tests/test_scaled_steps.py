@@ -4,9 +4,13 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
 
 from weft.graph import PropertyGraph
 from weft.operators import components, labels, triangles
+from weft.plans import model as m
 
 
 def _graph(spark, ids, pairs):
@@ -84,3 +88,51 @@ def test_strong_components_send_changed_labels_only(spark, monkeypatch):
     assert got == {i: 0 for i in range(13)} | {13: 13}
     sent = [rows for what, rows in calls if what == "join"]
     assert sent[0] == 13 and sent[1] == 12 and min(sent) == 1
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    rng = random.Random(4)
+    rows = [(i, x := rng.random(), rng.random(), int(rng.random() < 0.25 + 0.5 * (x > 0.5))) for i in range(600)]
+    return m.with_split(spark.createDataFrame(rows, "customer_id long, tenure double, cc double, churn int"), "customer_id")
+
+
+def test_no_tree_is_grown_again_after_the_stop(noisy, monkeypatch):
+    fits = []
+
+    class Spy(GBTClassifier):
+        def __init__(self, **kw):
+            fits.append(kw["maxIter"])
+            super().__init__(**kw)
+
+    ready = VectorAssembler(inputCols=["tenure", "cc"], outputCol="features").transform(
+        noisy.withColumn("churn", F.col("churn").cast("double")))
+    tr, va = ready.where("split = 'train'").cache(), ready.where("split = 'val'").cache()
+    how = dict(maxDepth=3, stepSize=0.5, maxIter=40, minInstancesPerNode=2)
+    monkeypatch.setattr(m, "GBTClassifier", Spy)
+    model, curve = m.fit_stopped(tr, va, "churn", **how)
+    k = model.getNumTrees
+    assert fits == [20] and k < 20 and len(curve) == k + 5
+    short = GBTClassifier(featuresCol="features", labelCol="churn", seed=42, **{**m.GBT_PARAMS, **how, "maxIter": k}).fit(tr)
+    assert model.toDebugString.split("\n")[1:] == short.toDebugString.split("\n")[1:]
+    assert list(model.featureImportances) == list(short.featureImportances) and model.treeWeights == short.treeWeights
+
+    def scores(x):
+        return {r.customer_id: r.probability for r in x.transform(va).collect()}
+
+    assert scores(model) == scores(short)
+
+
+def test_search_prepares_its_rows_once(noisy, monkeypatch):
+    made = []
+    whole = m.preprocessing
+    monkeypatch.setattr(m, "preprocessing", lambda *a: made.append(a) or whole(*a))
+    how = dict(maxIter=3, minInstancesPerNode=2)
+    best, cols, table = m.search(noisy, "customer_id", "churn", {"maxDepth": [1, 2]}, **how)
+    assert len(made) == 1 and cols == ["tenure", "cc"]
+    got = {r.params: r.auc for r in table.collect()}
+    for depth in (1, 2):
+        model, cols, _ = m.train_stopped(noisy, "customer_id", "churn", maxDepth=depth, **how)
+        val = m.score(model, noisy.where("split = 'val'"), cols, "churn")
+        assert got[str({"maxDepth": depth})] == m.roc_auc(val, "churn", "score").first()[0]
+    assert m.score(best, noisy, cols, "churn").where("score is null").isEmpty()
