@@ -6,11 +6,14 @@ of the supported tokenizers crosses such a border, so the ids of the pieces,
 joined, are the ids of the text.  Pieces repeat heavily: each is encoded once
 and found in an Arrow array of known pieces afterwards, so only new ones
 become Python strings.  Texts with other blanks or runs of blanks, where the
-border rule might not hold, are encoded whole.
+border rule might not hold, are encoded whole.  Where blanks are dropped, a
+text is cut at them first and only its distinct words at the other borders;
+if the tokenizer lower-cases, words of ASCII alone are known in lower case.
 """
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 
@@ -28,6 +31,7 @@ CACHE_PIECES = 600_000  # of some 40 bytes
 STEP_BYTES = 4 << 20  # of text encoded at once
 PIECE_CHARS = 48
 GROUP = 50
+MARK = "\x01"  # of no piece: texts that have it are encoded whole
 
 _made: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -43,6 +47,11 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.keeps_blanks, self.cache_pieces = keeps_blanks, cache_pieces
+        norm = json.loads(self.tokenizer.to_str())["normalizer"] or {}
+        self.lowers = any(x["type"] == "Lowercase" for x in norm.get("normalizers", [norm]) if x)
+        marked = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in (MARK, f"a {MARK} a")]
+        # id of the mark, if it is one token and stays so between blanks
+        self.mark = marked[0][0] if not keeps_blanks and len(marked[0]) == 1 and marked[1][1:-1] == marked[0] else None
         # pieces met before; ids[starts[i]:starts[i + 1]] are those of pieces[i]
         self.pieces = pa.array([""], pa.large_string())
         self.starts, self.ids = np.zeros(2, np.int64), np.empty(0, np.uint32)
@@ -50,7 +59,20 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _new(self, pieces: list[str]) -> list[bytes]:
+    def _new(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(sizes, ids) of the pieces, encoded in runs, as one text."""
+        if self.mark is not None:
+            by = f" {MARK} "
+            runs = [by.join(pieces[i:i + GROUP]) + by for i in range(0, len(pieces), GROUP)]
+            found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+            ids = np.frombuffer(b"".join(array("I", e.ids).tobytes() for e in found), np.uint32)
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) == len(pieces):
+                return np.diff(ends, prepend=-1) - 1, np.delete(ids, ends)
+        blobs = self._by_offsets(pieces)
+        return np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4, np.frombuffer(b"".join(blobs), np.uint32)
+
+    def _by_offsets(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece; pieces that begin with a blank (or all, where
         blanks are dropped) are encoded in runs, as one text."""
         out: dict[str, bytes] = {}
@@ -87,11 +109,10 @@ class Encoder:
             short = np.asarray(pc.less_equal(pc.utf8_length(words), PIECE_CHARS))[missing].astype(bool)
             missing = np.concatenate([missing[short], missing[~short]])
             new = words.take(pa.array(missing))
-            blobs = self._new(new.to_pylist())
-            sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+            sizes, got = self._new(new.to_pylist())
             at[missing] = kept + np.arange(len(missing))
             starts = np.concatenate([starts, starts[-1] + np.cumsum(sizes)])
-            ids = np.concatenate([ids, np.frombuffer(b"".join(blobs), np.uint32)])
+            ids = np.concatenate([ids, got])
             kept += int(short.sum())
             self.pieces = pa.concat_arrays([self.pieces, new.slice(0, int(short.sum()))])
             self.starts, self.ids = starts[:kept + 1], ids[:starts[kept]]
@@ -104,6 +125,18 @@ class Encoder:
             self.pieces, self.starts = self.pieces.take(pa.array(held)), ends
         return first, size, ids
 
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``_known`` of words between blanks, by their parts."""
+        if self.lowers:  # other letters may compose differently in lower case
+            words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        lists = pc.split_pattern(pc.replace_substring_regex(words, _BEFORE_POINT, f"\\1{MARK}\\2"), MARK)
+        parts = lists.values.dictionary_encode()
+        codes = parts.indices.to_numpy()
+        first, size, known = self._known(parts.dictionary)
+        ids, ends = _gathered(first[codes], size[codes], known)
+        offsets = ends[lists.offsets.to_numpy()]
+        return offsets[:-1], np.diff(offsets), ids
+
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of a text array; null counts as empty."""
         text = pc.fill_null(text.cast(pa.large_string()), "")
@@ -112,10 +145,8 @@ class Encoder:
         lists = self._pieces(plain)
         words = lists.values.dictionary_encode()
         codes = words.indices.to_numpy()
-        first, size, known = self._known(words.dictionary)
-        size, first = size[codes], first[codes]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        ids = known[np.arange(ends[-1]) + np.repeat(first - ends[:-1], size)]
+        first, size, known = (self._known if self.keeps_blanks else self._words)(words.dictionary)
+        ids, ends = _gathered(first[codes], size[codes], known)
         offsets = ends[lists.offsets.to_numpy()]
         if odd.any():
             at = np.flatnonzero(odd)
@@ -137,6 +168,12 @@ class Encoder:
         return offsets, closed
 
 
+def _gathered(first: np.ndarray, size: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` of the given starts and sizes, and where each ends."""
+    ends = np.concatenate([[0], np.cumsum(size)])
+    return ids[np.arange(ends[-1]) + np.repeat(first - ends[:-1], size)], ends
+
+
 def encoder(path: str, keeps_blanks: bool, cache_pieces: int = CACHE_PIECES) -> Encoder:
     """One encoder per Python worker and file."""
     if (path, keeps_blanks) not in _made:
