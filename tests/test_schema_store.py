@@ -94,3 +94,18 @@ def test_types_of_rescued_fields_and_hints(spark):
     schema = StructType.fromDDL("a INT, b STRING")
     assert with_hints(schema, "b DATE, z INT").simpleString() == "struct<a:int,b:date,z:int>"
     assert with_hints(schema, None) is schema
+
+
+def test_casts_are_not_repeated_for_every_field(spark):
+    lines = spark.createDataFrame(
+        [('{"id":"1","n":"x","u":2}',), ('{"id":"1","n":"2"}',), ('{"id":1,"id":"b","n":null}',), ("no record",)], "value string")
+    got = ingest.json_fields(lines, ingest.StructType.fromDDL("id BIGINT, n DOUBLE"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, None, '{"n":"x","u":"2"}'), (1, 2.0, None), (1, None, None), (None, None, "no record")], key=str)
+    plan = got._jdf.queryExecution().analyzed().toString()
+    end = start = plan.index("map_filter(") + len("map_filter")
+    depth = 0
+    while end == start or depth:
+        depth += {"(": 1, ")": -1}.get(plan[end], 0)
+        end += 1
+    assert "lambda" in plan[start:end] and "cast" not in plan[start:end]

@@ -54,6 +54,11 @@ def _typed(raw: Column, kind: DataType) -> Column:
     return raw.try_cast(kind)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once a row."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def parse_fields(rows: DataFrame, fields: Column, schema: StructType) -> DataFrame:
     """Columns of ``schema`` and the rescued data from ``fields``, a map of
     each row's texts (null where the row is no record), and ``value``, the
@@ -65,9 +70,14 @@ def parse_fields(rows: DataFrame, fields: Column, schema: StructType) -> DataFra
         F.lit(None).cast("string"),
         *[F.when(raw[f.name].isNotNull() & typed[f.name].isNull(), F.lit(f.name)) for f in schema.fields]))
     names = F.array(*[F.lit(n) for n in typed]) if typed else F.array().cast("array<string>")
-    left = F.map_filter("_fields", lambda k, v: v.isNotNull() & (
-        ~F.array_contains(names, k) | F.array_contains(misfits, k)))
-    rescued = F.when(F.col("_fields").isNull(), F.col("value")).when(F.size(left) > 0, F.to_json(left))
+    # what a lambda refers to from outside is computed anew for every entry:
+    # ``_once`` binds it, and only rows with more values than fit are filtered
+    left = _once(misfits, lambda bad: F.map_filter("_fields", lambda k, v: v.isNotNull() & (
+        ~F.array_contains(names, k) | F.array_contains(bad, k))))
+    fitting = sum((c.isNotNull().cast("int") for c in typed.values()), F.lit(0))
+    more = F.size(F.array_compact(F.map_values("_fields"))) > fitting
+    rescued = F.when(F.col("_fields").isNull(), F.col("value")).when(
+        more, _once(left, lambda x: F.when(F.size(x) > 0, F.to_json(x))))
     return rows.select(*[c.alias(n) for n, c in typed.items()], rescued.alias(RESCUED))
 
 
