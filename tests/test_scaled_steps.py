@@ -9,7 +9,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from weft.graph import PropertyGraph
-from weft.operators import components, labels, triangles
+from weft.operators import components, labels, paths, triangles
 from weft.plans import model as m
 
 
@@ -136,3 +136,16 @@ def test_search_prepares_its_rows_once(noisy, monkeypatch):
         val = m.score(model, noisy.where("split = 'val'"), cols, "churn")
         assert got[str({"maxDepth": depth})] == m.roc_auc(val, "churn", "score").first()[0]
     assert m.score(best, noisy, cols, "churn").where("score is null").isEmpty()
+
+
+def test_landmark_rounds_go_by_the_frontier(spark, monkeypatch):
+    g = _graph(spark, range(7), [(1, 0), (2, 0), (3, 1), (4, 1), (5, 3), (5, 3), (0, 5)])
+    calls = _spied(monkeypatch, paths)
+    found = {(r.id, r.landmark): r.distance for r in paths.shortest_path_rows(g, [0, 6, 99]).collect()}
+    assert found == {(0, 0): 0, (6, 6): 0, (1, 0): 1, (2, 0): 1, (3, 0): 2, (4, 0): 2, (5, 0): 3}
+    assert [rows for kind, rows in calls if kind == "join"] == [2, 2, 2, 1]
+
+
+def test_landmark_distances_without_landmarks(spark):
+    g = _graph(spark, range(3), [(1, 0), (2, 1)])
+    assert paths.shortest_path_rows(g, [99]).collect() == []

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weft.operators.iterate import KeyedEdges, cut
+from weft.operators.iterate import KeyedEdges, cut, pin
 
 
 def _as_col(expr) -> Column:
@@ -137,29 +137,32 @@ def shortest_path_rows(g, landmarks) -> DataFrame:
         lm = spark.createDataFrame([(x,) for x in landmarks], g.vertices.select("id").schema)
     lm = lm.join(g.vertices.select("id"), "id", "left_semi").distinct()
     # reversed edges: walk from a landmark back to everything that reaches it
-    n_rows = g.vertices.count() * max(1, lm.count())
-    rev = KeyedEdges(g.valid_edges().select(F.col("dst").alias("at"), F.col("src").alias("to")).distinct(), "at")
+    # pinned, since the layout reads them three times
+    edges = pin(g.valid_edges().select(F.col("dst").alias("at"), F.col("src").alias("to")).distinct())
+    rev = KeyedEdges(edges, "at")
     n = rev.n
     try:
         seen = cut(lm.select("id", F.col("id").alias("landmark"), F.lit(0).alias("distance")).repartition(n, "id"))
-        frontier = seen
+        frontier, rows = seen, seen.count()
         depth = 0
         while True:
             depth += 1
             nxt = (
-                rev.join(frontier.select("id", "landmark"), state_rows=n_rows)
+                rev.join(frontier.select("id", "landmark"), state_rows=rows)
                 .select(F.col("to").alias("id"), "landmark")
                 .distinct()
                 .join(seen.select("id", "landmark"), ["id", "landmark"], "left_anti")
                 .select("id", "landmark", F.lit(depth).alias("distance"))
             )
             nxt = cut(nxt.repartition(n, "id"))
-            if nxt.isEmpty():
+            rows = nxt.count()
+            if not rows:
                 return seen
             seen = seen.unionByName(nxt)  # union of checkpointed levels
             frontier = nxt
     finally:
         rev.unpersist()
+        edges.unpersist()
 
 
 def shortest_paths(g, landmarks) -> DataFrame:
