@@ -149,3 +149,55 @@ def test_landmark_rounds_go_by_the_frontier(spark, monkeypatch):
 def test_landmark_distances_without_landmarks(spark):
     g = _graph(spark, range(3), [(1, 0), (2, 1)])
     assert paths.shortest_path_rows(g, [99]).collect() == []
+
+
+def test_length_of_the_next_fit():
+    steady = [1 - 0.01 * i for i in range(20)]
+    assert m.next_length(steady, 277) == 277
+    bent = [1 + 0.5 ** i for i in range(20)]  # nearly at its end
+    assert m.next_length(bent, 277) == 80 and m.next_length(bent, 60) == 60
+    flat = [1.0, *[0.5] * 19]
+    assert m.next_length(flat, 277) == 80
+
+
+def test_steady_curve_is_fitted_twice(noisy, monkeypatch):
+    fits = []
+
+    class Spy(GBTClassifier):
+        def __init__(self, **kw):
+            fits.append(kw["maxIter"])
+            super().__init__(**kw)
+
+    ready = VectorAssembler(inputCols=["tenure", "cc"], outputCol="features").transform(
+        noisy.withColumn("churn", (F.col("tenure") + F.col("cc") > 1).cast("double")))
+    tr, va = ready.where("split = 'train'").cache(), ready.where("split = 'val'").cache()
+    how = dict(maxDepth=1, stepSize=0.005, maxIter=85, subsamplingRate=1.0, featureSubsetStrategy="all")
+    monkeypatch.setattr(m, "GBTClassifier", Spy)
+    model, curve = m.fit_stopped(tr, va, "churn", **how)
+    assert fits == [20, 85] and len(curve) == 85 and model.getNumTrees == 85
+
+
+def test_prepared_vectors_are_dense_and_keep_their_slots(noisy):
+    df = noisy.withColumns({f"region_{i}": F.col("customer_id") % 2 for i in range(9)})
+    fitted, ready, cols = m.prepare(df, "customer_id", "churn")
+    plain = fitted.transform(m.coerce_numeric(df, cols))
+    assert ready.schema["features"].metadata == plain.schema["features"].metadata
+    made = {tuple(r.features) for r in ready.collect()}
+    assert made <= {tuple(r.features.toArray()) for r in plain.collect()}
+    assert {type(r.features).__name__ for r in ready.collect()} == {"DenseVector"}
+
+
+def test_training_rows_derive_the_customers_once(spark, monkeypatch):
+    from weft import registry
+    from weft.plans import callgraph
+
+    made, whole = [], callgraph.customers
+    monkeypatch.setattr(callgraph, "customers", lambda *a: made.append(a) or whole(*a))
+    monkeypatch.setattr(callgraph, "_SILVER", {})
+    monkeypatch.setattr(registry, "_TRAINING", {})
+    sf = "/root/testdata/sf0.001"
+    rows = registry._training_rows(spark, sf)
+    assert len(made) == 1
+    kept = m.with_split(whole(spark, sf).where("total_charges is not null"), "customer_id")
+    want = sorted(tuple(r) for r in kept.select("customer_id", "split", "tenure", "total_charges").collect())
+    assert sorted(tuple(r) for r in rows.select("customer_id", "split", "tenure", "total_charges").collect()) == want
