@@ -3,6 +3,7 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -111,3 +112,48 @@ def test_permutation_importance_in_one_job(noisy):
     model, cols, _ = m.train_stopped(noisy, "customer_id", "churn", maxIter=10, maxDepth=3, stepSize=0.3)
     got = {r.feature: r.importance for r in m.permutation_importance(model, noisy, cols, "customer_id", "churn").collect()}
     assert set(got) == set(cols) and max(got, key=got.get) == "tenure"
+
+
+def test_permuted_scores_are_those_of_the_model(noisy):
+    """The permuted copies as the model itself scores them, one by one."""
+    df = noisy.withColumn("region_asia", (F.col("customer_id") % 3).cast("int")).withColumn(
+        "degree", F.when(F.col("customer_id") % 11 > 0, F.col("degree"))).withColumn(
+        "segment_a", (F.col("tenure") > 0.3).cast("int")).withColumn("comm_size", F.lit(3.0))
+    model, cols, _ = m.train_stopped(df, "customer_id", "churn", maxIter=12, maxDepth=4, stepSize=0.3, minInstancesPerNode=2,
+                                     featureSubsetStrategy="all")
+    got = {r.feature: r.importance for r in m.permutation_importance(
+        model, df, cols, "customer_id", "churn", group_rows=100).collect()}
+    test = df.where("split = 'test'").cache()
+
+    def area(x):
+        return m.roc_auc(m.score(model, x, cols, "churn"), "churn", "score").first()[0]
+
+    base = area(test)
+    for c in cols:
+        permuted = m.permute_column(test, c, "customer_id", group_rows=100)
+        assert got[c] == pytest.approx(base - area(permuted), abs=1e-9)
+    assert got["comm_size"] == 0.0 and got["tenure"] != 0.0 and len(got) == len(cols)
+
+
+def test_trees_are_read_as_they_score(noisy):
+    df = noisy.withColumn("region_asia", (F.col("customer_id") % 3).cast("int"))
+    model, cols, _ = m.train_stopped(df, "customer_id", "churn", maxIter=8, maxDepth=3, stepSize=0.3, minInstancesPerNode=2,
+                                     featureSubsetStrategy="all")
+    scored = m.score(model, df, cols, "churn").select("churn", "score", F.expr("features").alias("v")).collect()
+    own = pa.array([r.v.toArray().tolist() for r in scored], pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([r.churn for r in scored]), own, own], names=["churn", "_own", "_other"])
+    column_of = [1] * len(scored[0].v)
+    parts = list(m.swapped_scores(m.read_trees(model.stages[-1]), column_of, 3, "churn", rows=700)([batch]))
+    for copy in range(3):
+        mine = [x for b in parts if b.column("feature")[0].as_py() == copy for x in b.column("score").to_pylist()]
+        assert mine == pytest.approx([r.score for r in scored], abs=1e-12)
+
+
+def test_permutation_makes_no_copy_of_the_rows(noisy, monkeypatch):
+    """Rows go through the stages before the trees once, not once a feature."""
+    model, cols, _ = m.train_stopped(noisy, "customer_id", "churn", maxIter=3, maxDepth=2)
+    frames, whole = [], m.score
+    monkeypatch.setattr(m, "score", lambda *a: frames.append(a[1]) or whole(*a))
+    got = m.permutation_importance(model, noisy, cols, "customer_id", "churn")
+    assert got.count() == len(cols)
+    assert [f.count() for f in frames] == [noisy.where("split = 'test'").count()]
